@@ -39,28 +39,38 @@ def py_float(c) -> Column:
              .otherwise(cast))
 
 
-def json_code(c, key: str = CODE_KEY) -> Column:
-    """Code text from a JSON metadata cell, following ``str(json.loads(cell)[key])``.
+# Why a JSON metadata cell is unusable, in the order the checks apply.
+R_JSON, R_KEY, R_NESTED = "bad_json", "missing_key", "nested_value"
 
-    NULL when the parser would raise: not JSON, not an object, key absent, or the value is an
-    object or array (unhashable as a dict key). JSON null becomes the text ``None`` and booleans
-    ``True`` / ``False``, as Python prints them. Known residual differences (documented, R21):
-    trailing text after the object is accepted, duplicate keys and ``NaN`` are rejected.
+
+def json_check(cell, key: str = CODE_KEY) -> tuple[Column, Column]:
+    """(code, reason) for a JSON metadata cell, following ``str(json.loads(cell)[key])``.
+
+    ``code`` is NULL exactly when ``reason`` is set: not JSON or not an object, key absent, or
+    the value is an object or array (unhashable as a dict key). JSON null becomes the text
+    ``None`` and booleans ``True`` / ``False``, as Python prints them (R9). Known residual
+    differences (R21): trailing text after the object is accepted, duplicate keys and ``NaN``
+    are rejected.
     """
-    cell = _c(c)
+    cell = _c(cell)
     parsed = F.try_parse_json(cell)
     kind = F.schema_of_variant(parsed)
-    val = F.try_variant_get(parsed, f"$.{key}", "variant")
-    vkind = F.schema_of_variant(val)
-    has_key = F.array_contains(F.json_object_keys(cell), F.lit(key))
-    ok = (parsed.isNotNull() & kind.startswith("OBJECT") & F.coalesce(has_key, F.lit(False))
-          & ~vkind.startswith("OBJECT") & ~vkind.startswith("ARRAY"))
+    has_key = F.coalesce(F.array_contains(F.json_object_keys(cell), F.lit(key)), F.lit(False))
+    vkind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{key}", "variant"))
+    reason = (F.when(parsed.isNull() | ~kind.startswith("OBJECT"), F.lit(R_JSON))
+               .when(~has_key, F.lit(R_KEY))
+               .when(vkind.startswith("OBJECT") | vkind.startswith("ARRAY"), F.lit(R_NESTED)))
     text = (F.when(vkind == "VOID", F.lit("None"))
              .when(vkind == "BOOLEAN",
                    F.when(F.try_variant_get(parsed, f"$.{key}", "boolean"), F.lit("True"))
                     .otherwise(F.lit("False")))
              .otherwise(F.try_variant_get(parsed, f"$.{key}", "string")))
-    return F.when(ok, text)
+    return F.when(reason.isNull(), text), reason
+
+
+def json_code(cell, key: str = CODE_KEY) -> Column:
+    """The code alone; NULL when the reference parser would raise on the cell."""
+    return json_check(cell, key)[0]
 
 
 def structure_id(name, suffix: str = HIT_FILE_SUFFIX) -> Column:

@@ -13,8 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitroll.operators import scores as S
-from hitroll.schema import CODE, DATASET, HITS, STRUCTURE
+from hitroll.schema import BAD, CODE, DATASET, HITS, SCORE, STRUCTURE
+from hitroll.session import scratch_path
+from hitroll.sinks import files as SK
+from hitroll.sources import catalogue as CAT
+from hitroll.sources import files as FS
+from hitroll.sources import hits as HF
 from hitroll.sources import tables as T
+from hitroll.streaming.ingest import ingest_texts
 
 
 @dataclass(frozen=True)
@@ -164,6 +170,224 @@ def existing_artefacts(spark, sf_dir):
     return T.order_structures(spark, sf_dir).join(hits, STRUCTURE, "left_semi")
 
 
+# ------------------------------------------------------ phase 2: hit files with JSON metadata
+
+def event_hit_rows(spark, sf_dir):
+    """Hit rows in the 16-field layout, one hit file per (dataset, user): field 3 is the score
+    text, field 15 the JSON cell; a few other fields carry context, the rest stay empty."""
+    ev = T.table(spark, sf_dir, "events")
+    fields = {0: F.col("user_id").cast("string"), 1: F.col("event_id").cast("string"),
+              2: F.col("event_type"), 3: F.col("value").cast("string"),
+              4: F.col("ts").cast("string"), 15: F.col("props")}
+    cols = [fields.get(i, F.lit(None).cast("string")).alias(f"c{i}") for i in range(HF.N_FIELDS)]
+    return ev.select(*cols, F.col("event_type").alias(DATASET), F.col("user_id").alias("user"))
+
+
+def event_hits_via_files(spark, sf_dir):
+    """Write the event hits as TSV hit files, then scan and parse them (SRC6 round trip)."""
+    path = scratch_path(spark, "hits")
+    SK.write_hit_files(event_hit_rows(spark, sf_dir), path, [DATASET, "user"])
+    raw = HF.read_hit_files(spark, path, glob="part-*")
+    sid = F.concat_ws("/", F.col(DATASET), F.col("user").cast("string"))
+    return HF.parse_hits(raw, structure=sid, key="k").withColumn("user_id", F.col("user").cast("long"))
+
+
+@register("hit_scan_tsv", """
+SELECT event_type AS dataset, user_id, count(*) AS n_hits, round(sum(value), 2) AS sum_score
+FROM events GROUP BY 1, 2
+""")
+def hit_scan_tsv(spark, sf_dir):
+    """SRC6 round trip: per-structure hit count and score total after writing and re-reading
+    the hit files. (Scores carry two decimals, so the total rounded to two places is exact on
+    both engines; a mean rounded to four places can sit exactly on a tie, which the two engines
+    break differently.)"""
+    hits = event_hits_via_files(spark, sf_dir)
+    per = (hits.groupBy(STRUCTURE, DATASET, "user_id")
+           .agg(F.count(F.lit(1)).alias("n_hits"), F.sum(SCORE).alias("sum_score"),
+                F.bool_or(BAD).alias("rejected")))
+    return (per.where(~F.col("rejected"))
+            .select(DATASET, "user_id", "n_hits", F.round("sum_score", 2).alias("sum_score")))
+
+
+@register("rejected_structures", """
+WITH h AS (
+  SELECT event_type AS dataset, user_id,
+         CASE WHEN value IS NULL OR props IS NULL OR NOT json_valid(props)
+                   OR json_extract(props, '$.k') IS NULL THEN 1 ELSE 0 END AS bad
+  FROM events),
+s AS (SELECT dataset, user_id, sum(bad) AS n_bad FROM h GROUP BY 1, 2)
+SELECT dataset, CASE WHEN n_bad > 0 THEN 'rejected' ELSE 'accepted' END AS status,
+       count(*) AS n_structures, CAST(sum(n_bad) AS BIGINT) AS n_bad_rows
+FROM s GROUP BY 1, 2
+""")
+def rejected_structures(spark, sf_dir):
+    """FLT6 / R7: structures accepted or rejected as a unit, with their bad-row counts, after
+    the TSV round trip. Reasons per rejected structure come from ``hits.rejects``."""
+    hits = event_hits_via_files(spark, sf_dir)
+    per = (hits.groupBy(STRUCTURE, DATASET)
+           .agg(F.sum(F.col(BAD).cast("long")).alias("n_bad")))
+    status = F.when(F.col("n_bad") > 0, F.lit("rejected")).otherwise(F.lit("accepted"))
+    return (per.groupBy(DATASET, status.alias("status"))
+            .agg(F.count(F.lit(1)).alias("n_structures"), F.sum("n_bad").alias("n_bad_rows")))
+
+
+# ----------------------------------------------------------- phase 3: whole-file structure sources
+
+def written_documents(spark, sf_dir, compression=None):
+    """Structure files: one text file per document, written by Spark from ``documents``."""
+    path = scratch_path(spark, "structures")
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    SK.write_structure_texts(docs, path, "doc_id", "text", compression=compression)
+    return path
+
+
+@register("structure_scan_text", """
+SELECT doc_id, length(text) AS n_chars, md5(text) AS md5 FROM documents
+""")
+def structure_scan_text(spark, sf_dir):
+    """SRC1 + PRJ1: whole-file text scan, one row per file."""
+    path = written_documents(spark, sf_dir)
+    t = FS.read_texts(spark, path, glob="*.txt")
+    body = FS.strip_final_newline("value")
+    return t.select(F.col("doc_id").cast("long").alias("doc_id"),
+                    F.length(body).cast("long").alias("n_chars"), F.md5(body).alias("md5"))
+
+
+@register("structure_scan_binary", """
+SELECT doc_id, strlen(text) + 1 AS n_bytes, md5(text) AS md5 FROM documents
+""")
+def structure_scan_binary(spark, sf_dir):
+    """SRC2 + SC14: binary whole-file scan; bytes decoded as UTF-8 (file = text + newline)."""
+    path = written_documents(spark, sf_dir)
+    b = FS.read_binary(spark, path, glob="*.txt")
+    text = FS.decode_utf8("content")
+    body = F.expr("substring(t, 1, length(t) - 1)")
+    return (b.select("doc_id", "length", text.alias("t"))
+            .select(F.col("doc_id").cast("long").alias("doc_id"),
+                    F.col("length").alias("n_bytes"), F.md5(body).alias("md5")))
+
+
+@register("gzip_scan", """
+SELECT doc_id, md5(text) AS md5 FROM documents
+""")
+def gzip_scan(spark, sf_dir):
+    """SRC3 + SRC4: gzip structure files, selected by glob and decompressed by the scan."""
+    path = written_documents(spark, sf_dir, compression="gzip")
+    t = FS.read_texts(spark, path, glob="*.txt.gz")
+    return t.select(F.col("doc_id").cast("long").alias("doc_id"),
+                    F.md5(FS.strip_final_newline("value")).alias("md5"))
+
+
+@register("incremental_ingest", """
+SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 2 END AS run, md5(text) AS md5 FROM documents
+""")
+def incremental_ingest(spark, sf_dir):
+    """SRC5 / JN2: two arrivals of structure files; the second run ingests only the new ones.
+
+    All documents are ingested exactly once; ``run`` tells which run picked each one up
+    (English documents arrive first, the others later)."""
+    base = scratch_path(spark, "ingest")
+    src, table_path, ckpt = f"{base}/src", f"{base}/table", f"{base}/checkpoint"
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    first, later = docs.where(F.col("lang") == "en"), docs.where(F.col("lang") != "en")
+    SK.write_structure_texts(first, src, "doc_id", "text")
+    ingest_texts(spark, src, table_path, ckpt, schema="value string, doc_id long", run_tag=1)
+    later.select("doc_id", "text").repartition("doc_id").write.mode("append") \
+        .partitionBy("doc_id").text(src)
+    ingest_texts(spark, src, table_path, ckpt, schema="value string, doc_id long", run_tag=2)
+    t = spark.read.parquet(table_path)
+    return t.select("doc_id", F.col("run").cast("int").alias("run"),
+                    F.md5(FS.strip_final_newline("value")).alias("md5"))
+
+
+@register("dataset_catalogue", """
+SELECT lower(trim(o_orderpriority)) AS dataset, count(*) AS n_structures,
+       CAST(greatest(1, ceil(count(*) / 256.0)) AS BIGINT) AS min_partitions
+FROM orders GROUP BY 1
+""")
+def dataset_catalogue(spark, sf_dir):
+    """SRC10 / FLT5 / PT1: a catalogue derived from the universe, with split counts."""
+    return CAT.derived_catalogue(T.order_structures(spark, sf_dir))
+
+
+@register("sample_structures", None)
+def sample_structures(spark, sf_dir):
+    """FLT4: Bernoulli sample without replacement (fraction 0.005, seeded); rows-only check."""
+    return T.order_structures(spark, sf_dir).sample(False, 0.005, seed=42)
+
+
+# ------------------------------------------------------------------------- phase 5: sinks
+
+@register("csv_single_file_roundtrip", """
+WITH per AS (
+  SELECT o_orderkey, o_orderpriority AS dataset, coalesce(avg(l_quantity), 0.0) AS m
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
+SELECT dataset AS organism, round(avg(m), 4) AS "mean plddt",
+       round(coalesce(stddev_pop(m), 0.0), 4) AS "plddt std"
+FROM per GROUP BY 1
+""")
+def csv_single_file_roundtrip(spark, sf_dir):
+    """SNK1: the statistics table in the reference's output schema (float32 columns), written
+    as one named CSV file, then read back."""
+    st = dataset_summary(spark, sf_dir)
+    out = st.select(F.col(DATASET).alias("organism"),
+                    F.col("mean_score").cast("float").alias("mean plddt"),
+                    F.col("std_score").cast("float").alias("plddt std"))
+    folder = scratch_path(spark, "summary")
+    target = SK.write_single_csv(out, folder, "plDDT_means")
+    return (spark.read.schema("organism string, `mean plddt` double, `plddt std` double")
+            .option("header", True).csv(target))
+
+
+@register("parsed_summary_roundtrip", """
+WITH h AS (SELECT event_type AS dataset, user_id, value,
+                  json_extract_string(props, '$.k') AS code FROM events),
+m AS (SELECT dataset, user_id, round(sum(value), 2) AS sum_score FROM h GROUP BY 1, 2)
+SELECT h.dataset, h.user_id, m.sum_score, h.code, CAST(count(*) AS INTEGER) AS n
+FROM h JOIN m USING (dataset, user_id) GROUP BY 1, 2, 3, 4
+""")
+def parsed_summary_roundtrip(spark, sf_dir):
+    """SNK4 + SRC7: per-structure parsed-summary text files written, read back and parsed.
+
+    The mean read back from the header line is checked as ``mean * n_hits`` rounded to two
+    places (scores carry two decimals), which is exact on both engines."""
+    hits = T.event_hits(spark, sf_dir)
+    per = S.per_structure(hits)
+    text = SK.parsed_summary_text(per, S.code_counts(hits))
+    path = scratch_path(spark, "parsed")
+    SK.write_parsed_summaries(text.withColumn(STRUCTURE, F.regexp_replace(STRUCTURE, "/", "__")),
+                              path)
+    back = FS.read_texts(spark, path, glob="*.txt")
+    parsed = FS.parse_parsed_summary(back, file_col=STRUCTURE)
+    parts = F.split(F.col(STRUCTURE), "__")
+    n_total = F.aggregate(F.col("entries"), F.lit(0), lambda acc, e: acc + e["n"])
+    return (parsed.select(F.element_at(parts, 1).alias(DATASET),
+                          F.element_at(parts, 2).cast("long").alias("user_id"),
+                          F.round(F.col("mean_score") * n_total, 2).alias("sum_score"),
+                          F.explode("entries").alias("e"))
+            .select(DATASET, "user_id", "sum_score", F.col("e.code").alias(CODE),
+                    F.col("e.n").alias("n")))
+
+
+@register("partitioned_artefacts", """
+WITH per AS (
+  SELECT o_orderkey, o_orderpriority AS dataset, count(l_orderkey) AS n_hits,
+         coalesce(avg(l_quantity), 0.0) AS m
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
+SELECT dataset, count(*) AS n_structures, CAST(sum(n_hits) AS BIGINT) AS n_hits,
+       round(avg(m), 4) AS mean_score
+FROM per GROUP BY 1
+""")
+def partitioned_artefacts(spark, sf_dir):
+    """SNK3: per-structure results published as Parquet partitioned by dataset, read back."""
+    path = scratch_path(spark, "artefacts")
+    SK.write_artefacts(order_outcomes(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return (back.groupBy(DATASET)
+            .agg(F.count(F.lit(1)).alias("n_structures"), F.sum("n_hits").alias("n_hits"),
+                 r4(F.avg("mean_score")).alias("mean_score")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 

@@ -28,7 +28,8 @@ def build_session(master: str | None = None, app: str = "hitroll", shuffle_parti
                   extra: dict | None = None) -> SparkSession:
     """Session for local runs, tests and the bench. On a cluster, pass ``master=None`` and let
     ``spark-submit`` decide."""
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in SCALE_CONF.items():
