@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.operators import maps as M
 from hitroll.operators import scores as S
 from hitroll.schema import BAD, CODE, DATASET, HITS, SCORE, STRUCTURE
 from hitroll.session import scratch_path
@@ -388,6 +389,90 @@ def partitioned_artefacts(spark, sf_dir):
                  r4(F.avg("mean_score")).alias("mean_score")))
 
 
+# --------------------------------------------------------------------------- phase 4: maps
+
+# Fixed value for the stand-in: hits of a structure arrive in two runs, split at this ship date.
+RUN_SPLIT_DATE = "1998-06-01"
+
+
+def two_run_maps(spark, sf_dir):
+    """Per structure and run: (structure, run, codes map, mean_score). Run 1 holds the hit rows
+    shipped before RUN_SPLIT_DATE, run 2 the rest; every row is in exactly one run."""
+    li = T.table(spark, sf_dir, "lineitem")
+    run = F.when(F.col("l_shipdate") < F.lit(RUN_SPLIT_DATE).cast("timestamp"), 1).otherwise(2)
+    hits = li.select(F.col("l_orderkey").alias(STRUCTURE), run.alias("run"),
+                     F.col("l_quantity").alias(SCORE),
+                     F.concat_ws(".", "l_returnflag", "l_linestatus").alias(CODE))
+    counts = hits.groupBy(STRUCTURE, "run", CODE).agg(F.count(F.lit(1)).alias("n"))
+    maps = (counts.groupBy(STRUCTURE, "run")
+            .agg(F.map_from_entries(F.collect_list(F.struct(CODE, "n"))).alias("codes")))
+    means = hits.groupBy(STRUCTURE, "run").agg(F.avg(SCORE).alias("mean_score"))
+    return maps.join(means, [STRUCTURE, "run"])
+
+
+def paired_runs(spark, sf_dir, how):
+    m = two_run_maps(spark, sf_dir)
+    a = m.where(F.col("run") == 1).select(STRUCTURE, F.col("codes").alias("a"),
+                                          F.col("mean_score").alias("mean_a"))
+    b = m.where(F.col("run") == 2).select(STRUCTURE, F.col("codes").alias("b"),
+                                          F.col("mean_score").alias("mean_b"))
+    return a.join(b, STRUCTURE, how)
+
+
+@register("map_explode_sum", """
+SELECT l_returnflag || '.' || l_linestatus AS code, count(*) AS total_count
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1
+""")
+def map_explode_sum(spark, sf_dir):
+    """PRJ6 + AG7 + AG13: per-structure code maps, exploded and totalled per code."""
+    hits = T.lineitem_hits(spark, sf_dir)
+    ok = order_outcomes(spark, sf_dir).where(F.col("outcome") == HITS).select(STRUCTURE)
+    maps = M.structure_maps(S.code_counts(hits).join(ok, STRUCTURE, "left_semi"))
+    return M.explode_sum(maps)
+
+
+@register("map_merge_pair", f"""
+SELECT l_orderkey AS structure, l_returnflag || '.' || l_linestatus AS code, count(*) AS count
+FROM lineitem GROUP BY 1, 2
+""")
+def map_merge_pair(spark, sf_dir):
+    """AG11 / JN4: the code maps of a structure's two runs merged key by key (full outer join
+    of the runs, a missing side counting as empty), returned as rows."""
+    p = paired_runs(spark, sf_dir, "full")
+    merged = M.positive(M.merge_maps("a", "b"))
+    return p.select(STRUCTURE, F.explode(merged).alias(CODE, "count"))
+
+
+@register("map_key_union", """
+SELECT l_orderkey AS structure, count(DISTINCT l_returnflag || '.' || l_linestatus) AS n_codes
+FROM lineitem GROUP BY 1
+""")
+def map_key_union(spark, sf_dir):
+    """SET1: size of the union of the two runs' key sets per structure."""
+    p = paired_runs(spark, sf_dir, "full")
+    return p.select(STRUCTURE, F.size(M.key_union("a", "b")).cast("long").alias("n_codes"))
+
+
+@register("summary_combine_pair", f"""
+WITH h AS (
+  SELECT l_orderkey AS structure,
+         CASE WHEN l_shipdate < TIMESTAMP '{RUN_SPLIT_DATE}' THEN 1 ELSE 2 END AS run,
+         l_returnflag || '.' || l_linestatus AS code, l_quantity AS score
+  FROM lineitem),
+m AS (
+  SELECT structure, avg(score) FILTER (WHERE run = 1) AS m1, avg(score) FILTER (WHERE run = 2) AS m2
+  FROM h GROUP BY 1 HAVING count(*) FILTER (WHERE run = 1) > 0 AND count(*) FILTER (WHERE run = 2) > 0)
+SELECT structure, code, count(*) AS count, round((m1 + m2) / 2, 4) AS mid_mean
+FROM h JOIN m USING (structure) GROUP BY structure, code, m1, m2
+""")
+def summary_combine_pair(spark, sf_dir):
+    """AG10: two summaries of the same structure (one per run) combined: merged counts and the
+    midpoint of the two means. Only structures present in both runs have a pair."""
+    p = paired_runs(spark, sf_dir, "inner")
+    codes, mid = M.combine_pair("a", "mean_a", "b", "mean_b")
+    return (p.select(STRUCTURE, F.explode(codes).alias(CODE, "count"), r4(mid).alias("mid_mean")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 
