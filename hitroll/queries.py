@@ -12,8 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.operators import external as X
 from hitroll.operators import maps as M
 from hitroll.operators import scores as S
+from hitroll.operators import search as SE
 from hitroll.schema import BAD, CODE, DATASET, HITS, SCORE, STRUCTURE
 from hitroll.session import scratch_path
 from hitroll.sinks import files as SK
@@ -473,6 +475,39 @@ def summary_combine_pair(spark, sf_dir):
     return (p.select(STRUCTURE, F.explode(codes).alias(CODE, "count"), r4(mid).alias("mid_mean")))
 
 
+# ------------------------------------------------------------ phase 6: external command stage
+
+@register("external_command_stage", """
+SELECT doc_id, 0 AS rc, strlen(text) AS n_bytes FROM documents
+""")
+def external_command_stage(spark, sf_dir):
+    """UDF2 / PT1: a caller-supplied program (``wc -c`` on standard input) run once per
+    structure in ``mapInPandas``; exit code and output come back as columns."""
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = X.run_command(docs, ["wc", "-c"], key="doc_id", content="text", n_partitions=n)
+    return out.select("doc_id", "rc", F.trim("out").cast("long").alias("n_bytes"))
+
+
+# ------------------------------------------------------------ phase 7: labelled vector search
+
+@register("label_top_k", """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS neighbour_id, d.label,
+         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])) AS sim
+  FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, neighbour_id) AS rn
+      FROM pairs)
+SELECT query_id, CAST(rn AS INTEGER) AS rank, neighbour_id, label, round(sim, 4) AS similarity
+FROM r WHERE rn <= 3
+""")
+def label_top_k(spark, sf_dir):
+    """UDF5: leave-one-out labelled search of ``embeddings`` against itself, 3 best per vector."""
+    emb = T.table(spark, sf_dir, "embeddings")
+    res = SE.top_k(emb, emb, k=3, exclude_self=True)
+    return res.withColumn("similarity", r4("similarity"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 
