@@ -30,39 +30,48 @@ NAME = "{name}"       # placeholder for the record's key
 STAGE_SCHEMA = "rc int, out string, err string"
 
 
-def _run_one(command: Sequence[str], key: str, content, timeout: float, max_err: int,
-             workdir: str | None) -> tuple[int, str, str]:
+def _run_one(command: Sequence[str], key, content, timeout: float, max_err: int,
+             workdir: str | None, output_file: str | None) -> tuple[int, str | None, str]:
     data = content.encode("utf-8") if isinstance(content, str) else bytes(content or b"")
     args = [a.replace(NAME, str(key)) for a in command]
     needs_file = any(INPUT in a for a in args)
-    try:
-        if needs_file:
-            # The child reads a path: write the content to a private file, closed before start.
-            with tempfile.TemporaryDirectory(dir=workdir) as d:
+    # Every record runs in a private scratch folder of the executor, removed afterwards: the
+    # child's input file (closed before it starts) and any file it writes live only there.
+    with tempfile.TemporaryDirectory(dir=workdir) as d:
+        try:
+            if needs_file:
                 p = os.path.join(d, "input")
                 with open(p, "wb") as fh:
                     fh.write(data)
                 args = [a.replace(INPUT, p) for a in args]
                 r = subprocess.run(args, capture_output=True, timeout=timeout, cwd=d)
-        else:
-            r = subprocess.run(args, input=data, capture_output=True, timeout=timeout)
-        return (r.returncode, r.stdout.decode("utf-8", "replace"),
-                r.stderr.decode("utf-8", "replace")[-max_err:])
-    except subprocess.TimeoutExpired:
-        return -1, "", f"timeout after {timeout}s"
-    except OSError as e:
-        return -2, "", str(e)[-max_err:]
+            else:
+                r = subprocess.run(args, input=data, capture_output=True, timeout=timeout, cwd=d)
+        except subprocess.TimeoutExpired:
+            return -1, None, f"timeout after {timeout}s"
+        except OSError as e:
+            return -2, None, str(e)[-max_err:]
+        err = r.stderr.decode("utf-8", "replace")[-max_err:]
+        if output_file is None:
+            return r.returncode, r.stdout.decode("utf-8", "replace"), err
+        target = os.path.join(d, output_file.replace(NAME, str(key)))
+        if not os.path.exists(target):
+            return r.returncode, None, err          # no output file: "no output" (R1)
+        with open(target, "rb") as fh:
+            return r.returncode, fh.read().decode("utf-8", "replace"), err
 
 
 def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
                 content: str = "value", n_partitions: int | None = None,
                 timeout: float = 3600.0, max_err: int = 65536,
-                workdir: str | None = None) -> DataFrame:
+                workdir: str | None = None, output_file: str | None = None) -> DataFrame:
     """Run ``command`` once per row; returns ``(key, rc, out, err)``.
 
     ``command`` is an argument list; ``{input}`` is replaced by a path holding the row's
     ``content`` (text or bytes), ``{name}`` by its key. Without ``{input}`` the content is
-    written to the child's standard input.
+    written to the child's standard input. ``out`` is the child's standard output, or, with
+    ``output_file`` (e.g. ``"{name}_search.tsv"``), the content of that file in the child's
+    working folder, NULL when the child did not write it.
     """
     cmd = list(command)
     key_type = df.schema[key].dataType.simpleString()
@@ -72,7 +81,7 @@ def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
 
     def stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            res = [_run_one(cmd, k, c, timeout, max_err, workdir)
+            res = [_run_one(cmd, k, c, timeout, max_err, workdir, output_file)
                    for k, c in zip(pdf["_key"], pdf["_content"])]
             yield pd.DataFrame({"_key": pdf["_key"],
                                 "rc": [r[0] for r in res], "out": [r[1] for r in res],

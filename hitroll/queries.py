@@ -21,6 +21,7 @@ from hitroll.session import scratch_path
 from hitroll.sinks import files as SK
 from hitroll.sources import catalogue as CAT
 from hitroll.sources import files as FS
+from hitroll.sources import generator as G
 from hitroll.sources import hits as HF
 from hitroll.sources import tables as T
 from hitroll.streaming.ingest import ingest_texts
@@ -508,6 +509,31 @@ def label_top_k(spark, sf_dir):
     return res.withColumn("similarity", r4("similarity"))
 
 
+# ------------------------------------------------------------- phase 8: benchmark rows
+
+@register("generated_rows", G.oracle_entries_sql("orders", "o_orderkey") + """
+SELECT k AS id, sum(v) AS total_count, count(*) AS n_entries FROM kept GROUP BY 1
+""")
+def generated_rows(spark, sf_dir):
+    """SRC11 + PRJ6 + AG13: seeded benchmark rows, one per order, with their count maps
+    exploded and totalled per key (the notebook's DataFrame formulation)."""
+    rows = G.benchmark_rows(T.table(spark, sf_dir, "orders"), "o_orderkey")
+    e = rows.select(F.explode("count_dict").alias("id", "count"))
+    return e.groupBy("id").agg(F.sum("count").alias("total_count"),
+                               F.count(F.lit(1)).alias("n_entries"))
+
+
+@register("generated_stats", f"""
+SELECT count(*) AS n, round(avg(v), 4) AS mean, round(coalesce(stddev_samp(v), 0.0), 4) AS std_dev
+FROM (SELECT {G.oracle_value_sql("orders", "o_orderkey")} AS v FROM orders)
+""")
+def generated_stats(spark, sf_dir):
+    """AG12 + AG17: mean and sample standard deviation of the benchmark rows' float values."""
+    rows = G.benchmark_rows(T.table(spark, sf_dir, "orders"), "o_orderkey")
+    return rows.select(F.count(F.lit(1)).alias("n"), r4(F.avg("float_value")).alias("mean"),
+                       r4(F.coalesce(F.stddev_samp("float_value"), F.lit(0.0))).alias("std_dev"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 

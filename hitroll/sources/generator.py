@@ -1,0 +1,75 @@
+"""Seeded benchmark rows (SRC11, SC11): one row per row of a given table.
+
+Each row gets ``float_value`` uniform in [1, 100] and ``count_dict``: five draws of a key
+``id_1..id_10`` with a count 1..100, where a repeated key keeps its last draw (as a dict
+comprehension does). The reference draws from an unseeded generator; here the draws are a
+Park-Miller (minimal standard) sequence seeded by the row's key, computed with plain bigint
+arithmetic, so the rows are reproducible, independent of partitioning, and computable by any
+SQL engine (the DuckDB oracle repeats the formula).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Park-Miller modulus and multiplier, number of draws per row, key and count ranges.
+MODULUS = 2147483647
+MULTIPLIER = 48271
+N_DRAWS = 5
+N_KEYS = 10
+MAX_COUNT = 100
+
+
+def draw_factor(j: int) -> int:
+    """``MULTIPLIER ** j mod MODULUS``: the j-th state is ``draw_factor(j) * seed mod MODULUS``."""
+    return pow(MULTIPLIER, j, MODULUS)
+
+
+def seed(key: Column) -> Column:
+    return F.pmod(key.cast("long"), F.lit(MODULUS - 1)) + F.lit(1)
+
+
+def state(s0: Column, j: int) -> Column:
+    """Products stay below 2**62, so bigint arithmetic never overflows."""
+    return F.pmod(F.lit(draw_factor(j)) * s0, F.lit(MODULUS))
+
+
+def benchmark_rows(df: DataFrame, key: str) -> DataFrame:
+    """(key, float_value float, count_dict map<string,int>) for every row of ``df``."""
+    s0 = seed(F.col(key))
+    value = (F.lit(1.0) + F.lit(99.0) * state(s0, 1) / F.lit(float(MODULUS))).cast("float")
+    draws = F.array(*[
+        F.struct(F.lit(i).alias("i"),
+                 F.concat(F.lit("id_"), (F.pmod(state(s0, 2 * i), F.lit(N_KEYS)) + 1).cast("string"))
+                 .alias("k"),
+                 (F.pmod(state(s0, 2 * i + 1), F.lit(MAX_COUNT)) + 1).cast("int").alias("v"))
+        for i in range(1, N_DRAWS + 1)])
+
+    def last_wins(x, i):
+        later = F.slice(draws, i + 2, F.greatest(F.lit(N_DRAWS) - i - 1, F.lit(0)))
+        return ~F.exists(later, lambda y: y["k"] == x["k"])
+
+    kept = F.transform(F.filter(draws, last_wins), lambda x: F.struct(x["k"], x["v"]))
+    return df.select(F.col(key), value.alias("float_value"),
+                     F.map_from_entries(kept).alias("count_dict"))
+
+
+def oracle_entries_sql(table: str, key: str) -> str:
+    """DuckDB SQL for the kept (key, slot, k, v) entries of :func:`benchmark_rows`."""
+    slots = ", ".join(f"({i}, {draw_factor(2 * i)}, {draw_factor(2 * i + 1)})"
+                      for i in range(1, N_DRAWS + 1))
+    return f"""
+WITH g AS (SELECT {key} AS key, ({key} % {MODULUS - 1}) + 1 AS s0 FROM {table}),
+e AS (
+  SELECT key, i, 'id_' || CAST(1 + ((fk * s0) % {MODULUS}) % {N_KEYS} AS VARCHAR) AS k,
+         CAST(1 + ((fv * s0) % {MODULUS}) % {MAX_COUNT} AS INTEGER) AS v
+  FROM g CROSS JOIN (VALUES {slots}) AS t(i, fk, fv)),
+kept AS (
+  SELECT * FROM e WHERE NOT EXISTS (
+    SELECT 1 FROM e AS later WHERE later.key = e.key AND later.k = e.k AND later.i > e.i))"""
+
+
+def oracle_value_sql(table: str, key: str) -> str:
+    return (f"CAST(1.0 + 99.0 * ((({draw_factor(1)} * (({key} % {MODULUS - 1}) + 1)) % {MODULUS})"
+            f" / {float(MODULUS)}) AS FLOAT)")

@@ -65,7 +65,8 @@ def parse_hits(raw: DataFrame, structure: Column | None = None, key: str = CODE_
                .otherwise(jreason))
     sid = structure if structure is not None else structure_id(F.col("file_name"))
     extra = [c for c in raw.columns
-             if not (c.startswith("c") and c[1:].isdigit()) and c not in ("file_path", "file_name")]
+             if not (c.startswith("c") and c[1:].isdigit())
+             and c not in ("file_path", "file_name", STRUCTURE, SCORE, CODE, BAD, REASON)]
     return raw.select(*extra, sid.alias(STRUCTURE), score.alias(SCORE),
                       F.when(reason.isNull(), code).alias(CODE),
                       reason.isNotNull().alias(BAD), reason.alias(REASON))
