@@ -184,16 +184,21 @@ def event_hit_rows(spark, sf_dir):
               2: F.col("event_type"), 3: F.col("value").cast("string"),
               4: F.col("ts").cast("string"), 15: F.col("props")}
     cols = [fields.get(i, F.lit(None).cast("string")).alias(f"c{i}") for i in range(HF.N_FIELDS)]
-    return ev.select(*cols, F.col("event_type").alias(DATASET), F.col("user_id").alias("user"))
+    return ev.select(*cols, F.col("event_type").alias(DATASET))
 
 
 def event_hits_via_files(spark, sf_dir):
-    """Write the event hits as TSV hit files, then scan and parse them (SRC6 round trip)."""
+    """Write the event hits as TSV hit tables, then scan and parse them (SRC6 round trip).
+
+    One folder per dataset holds the hit rows of all its structures; field 0 carries the
+    structure (the search output's query column), so files need not be one per structure. The
+    per-structure ``<name>_search.tsv`` layout is read the same way, with the id taken from the
+    file name (tests and the job's ``--hits-dir``)."""
     path = scratch_path(spark, "hits")
-    SK.write_hit_files(event_hit_rows(spark, sf_dir), path, [DATASET, "user"])
-    raw = HF.read_hit_files(spark, path, glob="part-*")
-    sid = F.concat_ws("/", F.col(DATASET), F.col("user").cast("string"))
-    return HF.parse_hits(raw, structure=sid, key="k").withColumn("user_id", F.col("user").cast("long"))
+    SK.write_hit_files(event_hit_rows(spark, sf_dir), path, [DATASET], key="c0")
+    raw = HF.read_hit_files(spark, path, glob="part-*").withColumn("user_id", F.col("c0").cast("long"))
+    sid = F.concat_ws("/", F.col(DATASET), F.col("c0"))
+    return HF.parse_hits(raw, structure=sid, key="k")
 
 
 @register("hit_scan_tsv", """

@@ -58,31 +58,33 @@ def _parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def write_hit_files(rows: DataFrame, path: str, by: list[str], rows_per_file: int = 1_000_000,
-                    max_hot: int = 2_000_000) -> None:
-    """Hit files, one folder per structure (``by`` names the partition columns).
-
-    ``rows`` carries the 16 string fields c0..c15 plus ``by``. Rows are hash-partitioned on the
-    structure so each one is written by a single task, in parallel. A structure with more than
-    ``rows_per_file`` rows is spread over ``ceil(rows / rows_per_file)`` tasks (several files in
-    its folder, each with its header), so no task receives an unbounded group. The list of such
-    hot structures has at most ``total / rows_per_file`` entries; it is broadcast only after
-    checking that it has at most ``max_hot`` entries, and joined by shuffle otherwise.
+def write_hit_files(rows: DataFrame, path: str, by: list[str], key: str | None = None,
+                    rows_per_file: int = 1_000_000, max_hot: int = 2_000_000) -> None:
+    """Hit files in folders ``by`` (partition columns), tab-separated with a header.
+
+    ``rows`` carries the 16 string fields c0..c15 plus ``by``. Rows are hash-partitioned on
+    ``by`` + ``key`` (the structure) so each structure is written by one task and every task is
+    busy. A structure with more than ``rows_per_file`` rows is spread over
+    ``ceil(rows / rows_per_file)`` tasks (several files, each with its header), so no task
+    receives an unbounded group. The list of such hot structures has at most
+    ``total / rows_per_file`` entries; it is broadcast only after checking that it has at most
+    ``max_hot`` entries, and joined by shuffle otherwise.
     """
     spark = rows.sparkSession
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    keys = list(by) + ([key] if key else [])
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.where(F.col("_n") > rows_per_file)
-           .select(*by, F.ceil(F.col("_n") / rows_per_file).cast("int").alias("_k")))
+           .select(*keys, F.ceil(F.col("_n") / rows_per_file).cast("int").alias("_k")))
     n_hot = hot.count()
     if n_hot:
         side = F.broadcast(hot) if n_hot <= max_hot else hot
-        salted = (rows.join(side, by, "left")
+        salted = (rows.join(side, keys, "left")
                   .withColumn("_salt", F.pmod(F.xxhash64(*[f"c{i}" for i in range(16)]),
                                               F.coalesce(F.col("_k"), F.lit(1))))
                   .drop("_k"))
-        rows = salted.repartition(_parallelism(spark), *by, "_salt").drop("_salt")
+        rows = salted.repartition(_parallelism(spark), *keys, "_salt").drop("_salt")
     else:
-        rows = rows.repartition(_parallelism(spark), *by)
+        rows = rows.repartition(_parallelism(spark), *keys)
     w = rows.write.mode("overwrite").partitionBy(*by)
     for k, v in TSV_OPTIONS.items():
         w = w.option(k, v)

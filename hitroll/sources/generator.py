@@ -36,23 +36,28 @@ def state(s0: Column, j: int) -> Column:
 
 
 def benchmark_rows(df: DataFrame, key: str) -> DataFrame:
-    """(key, float_value float, count_dict map<string,int>) for every row of ``df``."""
+    """(key, float_value float, count_dict map<string,int>) for every row of ``df``.
+
+    "Last draw wins" is written out as plain comparisons between the five slots (draw i is
+    kept when no later draw has the same key), which stays inside generated code.
+    """
     s0 = seed(F.col(key))
     value = (F.lit(1.0) + F.lit(99.0) * state(s0, 1) / F.lit(float(MODULUS))).cast("float")
-    draws = F.array(*[
-        F.struct(F.lit(i).alias("i"),
-                 F.concat(F.lit("id_"), (F.pmod(state(s0, 2 * i), F.lit(N_KEYS)) + 1).cast("string"))
-                 .alias("k"),
-                 (F.pmod(state(s0, 2 * i + 1), F.lit(MAX_COUNT)) + 1).cast("int").alias("v"))
-        for i in range(1, N_DRAWS + 1)])
-
-    def last_wins(x, i):
-        later = F.slice(draws, i + 2, F.greatest(F.lit(N_DRAWS) - i - 1, F.lit(0)))
-        return ~F.exists(later, lambda y: y["k"] == x["k"])
-
-    kept = F.transform(F.filter(draws, last_wins), lambda x: F.struct(x["k"], x["v"]))
-    return df.select(F.col(key), value.alias("float_value"),
-                     F.map_from_entries(kept).alias("count_dict"))
+    keys = [F.concat(F.lit("id_"), (F.pmod(state(s0, 2 * i), F.lit(N_KEYS)) + 1).cast("string"))
+            for i in range(1, N_DRAWS + 1)]
+    vals = [(F.pmod(state(s0, 2 * i + 1), F.lit(MAX_COUNT)) + 1).cast("int")
+            for i in range(1, N_DRAWS + 1)]
+    rows = df.select(F.col(key), value.alias("float_value"),
+                     *[k.alias(f"_k{i}") for i, k in enumerate(keys)],
+                     *[v.alias(f"_v{i}") for i, v in enumerate(vals)])
+    entries = []
+    for i in range(N_DRAWS):
+        kept = F.lit(True)
+        for j in range(i + 1, N_DRAWS):
+            kept = kept & (F.col(f"_k{i}") != F.col(f"_k{j}"))
+        entries.append(F.when(kept, F.struct(F.col(f"_k{i}").alias("k"), F.col(f"_v{i}").alias("v"))))
+    return rows.select(F.col(key), "float_value",
+                       F.map_from_entries(F.array_compact(F.array(*entries))).alias("count_dict"))
 
 
 def oracle_entries_sql(table: str, key: str) -> str:
