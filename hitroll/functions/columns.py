@@ -53,10 +53,11 @@ def json_check(cell, key: str = CODE_KEY) -> tuple[Column, Column]:
     are rejected.
     """
     cell = _c(cell)
-    parsed = F.try_parse_json(cell)
+    parsed = F.try_parse_json(cell)            # the one JSON parse of the cell
     kind = F.schema_of_variant(parsed)
-    has_key = F.coalesce(F.array_contains(F.json_object_keys(cell), F.lit(key)), F.lit(False))
-    vkind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{key}", "variant"))
+    val = F.try_variant_get(parsed, f"$.{key}", "variant")
+    has_key = val.isNotNull()                  # JSON null is a variant null, not SQL NULL
+    vkind = F.schema_of_variant(val)
     reason = (F.when(parsed.isNull() | ~kind.startswith("OBJECT"), F.lit(R_JSON))
                .when(~has_key, F.lit(R_KEY))
                .when(vkind.startswith("OBJECT") | vkind.startswith("ARRAY"), F.lit(R_NESTED)))

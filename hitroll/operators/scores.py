@@ -9,11 +9,11 @@ one row per structure, again with partial aggregation, so a dominant dataset is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitroll.schema import (BAD, CODE, DATASET, HITS, NO_OUTPUT, REJECTED, SCORE, SCORED_OUTCOMES,
-                            STRUCTURE, ZERO_HITS)
+from hitroll.schema import (BAD, CODE, DATASET, HITS, NO_OUTPUT, REASON, REJECTED, SCORE,
+                            SCORED_OUTCOMES, STRUCTURE, ZERO_HITS)
 
 
 def _bad(hits: DataFrame) -> Column:
@@ -112,3 +112,63 @@ def code_summary(outcome_df: DataFrame, counts: DataFrame) -> DataFrame:
     return (counts.join(ok, STRUCTURE)
             .groupBy(DATASET, CODE).agg(F.sum("n").alias("count"))
             .where(F.col("count") > 0))
+
+
+# --------------------------------------------------------------- single pass at the code grain
+
+def code_grain(hits: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
+    """One aggregation of the hit rows at (structure, [extra keys], code) grain:
+    ``n`` rows, ``s`` score total, and ``bad`` (any row bad) when the hits carry validation.
+
+    Later levels (per structure, per dataset and code) derive from this much smaller table.
+    The map-side partial aggregation keeps a hot structure to one row per code per task.
+    """
+    keys = [STRUCTURE, *(extra_keys or []), CODE]
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(SCORE).alias("s")]
+    if BAD in hits.columns:
+        aggs.append(F.bool_or(BAD).alias(BAD))
+    if REASON in hits.columns:          # at most one entry per rejection reason
+        aggs.append(F.collect_set(REASON).alias("reasons"))
+    return hits.groupBy(*keys).agg(*aggs)
+
+
+def rejects_from_grain(grain: DataFrame) -> DataFrame:
+    """Rejected structures (n_bad, n_rows, reasons) from a grain of validated hits. Bad rows
+    have no code, so they sit in the grain rows whose code is NULL."""
+    return (grain.groupBy(STRUCTURE)
+            .agg(F.sum(F.when(F.col(BAD), F.col("n")).otherwise(F.lit(0))).alias("n_bad"),
+                 F.sum("n").alias("n_rows"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons"))))
+                 .alias("reasons"))
+            .where(F.col("n_bad") > 0))
+
+
+def per_structure_from_grain(grain: DataFrame) -> DataFrame:
+    """Same columns as :func:`per_structure`, from :func:`code_grain`. The mean is
+    ``sum(s) / sum(n)``, equal to the row mean for every structure that is not rejected."""
+    rej = F.bool_or(BAD) if BAD in grain.columns else F.lit(False)
+    return (grain.groupBy(STRUCTURE)
+            .agg(F.sum("n").alias("n_hits"),
+                 (F.sum("s") / F.sum("n")).alias("mean_score"),
+                 rej.alias("rejected")))
+
+
+def accepted(grain: DataFrame) -> DataFrame:
+    """Grain rows of structures with no bad row (R7), in one pass: ``bool_or(bad)`` over a
+    window on the structure. A window partition holds one row per code of a structure (bounded
+    by the code vocabulary), and no second scan or join of the grain is needed."""
+    if BAD not in grain.columns:
+        return grain
+    rej = F.bool_or(BAD).over(Window.partitionBy(STRUCTURE))
+    return grain.withColumn("_rej", rej).where(~F.col("_rej")).drop("_rej", BAD, "reasons")
+
+
+def code_totals(grain: DataFrame, structures: DataFrame | None = None) -> DataFrame:
+    """AG7 + R6 + R7 in one pass over the grain: total hits per (dataset, code) of accepted
+    structures. ``structures`` (structure, dataset) supplies the dataset and restricts to the
+    universe; without it the grain must carry ``dataset``."""
+    g = accepted(grain).where(F.col(CODE).isNotNull())
+    if structures is not None:
+        g = g.join(structures.select(STRUCTURE, DATASET), STRUCTURE)
+    return (g.groupBy(DATASET, CODE).agg(F.sum("n").alias("count"))
+            .where(F.col("count") > 0))

@@ -1,7 +1,7 @@
 """The batch job (Entry A, PT4): annotate every structure file of the requested datasets and
 write the per-dataset statistics and code summaries.
 
-    spark-submit -m hitroll.plans.job --out /summary_outputs \\
+    spark-submit --py-files hitroll.zip scripts/run_job.py --out /summary_outputs \\
         --command 'python3 search.py easy-search {input} db {name} tmp' \\
         --output-file '{name}_search.tsv' ecoli human
 
@@ -11,7 +11,8 @@ One logical plan for all datasets (the reference loops over them one job at a ti
 2. run the search command per structure (``mapInPandas``), or read existing hit files;
 3. **write the stage output** to the shared folder (Parquet): the expensive, opaque step is never
    recomputed, and lineage is cut for the rest of the job (executors may be lost at any time);
-4. parse hit rows, reject malformed structures as a unit, compute the three-state outcome;
+4. parse hit rows once into the (structure, code) grain (written), reject malformed structures
+   as a unit, compute the three-state outcome;
 5. write the per-structure table partitioned by dataset, the rejects, one statistics CSV
    (``plDDT_means.csv``) and one code-summary CSV per dataset (``<dataset>_cath_summary.csv``).
 """
@@ -95,11 +96,14 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
     else:
         raise ValueError("give a command or a folder of hit files")
 
-    per = S.per_structure(hits)
-    outcome = S.outcomes(universe, per, listed)
+    # Hits are parsed once: the rejects and the code grain are written, everything else is
+    # derived from the grain (one row per structure and code).
+    S.code_grain(hits).write.mode("overwrite").parquet(f"{work}/grain")
+    grain = spark.read.parquet(f"{work}/grain")
+    S.rejects_from_grain(grain).write.mode("overwrite").parquet(f"{out}/rejects")
+    outcome = S.outcomes(universe, S.per_structure_from_grain(grain), listed)
     outcome.write.mode("overwrite").partitionBy(DATASET).parquet(f"{out}/structures")
     outcome = spark.read.parquet(f"{out}/structures")
-    HF.rejects(hits).write.mode("overwrite").parquet(f"{out}/rejects")
     if failures is not None:
         failures.write.mode("overwrite").parquet(f"{out}/failures")
 
@@ -109,7 +113,7 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
         F.col(DATASET).alias("organism"), F.col("mean_score").cast("float").alias("mean plddt"),
         F.col("std_score").cast("float").alias("plddt std")), out, "plDDT_means")
 
-    codes = S.code_summary(outcome, S.code_counts(hits)).cache()
+    codes = S.code_totals(grain, outcome.where(F.col("outcome") == "hits")).cache()
     for e in entries:                                    # one small file per catalogued dataset
         SK.write_single_csv(codes.where(F.col(DATASET) == e.name).select(
             F.col(CODE).alias("cath_code"), F.col("count").cast("int").alias("count")),

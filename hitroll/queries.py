@@ -75,9 +75,10 @@ SELECT o_orderpriority AS dataset, l_returnflag || '.' || l_linestatus AS code,
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2
 """)
 def code_summary(spark, sf_dir):
-    hits = T.lineitem_hits(spark, sf_dir)
-    out = S.outcomes(T.order_structures(spark, sf_dir), S.per_structure(hits))
-    return S.code_summary(out, S.code_counts(hits))
+    """Code totals per dataset; hits aggregated once at the code grain (one scan of each
+    table; the universe join supplies the dataset)."""
+    grain = S.code_grain(T.lineitem_hits(spark, sf_dir))
+    return S.code_totals(grain, T.order_structures(spark, sf_dir))
 
 
 @register("structure_scores", """
@@ -158,10 +159,7 @@ SELECT dataset, code, count(*) AS count FROM h JOIN ok USING (dataset, user_id)
 """)
 def json_code_summary(spark, sf_dir):
     """Codes read from a JSON metadata cell (PRJ3, R9, R21), rejected structures excluded."""
-    hits = T.event_hits(spark, sf_dir)
-    structures = hits.select(STRUCTURE, DATASET).distinct()
-    out = S.outcomes(structures, S.per_structure(hits))
-    return S.code_summary(out, S.code_counts(hits))
+    return S.code_totals(S.code_grain(T.event_hits(spark, sf_dir), [DATASET]))
 
 
 @register("existing_artefacts", """
@@ -255,7 +253,10 @@ SELECT doc_id, length(text) AS n_chars, md5(text) AS md5 FROM documents
 """)
 def structure_scan_text(spark, sf_dir):
     """SRC1 + PRJ1: whole-file text scan, one row per file."""
-    path = written_documents(spark, sf_dir)
+    return scan_structure_texts(spark, written_documents(spark, sf_dir))
+
+
+def scan_structure_texts(spark, path):
     t = FS.read_texts(spark, path, glob="*.txt")
     body = FS.strip_final_newline("value")
     return t.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -86,3 +86,12 @@ def test_outcomes_from_files(spark, tmp_path):
     assert rej["bad_score.pdb"] == ["bad_score"]
     stats = S.dataset_statistics(S.scored(S.outcomes(universe, S.per_structure(hits), listed)))
     assert stats.first()["n_structures"] == sum(v in ("hits", "zero_hits") for v in out.values())
+
+
+def test_rejects_from_grain_match_row_rejects(spark, tmp_path):
+    folder = str(tmp_path)
+    write_cases(folder)
+    hits = HF.parse_hits(HF.read_hit_files(spark, folder))
+    want = sorted(tuple(r) for r in HF.rejects(hits).collect())
+    got = sorted(tuple(r) for r in S.rejects_from_grain(S.code_grain(hits)).collect())
+    assert got == want and len(got) == 6
