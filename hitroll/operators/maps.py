@@ -23,6 +23,24 @@ def structure_maps(counts: DataFrame, n_col: str = "n") -> DataFrame:
             .agg(F.map_from_entries(F.collect_list(F.struct(CODE, n_col))).alias("codes")))
 
 
+def run_pairs(grain: DataFrame, run_col: str = "run", runs: tuple = (1, 2)) -> DataFrame:
+    """Two summaries per structure from one grain ``(structure, run, code, n, s)``, side by side
+    without a self-join: one aggregation by structure with conditional aggregates per run.
+
+    Returns (structure, a, mean_a, n_a, b, mean_b, n_b): ``a``/``b`` are code maps (empty when the
+    run has no hits), ``mean_*`` NULL in that case.
+    """
+    cols = []
+    for tag, r in zip(("a", "b"), runs):
+        here = F.col(run_col) == F.lit(r)
+        n = F.sum(F.when(here, F.col("n")))
+        cols += [F.map_from_entries(F.collect_list(F.when(here & F.col(CODE).isNotNull(),
+                                                          F.struct(CODE, "n")))).alias(tag),
+                 (F.sum(F.when(here, F.col("s"))) / n).alias(f"mean_{tag}"),
+                 F.coalesce(n, F.lit(0)).alias(f"n_{tag}")]
+    return grain.groupBy(STRUCTURE).agg(*cols)
+
+
 def explode_sum(df: DataFrame, map_col: str = "codes", by: list[str] | None = None) -> DataFrame:
     """PRJ6 + AG7 + AG13: explode maps to (code, count) rows and total them per code.
 

@@ -97,9 +97,10 @@ SELECT l_orderkey AS structure, l_returnflag || '.' || l_linestatus AS code, cou
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1, 2
 """)
 def structure_code_counts(spark, sf_dir):
-    hits = T.lineitem_hits(spark, sf_dir)
-    ok = order_outcomes(spark, sf_dir).where(F.col("outcome") == HITS).select(STRUCTURE)
-    return S.code_counts(hits).join(ok, STRUCTURE, "left_semi")
+    """AG2: hits per (structure, code) for accepted structures of the universe."""
+    grain = S.accepted(S.code_grain(T.lineitem_hits(spark, sf_dir)))
+    universe = T.order_structures(spark, sf_dir).select(STRUCTURE)
+    return grain.join(universe, STRUCTURE, "left_semi").select(STRUCTURE, CODE, "n")
 
 
 @register("structure_outcomes", """
@@ -404,28 +405,15 @@ def partitioned_artefacts(spark, sf_dir):
 RUN_SPLIT_DATE = "1998-06-01"
 
 
-def two_run_maps(spark, sf_dir):
-    """Per structure and run: (structure, run, codes map, mean_score). Run 1 holds the hit rows
-    shipped before RUN_SPLIT_DATE, run 2 the rest; every row is in exactly one run."""
+def two_run_grain(spark, sf_dir):
+    """Hit rows of each structure in two runs, aggregated once at (structure, run, code):
+    run 1 holds the rows shipped before RUN_SPLIT_DATE, run 2 the rest (every row in one run)."""
     li = T.table(spark, sf_dir, "lineitem")
     run = F.when(F.col("l_shipdate") < F.lit(RUN_SPLIT_DATE).cast("timestamp"), 1).otherwise(2)
     hits = li.select(F.col("l_orderkey").alias(STRUCTURE), run.alias("run"),
                      F.col("l_quantity").alias(SCORE),
                      F.concat_ws(".", "l_returnflag", "l_linestatus").alias(CODE))
-    counts = hits.groupBy(STRUCTURE, "run", CODE).agg(F.count(F.lit(1)).alias("n"))
-    maps = (counts.groupBy(STRUCTURE, "run")
-            .agg(F.map_from_entries(F.collect_list(F.struct(CODE, "n"))).alias("codes")))
-    means = hits.groupBy(STRUCTURE, "run").agg(F.avg(SCORE).alias("mean_score"))
-    return maps.join(means, [STRUCTURE, "run"])
-
-
-def paired_runs(spark, sf_dir, how):
-    m = two_run_maps(spark, sf_dir)
-    a = m.where(F.col("run") == 1).select(STRUCTURE, F.col("codes").alias("a"),
-                                          F.col("mean_score").alias("mean_a"))
-    b = m.where(F.col("run") == 2).select(STRUCTURE, F.col("codes").alias("b"),
-                                          F.col("mean_score").alias("mean_b"))
-    return a.join(b, STRUCTURE, how)
+    return S.code_grain(hits, ["run"])
 
 
 @register("map_explode_sum", """
@@ -433,10 +421,11 @@ SELECT l_returnflag || '.' || l_linestatus AS code, count(*) AS total_count
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1
 """)
 def map_explode_sum(spark, sf_dir):
-    """PRJ6 + AG7 + AG13: per-structure code maps, exploded and totalled per code."""
-    hits = T.lineitem_hits(spark, sf_dir)
-    ok = order_outcomes(spark, sf_dir).where(F.col("outcome") == HITS).select(STRUCTURE)
-    maps = M.structure_maps(S.code_counts(hits).join(ok, STRUCTURE, "left_semi"))
+    """PRJ6 + AG7 + AG13: per-structure code maps of the universe's accepted structures,
+    exploded and totalled per code (one scan of each table)."""
+    grain = S.accepted(S.code_grain(T.lineitem_hits(spark, sf_dir)))
+    universe = T.order_structures(spark, sf_dir).select(STRUCTURE)
+    maps = M.structure_maps(grain.join(universe, STRUCTURE, "left_semi"))
     return M.explode_sum(maps)
 
 
@@ -447,7 +436,7 @@ FROM lineitem GROUP BY 1, 2
 def map_merge_pair(spark, sf_dir):
     """AG11 / JN4: the code maps of a structure's two runs merged key by key (full outer join
     of the runs, a missing side counting as empty), returned as rows."""
-    p = paired_runs(spark, sf_dir, "full")
+    p = M.run_pairs(two_run_grain(spark, sf_dir))
     merged = M.positive(M.merge_maps("a", "b"))
     return p.select(STRUCTURE, F.explode(merged).alias(CODE, "count"))
 
@@ -458,7 +447,7 @@ FROM lineitem GROUP BY 1
 """)
 def map_key_union(spark, sf_dir):
     """SET1: size of the union of the two runs' key sets per structure."""
-    p = paired_runs(spark, sf_dir, "full")
+    p = M.run_pairs(two_run_grain(spark, sf_dir))
     return p.select(STRUCTURE, F.size(M.key_union("a", "b")).cast("long").alias("n_codes"))
 
 
@@ -477,7 +466,7 @@ FROM h JOIN m USING (structure) GROUP BY structure, code, m1, m2
 def summary_combine_pair(spark, sf_dir):
     """AG10: two summaries of the same structure (one per run) combined: merged counts and the
     midpoint of the two means. Only structures present in both runs have a pair."""
-    p = paired_runs(spark, sf_dir, "inner")
+    p = M.run_pairs(two_run_grain(spark, sf_dir)).where((F.col("n_a") > 0) & (F.col("n_b") > 0))
     codes, mid = M.combine_pair("a", "mean_a", "b", "mean_b")
     return (p.select(STRUCTURE, F.explode(codes).alias(CODE, "count"), r4(mid).alias("mid_mean")))
 

@@ -2,8 +2,8 @@
 
 A structure file is one record. ``wholetext`` reads each file as one row; Spark packs many small
 files into one split (``spark.sql.files.openCostInBytes``), so a listing of millions of files
-becomes a manageable number of tasks. Use :func:`hitroll.plans.job.prepare_partitions` before a
-per-record stage that is expensive, since packing is by bytes, not by work.
+becomes a manageable number of tasks. Packing is by bytes, not by work, so an expensive
+per-record stage repartitions first (``operators.external.run_command(n_partitions=...)``).
 """
 
 from __future__ import annotations
