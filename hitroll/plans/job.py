@@ -25,7 +25,7 @@ import shlex
 import sys
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hitroll.operators import external as X
@@ -76,7 +76,9 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
     """Run the job; returns the paths written and the number of structures per outcome."""
     t0 = time.time()
     work = f"{shared_dir(spark)}/hitroll-job-{int(t0)}"
-    files = structure_files(spark, entries)
+    # AG15: the number of files read is observed while the stage runs, not by a second pass.
+    seen = Observation("structure_files")
+    files = structure_files(spark, entries).observe(seen, F.count(F.lit(1)).alias("files"))
     universe = files.select(STRUCTURE, DATASET)
 
     if command:
@@ -121,8 +123,9 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
     codes.unpersist()
     counts = {r["outcome"]: r["n"] for r in
               outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
-    log.info("job finished in %.2f s: %s", time.time() - t0, counts)
-    return {"out": out, "outcomes": counts, "seconds": time.time() - t0}
+    n_files = seen.get.get("files") if command else None
+    log.info("job finished in %.2f s: %s files read, outcomes %s", time.time() - t0, n_files, counts)
+    return {"out": out, "outcomes": counts, "files": n_files, "seconds": time.time() - t0}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -36,6 +36,7 @@ def test_job_end_to_end_and_rerun(spark, tmp_path):
     res = job.run(spark, entries, out, [sys.executable, str(script), "{input}", "{name}"],
                   output_file="{name}_search.tsv")
     assert res["outcomes"] == {"hits": 3, "no_output": 1}
+    assert res["files"] == 4
     stats = {r["organism"]: r for r in read_csv(f"{out}/plDDT_means.csv")}
     assert float(stats["one"]["mean plddt"]) == pytest.approx(7.25)    # mean of 6.5 and 8
     assert float(stats["one"]["plddt std"]) == pytest.approx(0.75)
@@ -58,3 +59,10 @@ def test_names_are_normalised_and_checked():
     with pytest.raises(ValueError, match="Choose from"):
         resolve(["mouse"], cat)
     assert job.parse_catalogue(["x=/data/x/:4"])[0] == Entry("x", "/data/x/", 4)
+
+
+def test_unknown_names_as_dataframe(spark):
+    from hitroll.sources.catalogue import catalogue_df, unknown_names
+    cat = catalogue_df(spark, job.parse_catalogue(None))
+    req = spark.createDataFrame([(" Human ",), ("mouse",), ("ECOLI",)], "dataset string")
+    assert [r[0] for r in unknown_names(req, cat).collect()] == ["mouse"]

@@ -42,3 +42,13 @@ def test_parse_summary_rules(spark):
             .collect()}
     assert rows["f"]["mean_score"] == 10.0 and dict(rows["f"]["m"]) == {"q": 4}   # last wins
     assert rows["g"]["mean_score"] == 0.0 and dict(rows["g"]["m"]) == {}
+
+
+def test_csv_dir_gzip_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    SK.write_csv_dir(df, str(tmp_path / "plain"))
+    SK.write_csv_dir(df, str(tmp_path / "gz"), compression="gzip")
+    assert any(n.endswith(".csv.gz") for n in os.listdir(tmp_path / "gz"))
+    for sub in ("plain", "gz"):
+        back = spark.read.schema("k string, v int").option("header", True).csv(str(tmp_path / sub))
+        assert sorted(tuple(r) for r in back.collect()) == [("a", 1), ("b", 2)]
