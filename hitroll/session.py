@@ -7,6 +7,7 @@ only when that setting is absent, which is the case in unit tests.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -75,3 +76,22 @@ def local_path(path: str) -> str:
 
 def is_local_fs(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
+
+
+def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input for a cluster run (pass as ``extra`` to build_session or as
+    ``--conf`` to spark-submit).
+
+    Scan splits of ``partition_bytes``; an initial shuffle partition count that keeps every
+    shuffle partition near ``partition_bytes`` even before partial aggregation shrinks the data
+    (so no task has to spill heavily), and at least two tasks per core. AQE then coalesces the
+    small partitions and splits skewed ones at run time. At 100 TB and 256 MiB this starts from
+    about 400,000 shuffle partitions.
+    """
+    n = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
