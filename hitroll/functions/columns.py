@@ -10,12 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the key of the JSON metadata cell that holds the classification code.
-CODE_KEY = "cath"
-# Fixed value: the suffix of a hit file name, removed to get the structure id.
-HIT_FILE_SUFFIX = "_search.tsv"
-# Fixed value: the marker before the mean score in a parsed-summary header line.
-MEAN_MARKER = "mean plddt:"
+from hitroll.fixed import CODE_KEY, HIT_FILE_SUFFIX, MEAN_MARKER  # noqa: F401 (re-exported)
 
 # A float literal as Python's float() reads it: optional sign, digits with single underscores
 # between them, optional fraction and exponent, or inf / infinity / nan in any case, with
@@ -39,7 +34,7 @@ def py_float(c) -> Column:
              .otherwise(cast))
 
 
-# Why a JSON metadata cell is unusable, in the order the checks apply.
+# Reasons a JSON metadata cell is unusable, in the order the checks apply.
 R_JSON, R_KEY, R_NESTED = "bad_json", "missing_key", "nested_value"
 
 

@@ -28,6 +28,9 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.fixed import (CODE_SUMMARY_COLUMNS, CODE_SUMMARY_SUFFIX, DATASETS,
+                           DEFAULT_MIN_PARTITIONS, STATISTICS_COLUMNS, STATISTICS_FILE,
+                           STRUCTURE_GLOB)
 from hitroll.operators import external as X
 from hitroll.operators import scores as S
 from hitroll.schema import CODE, DATASET, STRUCTURE
@@ -39,12 +42,7 @@ from hitroll.sources.catalogue import Entry, resolve
 
 log = logging.getLogger("hitroll.job")
 
-# The two datasets the reference knows, their folders and split counts.
-DEFAULT_CATALOGUE = [
-    Entry("ecoli", "/UP000000625_83333_ECOLI_v4/", 9),
-    Entry("human", "/UP000005640_9606_HUMAN_v4/", 72),
-]
-STRUCTURE_GLOB = "*.pdb"
+DEFAULT_CATALOGUE = [Entry(name, path, parts) for name, path, parts in DATASETS]
 
 
 def parse_catalogue(specs: list[str] | None) -> list[Entry]:
@@ -55,7 +53,7 @@ def parse_catalogue(specs: list[str] | None) -> list[Entry]:
     for s in specs:
         name, rest = s.split("=", 1)
         path, _, parts = rest.rpartition(":") if rest.rsplit(":", 1)[-1].isdigit() else (rest, "", "")
-        out.append(Entry(name, path, int(parts) if parts else 18))
+        out.append(Entry(name, path, int(parts) if parts else DEFAULT_MIN_PARTITIONS))
     return out
 
 
@@ -111,15 +109,17 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
 
     catalogue = spark.createDataFrame([(e.name,) for e in entries], f"{DATASET} string")
     stats = S.dataset_statistics(S.scored(outcome), catalogue=catalogue)
+    org, mean_col, std_col = STATISTICS_COLUMNS
     SK.write_single_csv(stats.select(
-        F.col(DATASET).alias("organism"), F.col("mean_score").cast("float").alias("mean plddt"),
-        F.col("std_score").cast("float").alias("plddt std")), out, "plDDT_means")
+        F.col(DATASET).alias(org), F.col("mean_score").cast("float").alias(mean_col),
+        F.col("std_score").cast("float").alias(std_col)), out, STATISTICS_FILE)
 
     codes = S.code_totals(grain, outcome.where(F.col("outcome") == "hits")).cache()
     for e in entries:                                    # one small file per catalogued dataset
         SK.write_single_csv(codes.where(F.col(DATASET) == e.name).select(
-            F.col(CODE).alias("cath_code"), F.col("count").cast("int").alias("count")),
-            out, f"{e.name}_cath_summary")
+            F.col(CODE).alias(CODE_SUMMARY_COLUMNS[0]),
+            F.col("count").cast("int").alias(CODE_SUMMARY_COLUMNS[1])),
+            out, f"{e.name}{CODE_SUMMARY_SUFFIX}")
     codes.unpersist()
     counts = {r["outcome"]: r["n"] for r in
               outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}

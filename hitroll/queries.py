@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.fixed import SAMPLE_FRACTION, STATISTICS_COLUMNS, STATISTICS_FILE
 from hitroll.operators import external as X
 from hitroll.operators import maps as M
 from hitroll.operators import scores as S
@@ -324,7 +325,7 @@ def dataset_catalogue(spark, sf_dir):
 @register("sample_structures", None)
 def sample_structures(spark, sf_dir):
     """FLT4: Bernoulli sample without replacement (fraction 0.005, seeded); rows-only check."""
-    return T.order_structures(spark, sf_dir).sample(False, 0.005, seed=42)
+    return T.order_structures(spark, sf_dir).sample(False, SAMPLE_FRACTION, seed=42)
 
 
 # ------------------------------------------------------------------------- phase 5: sinks
@@ -341,11 +342,11 @@ def csv_single_file_roundtrip(spark, sf_dir):
     """SNK1: the statistics table in the reference's output schema (float32 columns), written
     as one named CSV file, then read back."""
     st = dataset_summary(spark, sf_dir)
-    out = st.select(F.col(DATASET).alias("organism"),
-                    F.col("mean_score").cast("float").alias("mean plddt"),
-                    F.col("std_score").cast("float").alias("plddt std"))
+    org, mean_col, std_col = STATISTICS_COLUMNS
+    out = st.select(F.col(DATASET).alias(org), F.col("mean_score").cast("float").alias(mean_col),
+                    F.col("std_score").cast("float").alias(std_col))
     folder = scratch_path(spark, "summary")
-    target = SK.write_single_csv(out, folder, "plDDT_means")
+    target = SK.write_single_csv(out, folder, STATISTICS_FILE)
     return (spark.read.schema("organism string, `mean plddt` double, `plddt std` double")
             .option("header", True).csv(target))
 

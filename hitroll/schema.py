@@ -6,6 +6,8 @@ tables onto them.
 
 from pyspark.sql import types as T
 
+from hitroll.fixed import CODE_SUMMARY_COLUMNS, STATISTICS_COLUMNS
+
 STRUCTURE = "structure"   # one structure file (the unit of work)
 DATASET = "dataset"       # the named collection a structure belongs to
 SCORE = "score"           # per-hit score (field 3 of a hit row)
@@ -19,13 +21,13 @@ SCORED_OUTCOMES = (HITS, ZERO_HITS)
 
 # Output schemas of the batch job, as the reference writes them (R13: float32 / int32).
 STATISTICS_SCHEMA = T.StructType([
-    T.StructField("organism", T.StringType(), True),
-    T.StructField("mean plddt", T.FloatType(), True),
-    T.StructField("plddt std", T.FloatType(), True),
+    T.StructField(STATISTICS_COLUMNS[0], T.StringType(), True),
+    T.StructField(STATISTICS_COLUMNS[1], T.FloatType(), True),
+    T.StructField(STATISTICS_COLUMNS[2], T.FloatType(), True),
 ])
 CODE_SUMMARY_SCHEMA = T.StructType([
-    T.StructField("cath_code", T.StringType(), True),
-    T.StructField("count", T.IntegerType(), True),
+    T.StructField(CODE_SUMMARY_COLUMNS[0], T.StringType(), True),
+    T.StructField(CODE_SUMMARY_COLUMNS[1], T.IntegerType(), True),
 ])
 # Per-structure result of the reference's record stage (D6).
 STRUCTURE_RESULT_SCHEMA = T.StructType([

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitroll.functions.columns import MEAN_MARKER
+from hitroll.fixed import MEAN_MARKER, SUMMARY_SECOND_LINE
 from hitroll.schema import CODE, STRUCTURE
 
 TSV_OPTIONS = {"sep": "\t", "header": "true", "quote": '"', "escape": '"'}
@@ -127,7 +127,7 @@ def parsed_summary_text(per: DataFrame, counts: DataFrame, file_col: str = STRUC
     header = F.concat(F.lit("#"), F.col(file_col).cast("string"), F.lit(f" Results. {MEAN_MARKER} "),
                       mean_txt)
     return (per.join(lines, STRUCTURE, "left")
-            .select(STRUCTURE, F.concat_ws("\n", header, F.lit("cath_id,count"),
+            .select(STRUCTURE, F.concat_ws("\n", header, F.lit(SUMMARY_SECOND_LINE),
                                            F.col("body")).alias("value")))
 
 

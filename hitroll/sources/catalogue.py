@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.fixed import DEFAULT_MIN_PARTITIONS
 from hitroll.functions.columns import normalise_name
 from hitroll.schema import DATASET, STRUCTURE
 
@@ -21,7 +22,7 @@ from hitroll.schema import DATASET, STRUCTURE
 class Entry:
     name: str
     path: str
-    min_partitions: int = 18  # the reference's default split count
+    min_partitions: int = DEFAULT_MIN_PARTITIONS
 
 
 def catalogue_df(spark: SparkSession, entries: list[Entry]) -> DataFrame:

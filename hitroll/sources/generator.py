@@ -13,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Park-Miller modulus and multiplier, number of draws per row, key and count ranges.
+from hitroll.fixed import KEY_PREFIX, MAX_COUNT, N_DRAWS, N_KEYS, VALUE_RANGE
+
+# Generator constants (ours): Park-Miller minimal-standard modulus and multiplier.
 MODULUS = 2147483647
 MULTIPLIER = 48271
-N_DRAWS = 5
-N_KEYS = 10
-MAX_COUNT = 100
+LOW, HIGH = VALUE_RANGE
 
 
 def draw_factor(j: int) -> int:
@@ -42,8 +42,8 @@ def benchmark_rows(df: DataFrame, key: str) -> DataFrame:
     kept when no later draw has the same key), which stays inside generated code.
     """
     s0 = seed(F.col(key))
-    value = (F.lit(1.0) + F.lit(99.0) * state(s0, 1) / F.lit(float(MODULUS))).cast("float")
-    keys = [F.concat(F.lit("id_"), (F.pmod(state(s0, 2 * i), F.lit(N_KEYS)) + 1).cast("string"))
+    value = (F.lit(LOW) + F.lit(HIGH - LOW) * state(s0, 1) / F.lit(float(MODULUS))).cast("float")
+    keys = [F.concat(F.lit(KEY_PREFIX), (F.pmod(state(s0, 2 * i), F.lit(N_KEYS)) + 1).cast("string"))
             for i in range(1, N_DRAWS + 1)]
     vals = [(F.pmod(state(s0, 2 * i + 1), F.lit(MAX_COUNT)) + 1).cast("int")
             for i in range(1, N_DRAWS + 1)]
@@ -67,7 +67,7 @@ def oracle_entries_sql(table: str, key: str) -> str:
     return f"""
 WITH g AS (SELECT {key} AS key, ({key} % {MODULUS - 1}) + 1 AS s0 FROM {table}),
 e AS (
-  SELECT key, i, 'id_' || CAST(1 + ((fk * s0) % {MODULUS}) % {N_KEYS} AS VARCHAR) AS k,
+  SELECT key, i, '{KEY_PREFIX}' || CAST(1 + ((fk * s0) % {MODULUS}) % {N_KEYS} AS VARCHAR) AS k,
          CAST(1 + ((fv * s0) % {MODULUS}) % {MAX_COUNT} AS INTEGER) AS v
   FROM g CROSS JOIN (VALUES {slots}) AS t(i, fk, fv)),
 kept AS (
@@ -76,5 +76,5 @@ kept AS (
 
 
 def oracle_value_sql(table: str, key: str) -> str:
-    return (f"CAST(1.0 + 99.0 * ((({draw_factor(1)} * (({key} % {MODULUS - 1}) + 1)) % {MODULUS})"
+    return (f"CAST({LOW} + {HIGH - LOW} * ((({draw_factor(1)} * (({key} % {MODULUS - 1}) + 1)) % {MODULUS})"
             f" / {float(MODULUS)}) AS FLOAT)")

@@ -18,12 +18,12 @@ from hitroll.functions.columns import (CODE_KEY, HIT_FILE_SUFFIX, R_JSON, R_KEY,
                                        json_check, py_float, structure_id)
 from hitroll.schema import BAD, CODE, REASON, SCORE, STRUCTURE
 
-N_FIELDS = 16
-SCORE_FIELD, META_FIELD = 3, 15
+from hitroll.fixed import HIT_FIELDS as N_FIELDS
+from hitroll.fixed import META_FIELD, SCORE_FIELD
 HIT_SCHEMA = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(N_FIELDS)])
 HIT_DDL = ", ".join(f"c{i} string" for i in range(N_FIELDS))
 
-# The reasons a hit row is rejected, tested in this order (then the JSON reasons).
+# Reasons a hit row is rejected, tested in this order (then the JSON reasons).
 R_MISSING, R_SCORE = "missing_field", "bad_score"
 REASONS = (R_MISSING, R_SCORE, R_JSON, R_KEY, R_NESTED)
 
