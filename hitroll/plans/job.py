@@ -78,6 +78,7 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
     seen = Observation("structure_files")
     files = structure_files(spark, entries).observe(seen, F.count(F.lit(1)).alias("files"))
     universe = files.select(STRUCTURE, DATASET)
+    log.info("structure scan: %d input partitions", files.rdd.getNumPartitions())   # PT3
 
     if command:
         n = sum(e.min_partitions for e in entries)
