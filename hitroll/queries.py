@@ -505,6 +505,49 @@ def label_top_k(spark, sf_dir):
     return res.withColumn("similarity", r4("similarity"))
 
 
+SEARCH_PAIRS_SQL = """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, q.label AS qlabel, d.vec_id AS nid, d.label AS nlabel,
+         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])) AS sim
+  FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id),
+top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, nid) AS rn
+        FROM pairs)"""
+
+
+def search_annotation(spark, sf_dir):
+    """Structures annotated by the labelled search (top 3 neighbours, leave-one-out): hit rows
+    with the query's own label as its dataset, plus the structure universe."""
+    emb = T.table(spark, sf_dir, "embeddings")
+    universe = emb.select(F.col("vec_id").alias(STRUCTURE), F.col("label").cast("string").alias(DATASET))
+    hits = SE.as_hits(SE.top_k(emb, emb, k=3, exclude_self=True))
+    return universe, hits
+
+
+@register("search_dataset_summary", SEARCH_PAIRS_SQL + """,
+per AS (SELECT query_id, qlabel, avg(sim) AS m FROM top WHERE rn <= 3 GROUP BY 1, 2)
+SELECT CAST(qlabel AS VARCHAR) AS dataset, round(avg(m), 4) AS mean_score,
+       round(coalesce(stddev_pop(m), 0.0), 4) AS std_score, count(*) AS n_structures
+FROM per GROUP BY 1
+""")
+def search_dataset_summary(spark, sf_dir):
+    """UDF5 feeding the scoring operators: per dataset, mean and population std of each
+    structure's mean top-3 similarity (the search plays the external tool's role)."""
+    universe, hits = search_annotation(spark, sf_dir)
+    st = S.dataset_statistics(S.scored(S.outcomes(universe, S.per_structure(hits))))
+    return st.select(DATASET, r4("mean_score").alias("mean_score"),
+                     r4("std_score").alias("std_score"), "n_structures")
+
+
+@register("search_code_summary", SEARCH_PAIRS_SQL + """
+SELECT CAST(qlabel AS VARCHAR) AS dataset, CAST(nlabel AS VARCHAR) AS code, count(*) AS count
+FROM top WHERE rn <= 3 GROUP BY 1, 2
+""")
+def search_code_summary(spark, sf_dir):
+    """UDF5 + AG7: per dataset, how often each label was among the top-3 neighbours."""
+    universe, hits = search_annotation(spark, sf_dir)
+    return S.code_totals(S.code_grain(hits), universe)
+
+
 # ------------------------------------------------------------- phase 8: benchmark rows
 
 @register("generated_rows", G.oracle_entries_sql("orders", "o_orderkey") + """
