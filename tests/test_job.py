@@ -66,3 +66,22 @@ def test_unknown_names_as_dataframe(spark):
     cat = catalogue_df(spark, job.parse_catalogue(None))
     req = spark.createDataFrame([(" Human ",), ("mouse",), ("ECOLI",)], "dataset string")
     assert [r[0] for r in unknown_names(req, cat).collect()] == ["mouse"]
+
+
+def test_job_from_existing_hit_files(spark, tmp_path):
+    ds, hits, out = str(tmp_path / "ds"), str(tmp_path / "hits"), str(tmp_path / "out")
+    for name in ("a.pdb", "b.pdb", "c.pdb"):
+        write(ds, name, "ATOM\n")
+    header = "\t".join(f"h{i}" for i in range(16)) + "\n"
+
+    def row(score, code):
+        return "\t".join(["q", "t", "x", score] + ["f"] * 11 + ['{"cath": "%s"}' % code]) + "\n"
+    write(hits, "a.pdb_search.tsv", header + row("90", "1.10") + row("70", "2.20"))
+    write(hits, "b.pdb_search.tsv", header)                       # zero hits: mean 0, counted
+    res = job.run(spark, [Entry("one", ds, 1)], out, hits_dir=hits)  # c.pdb: no hit file
+    assert res["outcomes"] == {"hits": 1, "zero_hits": 1, "no_output": 1}
+    stats = read_csv(f"{out}/plDDT_means.csv")[0]
+    assert float(stats["mean plddt"]) == pytest.approx(40.0)         # mean of 80 and 0
+    assert float(stats["plddt std"]) == pytest.approx(40.0)
+    codes = {r["cath_code"]: int(r["count"]) for r in read_csv(f"{out}/one_cath_summary.csv")}
+    assert codes == {"1.10": 1, "2.20": 1}
