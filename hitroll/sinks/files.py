@@ -135,7 +135,3 @@ def write_parsed_summaries(text_df: DataFrame, path: str) -> None:
     """One ``.parsed``-style text file per structure (one row each, so no skew)."""
     (text_df.repartition(_parallelism(text_df.sparkSession), STRUCTURE)
      .write.mode("overwrite").partitionBy(STRUCTURE).text(path))
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
