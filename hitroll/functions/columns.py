@@ -7,7 +7,7 @@ a structure id is derived from a file name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitroll.fixed import CODE_KEY, HIT_FILE_SUFFIX, MEAN_MARKER  # noqa: F401 (re-exported)
@@ -64,6 +64,30 @@ def json_check(cell, key: str = CODE_KEY) -> tuple[Column, Column]:
     return F.when(reason.isNull(), text), reason
 
 
+def with_json_check(df: DataFrame, cell: str, key: str = CODE_KEY, code_col: str = "_code",
+                    reason_col: str = "_json_reason") -> DataFrame:
+    """:func:`json_check` as added columns, computed in stages: the cell is parsed once into a
+    variant column and every test reads that column, instead of each output column repeating
+    the parse. (Catalyst keeps the stages apart because it does not duplicate costly
+    expressions when collapsing projections.) Helper columns start with ``_j``."""
+    v = df.withColumn("_jv", F.try_parse_json(F.col(cell)))
+    v = (v.withColumn("_jkind", F.schema_of_variant("_jv"))
+          .withColumn("_jval", F.try_variant_get("_jv", f"$.{key}", "variant")))
+    v = v.withColumn("_jvkind", F.schema_of_variant("_jval"))
+    kind, val, vkind = F.col("_jkind"), F.col("_jval"), F.col("_jvkind")
+    reason = (F.when(F.col("_jv").isNull() | ~kind.startswith("OBJECT"), F.lit(R_JSON))
+               .when(val.isNull(), F.lit(R_KEY))
+               .when(vkind.startswith("OBJECT") | vkind.startswith("ARRAY"), F.lit(R_NESTED)))
+    text = (F.when(vkind == "VOID", F.lit("None"))
+             .when(vkind == "BOOLEAN",
+                   F.when(F.try_variant_get(val, "$", "boolean"), F.lit("True"))
+                    .otherwise(F.lit("False")))
+             .otherwise(F.try_variant_get(val, "$", "string")))
+    v = v.withColumn(reason_col, reason)
+    v = v.withColumn(code_col, F.when(F.col(reason_col).isNull(), text))
+    return v.drop("_jv", "_jkind", "_jval", "_jvkind")
+
+
 def json_code(cell, key: str = CODE_KEY) -> Column:
     """The code alone; NULL when the reference parser would raise on the cell."""
     return json_check(cell, key)[0]

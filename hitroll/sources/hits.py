@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitroll.functions.columns import (CODE_KEY, HIT_FILE_SUFFIX, R_JSON, R_KEY, R_NESTED, basename,
-                                       json_check, py_float, structure_id)
+                                       py_float, structure_id, with_json_check)
 from hitroll.schema import BAD, CODE, REASON, SCORE, STRUCTURE
 
 from hitroll.fixed import HIT_FIELDS as N_FIELDS
@@ -56,20 +56,24 @@ def parse_hits(raw: DataFrame, structure: Column | None = None, key: str = CODE_
     """Typed hit rows: (structure, score, code, bad, reason) plus any partition columns.
 
     ``structure`` defaults to the file name with the ``_search.tsv`` suffix removed (R16).
+    The score and the JSON cell are each parsed once (staged columns), then the reason, code
+    and flag are read from those columns.
     """
-    sc, meta = F.col(f"c{SCORE_FIELD}"), F.col(f"c{META_FIELD}")
-    score = py_float(sc)
-    code, jreason = json_check(meta, key)
-    reason = (F.when(sc.isNull() | meta.isNull(), F.lit(R_MISSING))
-               .when(score.isNull(), F.lit(R_SCORE))
-               .otherwise(jreason))
+    sc, meta = f"c{SCORE_FIELD}", f"c{META_FIELD}"
     sid = structure if structure is not None else structure_id(F.col("file_name"))
     extra = [c for c in raw.columns
              if not (c.startswith("c") and c[1:].isdigit())
              and c not in ("file_path", "file_name", STRUCTURE, SCORE, CODE, BAD, REASON)]
-    return raw.select(*extra, sid.alias(STRUCTURE), score.alias(SCORE),
-                      F.when(reason.isNull(), code).alias(CODE),
-                      reason.isNotNull().alias(BAD), reason.alias(REASON))
+    staged = raw.select(*extra, sid.alias(STRUCTURE), F.col(sc).alias("_sc"),
+                        F.col(meta).alias("_meta"), py_float(F.col(sc)).alias(SCORE))
+    staged = with_json_check(staged, "_meta", key, code_col="_code", reason_col="_jr")
+    reason = (F.when(F.col("_sc").isNull() | F.col("_meta").isNull(), F.lit(R_MISSING))
+               .when(F.col(SCORE).isNull(), F.lit(R_SCORE))
+               .otherwise(F.col("_jr")))
+    staged = staged.withColumn(REASON, reason)
+    return staged.select(*extra, STRUCTURE, SCORE,
+                         F.when(F.col(REASON).isNull(), F.col("_code")).alias(CODE),
+                         F.col(REASON).isNotNull().alias(BAD), REASON)
 
 
 def list_hit_files(spark: SparkSession, path: str, glob: str = f"*{HIT_FILE_SUFFIX}") -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitroll.functions.columns import json_code
+from hitroll.functions.columns import with_json_check
 from hitroll.schema import BAD, CODE, DATASET, SCORE, STRUCTURE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -43,15 +43,15 @@ def lineitem_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits carrying JSON metadata; a row whose JSON cell the parser rejects is marked bad."""
-    ev = table(spark, sf_dir, "events")
-    code = json_code(F.col("props"), key="k")
+    ev = table(spark, sf_dir, "events").select("event_type", "user_id", "value", "props")
+    ev = with_json_check(ev, "props", key="k", code_col=CODE, reason_col="_reason")
     return ev.select(
         F.col("event_type").alias(DATASET),
         F.col("user_id"),
         F.concat_ws("/", "event_type", F.col("user_id").cast("string")).alias(STRUCTURE),
         F.col("value").alias(SCORE),
-        code.alias(CODE),
-        code.isNull().alias(BAD))
+        CODE,
+        F.col("_reason").isNotNull().alias(BAD))
 
 
 def supplier_structures(spark: SparkSession, sf_dir: str) -> DataFrame:

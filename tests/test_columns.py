@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from hitroll.functions.columns import basename, json_check, py_float, structure_id
+from hitroll.functions.columns import basename, json_check, py_float, structure_id, with_json_check
 
 SCORES = [("90", 90.0), (" 5.5 ", 5.5), ("1_0", 10.0), ("1__0", None), ("_1", None),
           ("90d", None), ("0x10", None), ("1e3", 1000.0), ("-.5", -0.5), ("1.", 1.0),
@@ -49,8 +49,11 @@ def test_json_check(spark):
     df = spark.createDataFrame([(j,) for j, _, _ in JSON], "j string")
     code, reason = json_check("j")
     got = {r[0]: (r[1], r[2]) for r in df.select("j", code, reason).collect()}
+    staged = {r[0]: (r[1], r[2]) for r in
+              with_json_check(df, "j", code_col="c", reason_col="r").select("j", "c", "r").collect()}
     for j, c, why in JSON:
         assert got[j] == (c, why), j
+        assert staged[j] == (c, why), j
 
 
 @pytest.mark.parametrize("name,want", [("AF-P1-F1-model_v4.pdb_search.tsv", "AF-P1-F1-model_v4.pdb"),
