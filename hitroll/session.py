@@ -66,8 +66,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only when it is unset (tests, a bare local session) do we pick a private folder and register
     it, so that ``DataFrame.checkpoint()`` works as well.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = classic_context(spark)
+    if sc is None:                      # Spark Connect: only the session conf is available
+        if not d:
+            d = tempfile.mkdtemp(prefix="hitroll-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", d)
+        return d.rstrip("/")
+    d = d or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="hitroll-ckpt-")
         sc.setCheckpointDir(d)
@@ -76,6 +82,14 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def classic_context(spark: SparkSession):
+    """The SparkContext of a classic session, or None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions raise on sparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared scratch folder; never reused, so reruns cannot collide."""
     return f"{shared_dir(spark)}/hitroll/{name}-{uuid.uuid4().hex[:12]}"

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitroll.fixed import MEAN_MARKER, SUMMARY_SECOND_LINE
+from hitroll.session import classic_context
 from hitroll.schema import CODE, STRUCTURE
 
 TSV_OPTIONS = {"sep": "\t", "header": "true", "quote": '"', "escape": '"'}
@@ -34,9 +35,14 @@ def write_single_csv(df: DataFrame, folder: str, name: str) -> str:
     """
     spark = df.sparkSession
     folder = folder.rstrip("/")
+    if classic_context(spark) is None:
+        # Spark Connect has no access to the Hadoop FileSystem API: keep the folder form.
+        target = f"{folder}/{name}.csv"
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+        return target
     tmp = f"{folder}/_tmp_{name}_{uuid.uuid4().hex[:8]}"
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(tmp)
-    jvm = spark._jvm  # classic Spark only; under Spark Connect use write_csv_dir
+    jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
     src_dir = Path(tmp)
