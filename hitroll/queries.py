@@ -410,7 +410,7 @@ def two_run_grain(spark, sf_dir):
     """Hit rows of each structure in two runs, aggregated once at (structure, run, code):
     run 1 holds the rows shipped before RUN_SPLIT_DATE, run 2 the rest (every row in one run)."""
     li = T.table(spark, sf_dir, "lineitem")
-    run = F.when(F.col("l_shipdate") < F.lit(RUN_SPLIT_DATE).cast("timestamp"), 1).otherwise(2)
+    run = F.when(F.col("l_shipdate") < F.lit(RUN_SPLIT_DATE).cast("timestamp_ntz"), 1).otherwise(2)
     hits = li.select(F.col("l_orderkey").alias(STRUCTURE), run.alias("run"),
                      F.col("l_quantity").alias(SCORE),
                      F.concat_ws(".", "l_returnflag", "l_linestatus").alias(CODE))
