@@ -69,28 +69,31 @@ def write_hit_files(rows: DataFrame, path: str, by: list[str], key: str | None =
     """Hit files in folders ``by`` (partition columns), tab-separated with a header.
 
     ``rows`` carries the 16 string fields c0..c15 plus ``by``. Rows are hash-partitioned on
-    ``by`` + ``key`` (the structure) so each structure is written by one task and every task is
-    busy. A structure with more than ``rows_per_file`` rows is spread over
+    ``by`` + ``key`` (the structure) so each structure is written by one task; the partition
+    count is left to AQE, which merges small partitions so that few files are written per
+    folder. A structure with more than ``rows_per_file`` rows is spread over
     ``ceil(rows / rows_per_file)`` tasks (several files, each with its header), so no task
     receives an unbounded group. The list of such hot structures has at most
     ``total / rows_per_file`` entries; it is broadcast only after checking that it has at most
     ``max_hot`` entries, and joined by shuffle otherwise.
     """
-    spark = rows.sparkSession
     keys = list(by) + ([key] if key else [])
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (counts.where(F.col("_n") > rows_per_file)
            .select(*keys, F.ceil(F.col("_n") / rows_per_file).cast("int").alias("_k")))
-    n_hot = hot.count()
+    hot_stats = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_k").alias("salts")).first()
+    n_hot = hot_stats["n"]
     if n_hot:
         side = F.broadcast(hot) if n_hot <= max_hot else hot
         salted = (rows.join(side, keys, "left")
                   .withColumn("_salt", F.pmod(F.xxhash64(*[f"c{i}" for i in range(16)]),
                                               F.coalesce(F.col("_k"), F.lit(1))))
                   .drop("_k"))
-        rows = salted.repartition(_parallelism(spark), *keys, "_salt").drop("_salt")
+        # An explicit count keeps AQE from merging the hot structure's pieces back together.
+        n = max(_parallelism(rows.sparkSession), int(hot_stats["salts"]))
+        rows = salted.repartition(n, *keys, "_salt").drop("_salt")
     else:
-        rows = rows.repartition(_parallelism(spark), *keys)
+        rows = rows.repartition(*keys)
     w = rows.write.mode("overwrite").partitionBy(*by)
     for k, v in TSV_OPTIONS.items():
         w = w.option(k, v)
