@@ -7,3 +7,18 @@ population standard deviation, and counts per classification code.
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value into Spark task closures, so Python workers
+    need not have the package installed or on their path (they run ``mapInPandas`` stages)."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark is a dependency
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
