@@ -551,7 +551,7 @@ def search_code_summary(spark, sf_dir):
 # ------------------------------------------------------------- phase 8: benchmark rows
 
 @register("generated_rows", G.oracle_entries_sql("orders", "o_orderkey") + """
-SELECT k AS id, sum(v) AS total_count, count(*) AS n_entries FROM kept GROUP BY 1
+SELECT k AS id, CAST(sum(v) AS BIGINT) AS total_count, count(*) AS n_entries FROM kept GROUP BY 1
 """)
 def generated_rows(spark, sf_dir):
     """SRC11 + PRJ6 + AG13: seeded benchmark rows, one per order, with their count maps
