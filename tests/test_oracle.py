@@ -9,6 +9,8 @@ import __spark_entry__ as E
 from hitroll.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+         "float": "FLOAT", "boolean": "BOOLEAN"}
 
 
 def canon(cols, rows):
@@ -41,6 +43,11 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert canon(df.columns, rows) == canon(ocols, res.fetchall())
+    rel = con.sql(sql)
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    assert stypes == otypes
 
 
 def test_entry(spark):
