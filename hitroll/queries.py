@@ -177,8 +177,9 @@ def existing_artefacts(spark, sf_dir):
 # ------------------------------------------------------ phase 2: hit files with JSON metadata
 
 def event_hit_rows(spark, sf_dir):
-    """Hit rows in the 16-field layout, one hit file per (dataset, user): field 3 is the score
-    text, field 15 the JSON cell; a few other fields carry context, the rest stay empty."""
+    """Event rows in the 16-field hit layout, with the dataset as the folder column: field 0
+    is the structure (user), field 3 the score text, field 15 the JSON cell; a few other fields
+    carry context, the rest stay empty."""
     ev = T.table(spark, sf_dir, "events")
     fields = {0: F.col("user_id").cast("string"), 1: F.col("event_id").cast("string"),
               2: F.col("event_type"), 3: F.col("value").cast("string"),
