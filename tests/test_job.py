@@ -85,3 +85,22 @@ def test_job_from_existing_hit_files(spark, tmp_path):
     assert float(stats["plddt std"]) == pytest.approx(40.0)
     codes = {r["cath_code"]: int(r["count"]) for r in read_csv(f"{out}/one_cath_summary.csv")}
     assert codes == {"1.10": 1, "2.20": 1}
+
+
+def test_job_with_incremental_ingest(spark, tmp_path):
+    d1, out, ing = str(tmp_path / "ds"), str(tmp_path / "out"), str(tmp_path / "ingest")
+    write(d1, "a.pdb", "alpha x\n")
+    script = tmp_path / "search.py"
+    script.write_text(SEARCH)
+    cmd = [sys.executable, str(script), "{input}", "{name}"]
+    res = job.run(spark, [Entry("one", d1, 1)], out, cmd, output_file="{name}_search.tsv",
+                  ingest_dir=ing)
+    assert res["outcomes"] == {"hits": 1} and res["files"] == 1
+    write(d1, "b.pdb", "beta yy\ngamma zzz\n")        # arrives later: only b is ingested now
+    res = job.run(spark, [Entry("one", d1, 1)], out, cmd, output_file="{name}_search.tsv",
+                  ingest_dir=ing)
+    assert res["outcomes"] == {"hits": 2} and res["files"] == 2
+    table = spark.read.parquet(f"{ing}/one/table")
+    assert sorted(r["file_name"] for r in table.collect()) == ["a.pdb", "b.pdb"]
+    stats = {r["organism"]: r for r in read_csv(f"{out}/plDDT_means.csv")}
+    assert float(stats["one"]["mean plddt"]) == pytest.approx((7 + (7 + 9) / 2) / 2)
