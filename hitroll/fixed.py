@@ -20,7 +20,9 @@ MEAN_MARKER = "mean plddt:"
 SUMMARY_SECOND_LINE = "cath_id,count"
 
 # Structure files and the two known datasets: name, folder, input split count (18 by default).
-STRUCTURE_GLOB = "*.pdb"
+# (The reference unpacks "*.pdb.gz" to "*.pdb" first and ignores "*.cif.gz"; Spark reads the
+# compressed files directly, so both forms are accepted here.)
+STRUCTURE_GLOB = "*.{pdb,pdb.gz}"
 DEFAULT_MIN_PARTITIONS = 18
 DATASETS = (
     ("ecoli", "/UP000000625_83333_ECOLI_v4/", 9),

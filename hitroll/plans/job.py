@@ -72,18 +72,22 @@ def structure_files(spark: SparkSession, entries: list[Entry], glob: str = STRUC
             ingest_texts(spark, e.path, f"{base}/table", f"{base}/checkpoint", glob=glob,
                          run_tag=int(time.time()))
         parts = [spark.read.parquet(f"{ingest_dir.rstrip('/')}/{e.name}/table").select(
-            F.col("file_name").alias(STRUCTURE), F.lit(e.name).alias(DATASET), "value")
-            for e in entries]
+            _structure_name(), F.lit(e.name).alias(DATASET), "value") for e in entries]
     else:
         parts = [FS.read_texts(spark, e.path, glob).select(
-            F.col("file_name").alias(STRUCTURE), F.lit(e.name).alias(DATASET), "value")
-            for e in entries]
+            _structure_name(), F.lit(e.name).alias(DATASET), "value") for e in entries]
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p)
     return df
 
 
+def _structure_name():
+    """Structure id = file name, without a ``.gz`` ending (``x.pdb.gz`` is structure ``x.pdb``,
+    whose hit file is ``x.pdb_search.tsv``)."""
+    return F.regexp_replace(F.col("file_name"), r"\.gz$", "").alias(STRUCTURE)
+
+
 def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str] | None = None,
         output_file: str | None = None, hits_dir: str | None = None,
         timeout: float = 3600.0, ingest_dir: str | None = None) -> dict:

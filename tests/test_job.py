@@ -1,6 +1,7 @@
 """End-to-end batch job on hand-made structure files with a stand-in search program."""
 
 import csv
+import gzip
 import os
 import sys
 
@@ -28,6 +29,8 @@ def test_job_end_to_end_and_rerun(spark, tmp_path):
     write(d1, "b.pdb", "alpha zz\n")               # 8
     write(d1, "c.pdb", "\n")                       # the program writes nothing: no output
     write(d1, "ignored.cif", "alpha\n")            # not a structure file
+    with gzip.open(os.path.join(d1, "ignored.cif.gz"), "wt") as fh:
+        fh.write("alpha\n")
     write(d2, "d.pdb", "gamma\n")                  # 5
     script = tmp_path / "search.py"
     script.write_text(SEARCH)
@@ -104,3 +107,18 @@ def test_job_with_incremental_ingest(spark, tmp_path):
     assert sorted(r["file_name"] for r in table.collect()) == ["a.pdb", "b.pdb"]
     stats = {r["organism"]: r for r in read_csv(f"{out}/plDDT_means.csv")}
     assert float(stats["one"]["mean plddt"]) == pytest.approx((7 + (7 + 9) / 2) / 2)
+
+
+def test_job_reads_gzip_structures(spark, tmp_path):
+    d1, out = str(tmp_path / "ds"), str(tmp_path / "out")
+    os.makedirs(d1)
+    with gzip.open(os.path.join(d1, "z.pdb.gz"), "wt") as fh:     # read without unpacking
+        fh.write("delta abc\n")
+    write(d1, "y.pdb", "eps\n")
+    script = tmp_path / "search.py"
+    script.write_text(SEARCH)
+    res = job.run(spark, [Entry("one", d1, 1)], out,
+                  [sys.executable, str(script), "{input}", "{name}"], output_file="{name}_search.tsv")
+    assert res["outcomes"] == {"hits": 2}
+    rows = {r["structure"]: r["mean_score"] for r in spark.read.parquet(f"{out}/structures").collect()}
+    assert rows == {"z.pdb": 9.0, "y.pdb": 3.0}

@@ -52,3 +52,21 @@ def test_csv_dir_gzip_round_trip(spark, tmp_path):
     for sub in ("plain", "gz"):
         back = spark.read.schema("k string, v int").option("header", True).csv(str(tmp_path / sub))
         assert sorted(tuple(r) for r in back.collect()) == [("a", 1), ("b", 2)]
+
+
+def test_streaming_ingest_reads_gzip_once(spark, tmp_path):
+    import gzip
+
+    from hitroll.streaming.ingest import ingest_texts
+    src = tmp_path / "src"
+    src.mkdir()
+    with gzip.open(src / "a.pdb.gz", "wt") as fh:
+        fh.write("one\n")
+    table, ckpt = str(tmp_path / "t"), str(tmp_path / "c")
+    ingest_texts(spark, str(src), table, ckpt, glob="*.gz", run_tag=1)
+    (src / "b.pdb").write_text("two\n")            # not matched by the glob
+    with gzip.open(src / "c.pdb.gz", "wt") as fh:
+        fh.write("three\n")
+    ingest_texts(spark, str(src), table, ckpt, glob="*.gz", run_tag=2)
+    got = sorted((r["file_name"], r["value"], r["run"]) for r in spark.read.parquet(table).collect())
+    assert got == [("a.pdb.gz", "one\n", 1), ("c.pdb.gz", "three\n", 2)]
