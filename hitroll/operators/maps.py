@@ -41,6 +41,19 @@ def run_pairs(grain: DataFrame, run_col: str = "run", runs: tuple = (1, 2)) -> D
     return grain.groupBy(STRUCTURE).agg(*cols)
 
 
+def entries(df: DataFrame, map_col, key: str = CODE, value: str = "count",
+            keep: list | tuple = ()) -> DataFrame:
+    """PRJ6: one (key, value) row per map entry; empty and NULL maps give no rows.
+
+    Written as ``explode_outer`` plus a key filter, which is exactly ``explode`` because map
+    keys are never NULL. For a plain ``explode`` Catalyst infers ``size(map) > 0`` and pushes
+    it below the projection that builds the map, so a computed map would be built twice, the
+    second time outside generated code.
+    """
+    return (df.select(*keep, F.explode_outer(_c(map_col)).alias(key, value))
+            .where(F.col(key).isNotNull()))
+
+
 def explode_sum(df: DataFrame, map_col: str = "codes", by: list[str] | None = None) -> DataFrame:
     """PRJ6 + AG7 + AG13: explode maps to (code, count) rows and total them per code.
 
@@ -48,7 +61,7 @@ def explode_sum(df: DataFrame, map_col: str = "codes", by: list[str] | None = No
     Empty and NULL maps contribute nothing. Totals <= 0 are dropped, as ``Counter`` does (R6).
     """
     by = by or []
-    rows = df.select(*by, F.explode(map_col).alias(CODE, "count"))
+    rows = entries(df, map_col, keep=by)
     return (rows.groupBy(*by, CODE).agg(F.sum("count").alias("total_count"))
             .where(F.col("total_count") > 0))
 

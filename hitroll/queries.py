@@ -558,7 +558,7 @@ def generated_rows(spark, sf_dir):
     """SRC11 + PRJ6 + AG13: seeded benchmark rows, one per order, with their count maps
     exploded and totalled per key (the notebook's DataFrame formulation)."""
     rows = G.benchmark_rows(T.table(spark, sf_dir, "orders"), "o_orderkey")
-    e = rows.select(F.explode("count_dict").alias("id", "count"))
+    e = M.entries(rows, "count_dict", "id", "count")
     return e.groupBy("id").agg(F.sum("count").alias("total_count"),
                                F.count(F.lit(1)).alias("n_entries"))
 
