@@ -39,3 +39,17 @@ def test_structure_maps_and_get(spark):
     got = {r["structure"]: dict(r["codes"]) for r in m.collect()}
     assert got == {"s": {"x": 2, "y": 1}, "t": {"x": 5}}
     assert m.where("structure = 't'").select(M.get_or_zero("codes", "y")).first()[0] == 0
+
+
+def test_entries_skip_empty_and_null_maps(spark):
+    df = spark.createDataFrame([(1, {"x": 2, "y": 3}), (2, {}), (3, None)], "k int, m map<string,int>")
+    got = sorted(tuple(r) for r in M.entries(df, "m", keep=["k"]).collect())
+    assert got == [(1, "x", 2), (1, "y", 3)]
+
+
+def test_micro_benchmark_formulations_agree(spark):
+    from hitroll.plans.benchmark import compare
+    from hitroll.sources.generator import benchmark_rows
+    rows = benchmark_rows(spark.range(0, 2000).withColumnRenamed("id", "key"), "key")
+    res = compare(rows)
+    assert res["rows"] == 2000 and res["agree"]
