@@ -39,7 +39,9 @@ def benchmark_rows(df: DataFrame, key: str) -> DataFrame:
     """(key, float_value float, count_dict map<string,int>) for every row of ``df``.
 
     "Last draw wins" is written out as plain comparisons between the five slots (draw i is
-    kept when no later draw has the same key), which stays inside generated code.
+    kept when no later draw has the same key). Each slot is a one-entry map, or an empty one
+    when dropped, and ``map_concat`` joins them; unlike dropping NULL slots from an array
+    (a lambda), this stays inside generated code.
     """
     s0 = seed(F.col(key))
     value = (F.lit(LOW) + F.lit(HIGH - LOW) * state(s0, 1) / F.lit(float(MODULUS))).cast("float")
@@ -50,14 +52,14 @@ def benchmark_rows(df: DataFrame, key: str) -> DataFrame:
     rows = df.select(F.col(key), value.alias("float_value"),
                      *[k.alias(f"_k{i}") for i, k in enumerate(keys)],
                      *[v.alias(f"_v{i}") for i, v in enumerate(vals)])
-    entries = []
+    empty = F.create_map().cast("map<string,int>")
+    slots = []
     for i in range(N_DRAWS):
         kept = F.lit(True)
         for j in range(i + 1, N_DRAWS):
             kept = kept & (F.col(f"_k{i}") != F.col(f"_k{j}"))
-        entries.append(F.when(kept, F.struct(F.col(f"_k{i}").alias("k"), F.col(f"_v{i}").alias("v"))))
-    return rows.select(F.col(key), "float_value",
-                       F.map_from_entries(F.array_compact(F.array(*entries))).alias("count_dict"))
+        slots.append(F.when(kept, F.create_map(F.col(f"_k{i}"), F.col(f"_v{i}"))).otherwise(empty))
+    return rows.select(F.col(key), "float_value", F.map_concat(*slots).alias("count_dict"))
 
 
 def oracle_entries_sql(table: str, key: str) -> str:
