@@ -42,5 +42,8 @@ N_KEYS = 10
 MAX_COUNT = 100
 KEY_PREFIX = "id_"
 
+# Row counts at which the two benchmark formulations are compared.
+BENCHMARK_SIZES = (1000, 10000, 100000)
+
 # Sampling fraction of the prototype's structure sample.
 SAMPLE_FRACTION = 0.005

@@ -17,10 +17,12 @@ import math
 import time
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.fixed import BENCHMARK_SIZES
 from hitroll.operators.maps import entries
+from hitroll.sources.generator import benchmark_rows
 
 
 def dataframe_formulation(rows: DataFrame) -> tuple[dict, dict]:
@@ -62,3 +64,15 @@ def compare(rows: DataFrame) -> dict:
     df_t, rdd_t = t1 - t0, t2 - t1
     return {"rows": st_df["n"], "dataframe_sec": df_t, "rdd_sec": rdd_t,
             "difference_pct": (rdd_t - df_t) / df_t * 100.0 if df_t else None, "agree": agree}
+
+
+def sweep(spark: SparkSession, sizes=BENCHMARK_SIZES) -> list[dict]:
+    """PT5 at the reference's sizes: seeded rows for keys 0..n-1, cached once, both
+    formulations timed on the same rows."""
+    out = []
+    for n in sizes:
+        rows = benchmark_rows(spark.range(n).withColumnRenamed("id", "key"), "key").cache()
+        rows.count()
+        out.append(compare(rows))
+        rows.unpersist()
+    return out

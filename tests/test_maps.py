@@ -53,3 +53,9 @@ def test_micro_benchmark_formulations_agree(spark):
     rows = benchmark_rows(spark.range(0, 2000).withColumnRenamed("id", "key"), "key")
     res = compare(rows)
     assert res["rows"] == 2000 and res["agree"]
+
+
+def test_micro_benchmark_sweep_sizes(spark):
+    from hitroll.plans.benchmark import sweep
+    res = sweep(spark, sizes=(10, 300))
+    assert [r["rows"] for r in res] == [10, 300] and all(r["agree"] for r in res)
