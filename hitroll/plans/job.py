@@ -34,7 +34,7 @@ from hitroll.fixed import (CODE_SUMMARY_COLUMNS, CODE_SUMMARY_SUFFIX, DATASETS,
 from hitroll.operators import external as X
 from hitroll.operators import scores as S
 from hitroll.schema import CODE, DATASET, STRUCTURE
-from hitroll.session import build_session, shared_dir
+from hitroll.session import build_session, shared_dir, sizing_conf
 from hitroll.sinks import files as SK
 from hitroll.sources import files as FS
 from hitroll.sources import hits as HF
@@ -160,10 +160,18 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--hits-dir", help="folder of existing *_search.tsv hit files")
     ap.add_argument("--timeout", type=float, default=3600.0)
     ap.add_argument("--ingest-dir", help="compact structure files incrementally into Parquet here")
+    ap.add_argument("--input-bytes", type=int,
+                    help="total input size; sizes scan splits and shuffle partitions to it")
+    ap.add_argument("--total-cores", type=int,
+                    help="cluster cores for --input-bytes (default: the default parallelism)")
     a = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     entries = resolve(a.datasets, parse_catalogue(a.catalogue))   # raises on unknown names
     spark = build_session()
+    if a.input_bytes:
+        cores = a.total_cores or spark.sparkContext.defaultParallelism
+        for k, v in sizing_conf(a.input_bytes, cores).items():
+            spark.conf.set(k, v)   # runtime SQL settings: they apply to the jobs that follow
     try:
         run(spark, entries, a.out.rstrip("/"), shlex.split(a.command) if a.command else None,
             a.output_file, a.hits_dir, a.timeout, a.ingest_dir)

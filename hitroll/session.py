@@ -108,21 +108,29 @@ def is_local_fs(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
 
 
-def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def sizing_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20,
+                shuffle_partition_bytes: int = 256 << 20, shuffle_bytes: int | None = None
+                ) -> dict[str, str]:
     """Settings sized to the input for a cluster run (pass as ``extra`` to build_session or as
     ``--conf`` to spark-submit).
 
-    Scan splits of ``partition_bytes``; an initial shuffle partition count that keeps every
-    shuffle partition near ``partition_bytes`` even before partial aggregation shrinks the data
-    (so no task has to spill heavily), and at least two tasks per core. AQE then coalesces the
-    small partitions and splits skewed ones at run time. At 100 TB and 256 MiB this starts from
-    about 400,000 shuffle partitions.
+    Scan splits of ``split_bytes`` of file (a pruned columnar scan reads only part of each). The
+    shuffle partition count is sized from the bytes expected to be *shuffled*, not from the
+    input: the scans read a few columns and every aggregation combines map-side first, so
+    ``shuffle_bytes`` defaults to an eighth of the input (pass the shuffle size measured by an
+    earlier run when known). Each shuffle partition then holds about
+    ``shuffle_partition_bytes``, with at least two tasks per core. Sizing from the input
+    instead would multiply map and reduce tasks into ~10^11 shuffle blocks at 100 TB. AQE
+    coalesces small partitions and splits skewed ones at run time. At 100 TB this gives about
+    200,000 scan tasks and 50,000 shuffle partitions.
     """
-    n = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    if shuffle_bytes is None:
+        shuffle_bytes = input_bytes // 8
+    n = max(2 * total_cores, math.ceil(shuffle_bytes / shuffle_partition_bytes))
     return {
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(min(10000, 4 * total_cores)),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes // 2),
     }
