@@ -3,6 +3,7 @@
 import csv
 import gzip
 import os
+import subprocess
 import sys
 
 import pytest
@@ -122,3 +123,34 @@ def test_job_reads_gzip_structures(spark, tmp_path):
     assert res["outcomes"] == {"hits": 2}
     rows = {r["structure"]: r["mean_score"] for r in spark.read.parquet(f"{out}/structures").collect()}
     assert rows == {"z.pdb": 9.0, "y.pdb": 3.0}
+
+
+def _job_cli(tmp_path, *args):
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    return subprocess.run([sys.executable, "-m", "hitroll.plans.job", *args], cwd=str(tmp_path),
+                          env=env, capture_output=True, text=True, timeout=600)
+
+
+def test_job_wrapper_end_to_end_with_sizing(tmp_path):
+    d1, out = str(tmp_path / "ds"), str(tmp_path / "out")
+    write(d1, "a.pdb", "alpha x\n")
+    write(d1, "b.pdb", "beta yy\ngamma zzz\n")
+    script = tmp_path / "search.py"
+    script.write_text(SEARCH)
+    r = _job_cli(tmp_path, " One ", "--catalogue", f"one={d1}:2", "--out", out,
+                 "--command", f"{sys.executable} {script} {{input}} {{name}}",
+                 "--output-file", "{name}_search.tsv", "--input-bytes", str(1 << 30),
+                 "--total-cores", "8")
+    assert r.returncode == 0, r.stderr[-2000:]
+    stats = read_csv(f"{out}/plDDT_means.csv")
+    assert [s["organism"] for s in stats] == ["one"]
+    assert float(stats[0]["mean plddt"]) == pytest.approx(7.5)
+    assert float(stats[0]["plddt std"]) == pytest.approx(0.5)
+    codes = {r["cath_code"]: int(r["count"]) for r in read_csv(f"{out}/one_cath_summary.csv")}
+    assert codes == {"alpha": 1, "beta": 1, "gamma": 1}
+
+
+def test_job_wrapper_rejects_unknown_names(tmp_path):
+    r = _job_cli(tmp_path, "mouse", "--out", str(tmp_path / "out"))
+    assert r.returncode != 0
+    assert "mouse" in r.stderr and "ecoli" in r.stderr
