@@ -23,7 +23,8 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[4]", shuffle_partitions=8,
                           extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
-                                 "spark.sql.adaptive.enabled": "false"})
+                                 "spark.sql.adaptive.enabled": "false",
+                                 "spark.sql.maxMetadataStringLength": "10000"})
     out = ["# Physical plans (large-data shape)", "",
            "Generated by `scripts/plans.py`: broadcast joins off, AQE off. `*` marks operators",
            "inside whole-stage code generation; `Exchange` is a shuffle.", ""]
