@@ -35,8 +35,8 @@ def _run_one(command: Sequence[str], key, content, timeout: float, max_err: int,
     data = content.encode("utf-8") if isinstance(content, str) else bytes(content or b"")
     args = [a.replace(NAME, str(key)) for a in command]
     needs_file = any(INPUT in a for a in args)
-    # Every record runs in a private scratch folder of the executor, removed afterwards: the
-    # child's input file (closed before it starts) and any file it writes live only there.
+    # Every record runs in a private scratch folder, removed afterwards: the child's input file
+    # (closed before it starts) and any file it writes live only there.
     with tempfile.TemporaryDirectory(dir=workdir) as d:
         try:
             if needs_file:
@@ -61,6 +61,17 @@ def _run_one(command: Sequence[str], key, content, timeout: float, max_err: int,
             return r.returncode, fh.read().decode("utf-8", "replace"), err
 
 
+def _scratch_root() -> str | None:
+    """Inside a task: the executor's Spark-managed folder of this application (under
+    ``spark.local.dir`` or the cluster manager's local folders), which Spark removes when the
+    application ends, so a killed task leaves nothing behind on the machine."""
+    from pyspark import SparkFiles
+    try:
+        return SparkFiles.getRootDirectory()
+    except Exception:
+        return None
+
+
 def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
                 content: str = "value", n_partitions: int | None = None,
                 timeout: float = 3600.0, max_err: int = 65536,
@@ -71,7 +82,8 @@ def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
     ``content`` (text or bytes), ``{name}`` by its key. Without ``{input}`` the content is
     written to the child's standard input. ``out`` is the child's standard output, or, with
     ``output_file`` (e.g. ``"{name}_search.tsv"``), the content of that file in the child's
-    working folder, NULL when the child did not write it.
+    working folder, NULL when the child did not write it. Each child runs in a private folder
+    under ``workdir``, by default under the executor's Spark-managed application folder.
     """
     cmd = list(command)
     key_type = df.schema[key].dataType.simpleString()
@@ -80,8 +92,9 @@ def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
         src = src.repartition(n_partitions, "_key")
 
     def stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        root = workdir or _scratch_root()
         for pdf in batches:
-            res = [_run_one(cmd, k, c, timeout, max_err, workdir, output_file)
+            res = [_run_one(cmd, k, c, timeout, max_err, root, output_file)
                    for k, c in zip(pdf["_key"], pdf["_content"])]
             yield pd.DataFrame({"_key": pdf["_key"],
                                 "rc": [r[0] for r in res], "out": [r[1] for r in res],
