@@ -1,5 +1,6 @@
 """The command stage: exit codes, output capture, failures, timeouts, output files (UDF2)."""
 
+import os
 import sys
 
 from pyspark.sql import functions as F
@@ -48,3 +49,15 @@ def test_output_file_and_hit_parsing(spark, tmp_path):
                          structure=F.col("structure"))
     got = sorted((r["code"], r["score"]) for r in hits.collect())
     assert got == [("alpha", 9.0), ("alpha", 11.0), ("beta", 8.0)]
+
+
+def test_child_scratch_is_private_and_removed(spark):
+    from pyspark import SparkFiles
+    df = spark.createDataFrame([("a", "x"), ("b", "y")], "structure string, value string")
+    got = {r["structure"]: r["out"].strip() for r in
+           X.run_command(df, ["sh", "-c", "pwd"], n_partitions=2).collect()}
+    root = os.path.realpath(SparkFiles.getRootDirectory())   # local mode: same JVM as the tasks
+    assert got["a"] != got["b"]
+    for d in got.values():
+        assert os.path.realpath(d).startswith(root + os.sep)
+        assert not os.path.exists(d)
