@@ -16,7 +16,7 @@ from hitroll.session import build_session  # noqa: E402
 
 NAMES = ["dataset_summary", "code_summary", "structure_scores", "json_code_summary",
          "structure_code_counts", "map_explode_sum", "summary_combine_pair",
-         "empty_dataset_defaults", "generated_rows"]
+         "empty_dataset_defaults", "generated_rows", "label_top_k", "external_command_stage"]
 
 
 def main():
@@ -34,7 +34,7 @@ def main():
         scans = []
         for ln in tree:
             if "FileScan" in ln or "Scan parquet" in ln:
-                rs = re.search(r"ReadSchema: (struct<[^>]*>)", ln)
+                rs = re.search(r"ReadSchema: (struct<.*>)", ln)
                 pf = re.search(r"PushedFilters: (\[[^\]]*\])", ln)
                 tbl = re.search(r"\[file:[^\]]*/([a-z_]+)\.parquet\]", ln)
                 scans.append(f"- `{tbl.group(1) if tbl else '?'}`: reads `{rs.group(1) if rs else '?'}`"
