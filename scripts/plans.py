@@ -12,7 +12,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from hitroll import queries as Q  # noqa: E402
+from hitroll.operators import search as SE  # noqa: E402
 from hitroll.session import build_session  # noqa: E402
+from hitroll.sources import tables as T  # noqa: E402
 
 NAMES = ["dataset_summary", "code_summary", "structure_scores", "json_code_summary",
          "structure_code_counts", "map_explode_sum", "summary_combine_pair",
@@ -28,8 +30,14 @@ def main():
     out = ["# Physical plans (large-data shape)", "",
            "Generated by `scripts/plans.py`: broadcast joins off, AQE off. `*` marks operators",
            "inside whole-stage code generation; `Exchange` is a shuffle.", ""]
-    for name in NAMES:
-        text = Q.REGISTRY[name].run(spark, sf)._jdf.queryExecution().executedPlan().treeString()
+    runs = [(name, lambda name=name: Q.REGISTRY[name].run(spark, sf)) for name in NAMES]
+    # The search beyond its broadcast bound (the large-library case): blocked cogroup path.
+    emb = T.table(spark, sf, "embeddings")
+    runs.append(("label_top_k (blocked path)",
+                 lambda: SE.top_k(emb, emb, k=3, exclude_self=True, max_broadcast_bytes=0,
+                                  block_rows=512)))
+    for name, build in runs:
+        text = build()._jdf.queryExecution().executedPlan().treeString()
         tree = [ln for ln in text.splitlines() if ln.strip()]
         scans = []
         for ln in tree:
