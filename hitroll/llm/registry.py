@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from hitroll.llm import line_dedup
+from hitroll.llm import chat, line_dedup, quality, secret_scan
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op7_chat_formatting": chat.op7_chat_formatting,
+    "op8_quality_rules": quality.op8_quality_rules,
 }
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op7_chat_formatting": chat.OP7_SQL,
+    "op8_quality_rules": quality.OP8_SQL,
 }
