@@ -42,3 +42,19 @@ def lines_of(text: Column) -> Column:
 def words_of(text: Column) -> Column:
     """Maximal runs of anything but ASCII white space; null is no words."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE, -1), lambda w: w != F.lit(""))
+
+
+def tuck(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with the columns ``own``, all others in one struct ``__extra``: whatever they are
+    called, they cannot clash with an operator's working columns (which start with ``__``)."""
+    extra = [docs[f"`{c}`"] for c in docs.columns if c not in own]
+    kept = [docs[f"`{c}`"] for c in own]
+    return docs.select(*kept, F.struct(*extra).alias("__extra")) if extra else docs.select(*kept)
+
+
+def untuck(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, in its order, from a frame that came out of :func:`tuck`."""
+    there = set(df.columns)
+    extra = set(df.schema["__extra"].dataType.names) if "__extra" in there else set()
+    return df.select(*[(F.col("__extra").getField(c) if c in extra else F.col(f"`{c}`")).alias(c)
+                       for c in like.columns])

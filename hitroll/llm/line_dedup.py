@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitroll.llm.common import WHITE_SPACE, cut, lines_of, lower_ascii
+from hitroll.llm.common import WHITE_SPACE, cut, lines_of, lower_ascii, tuck, untuck
 from hitroll.session import scratch_path
 
 MIN_CHARS = 40
@@ -148,6 +148,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
             .drop("__lines", "__id", "__th", "__dropped"))
 
 
+def without_common_lines(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with the kept lines as text; ``n_chars``, where there is one, follows."""
+    kept = dedup_lines(tuck(docs, "doc_id", "text"), **settings)
+    out = untuck(kept, docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return dedup_lines(docs).select(

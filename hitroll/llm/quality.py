@@ -1,7 +1,7 @@
 """Quality rules with adaptive thresholds. DataFrame functions only.
 
 Base counts per document come first (words, symbols, repeated lines and 8-word windows). The
-verdict then compares four ratios with fences learned from the corpus itself: for every language
+verdict then compares a few ratios with fences learned from the corpus itself: for every language
 and source, each ratio is folded into a relative-error quantile sketch (counts of logarithmic
 bins). Sketches merge by adding counts, so a source with few documents borrows the merged sketch
 of its language, and a language with few documents that of the corpus. A fence is the upper
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hitroll.llm.common import NOT_WHITE, cut, lines_of, words_of
+from hitroll.llm.common import NOT_WHITE, cut, lines_of, tuck, untuck, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -44,6 +44,7 @@ RULES = (
     Rule("dup_line_ratio", 0.50),
     Rule("repeat_word_ratio", 0.25),
     Rule("word_length", 4.0),
+    Rule("stutter_ratio", 0.25),
 )
 
 
@@ -63,6 +64,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
     df = df.withColumn("__win", F.when(F.size("__h") >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.size("__h") - WINDOW),
         lambda i: F.xxhash64(*[F.get("__h", i + k) for k in range(WINDOW)]))))
+    df = df.withColumn("__n_stutter", F.size(F.filter(
+        "__h", lambda h, i: F.get("__h", i - 1).eqNullSafe(h))).cast("long"))
     df = df.withColumn("__sorted", F.when(
         F.size(F.array_distinct("__win")) < F.size("__win"),
         F.array_sort(F.transform("__win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
@@ -81,6 +84,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "__dup_line_ratio": _ratio("__n_dup_lines", "__n_lines"),
         "__repeat_word_ratio": _ratio("__n_repeat_words", "__n_words"),
         "__word_length": _ratio("__word_chars", "__n_words"),
+        "__stutter_ratio": _ratio("__n_stutter", "__n_words"),
     })
 
 
@@ -142,7 +146,7 @@ def judge(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP,
     columns, and nothing is counted twice."""
     keep = list(docs.columns if keep is None else keep)
     counted = base_counts(docs)
-    own = [c for c in counted.columns if c.startswith("__") and c not in docs.columns]
+    own = [c for c in counted.columns if c not in docs.columns]
     counted = cut(counted.select(*dict.fromkeys([*keep, "lang", "source", *own])), "quality")
     limits = cut(fences(sketches(counted, rules), rules, min_group), "quality-fences")
     limits = limits.withColumnsRenamed({"lang": "__l", "source": "__s"})
@@ -156,7 +160,8 @@ def judge(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP,
 
 def filter_quality(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judge(docs, rules, min_group).where("__kept").select(*docs.columns)
+    return untuck(judge(tuck(docs, "text", "lang", "source"), rules, min_group).where("__kept"),
+                  docs)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +177,8 @@ def _op8_sql() -> str:
     ratios = {"symbol_ratio": ("n_symbols", "word_chars"),
               "dup_line_ratio": ("n_dup_lines", "n_full_lines"),
               "repeat_word_ratio": ("n_repeat_words", "n_words"),
-              "word_length": ("word_chars", "n_words")}
+              "word_length": ("word_chars", "n_words"),
+              "stutter_ratio": ("n_stutter", "n_words")}
     cols = ", ".join(f"CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END AS {n}"
                      for n, (a, b) in ratios.items())
     long = " UNION ALL ".join(
@@ -210,13 +216,15 @@ g AS (SELECT rid, i, string_agg(word, ' ') OVER win AS gram, count(*) OVER win A
 r AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS times FROM g WHERE k = {WINDOW}),
 c AS (SELECT rid, least({WINDOW}, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, {WINDOW}))
              AS covered FROM r WHERE times >= 2),
+q AS (SELECT rid, i, word = lag(word) OVER (PARTITION BY rid ORDER BY i) AS again FROM p),
+t AS (SELECT rid, count(*) FILTER (WHERE again) AS n_stutter FROM q GROUP BY rid),
 n AS (SELECT rid, CAST(sum(covered) AS BIGINT) AS n_repeat_words FROM c GROUP BY rid),
 b AS (SELECT w.rid, doc_id, lang, source, len(ws) AS n_words,
              length(array_to_string(ws, '')) AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
              len(ls) AS n_full_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
-             coalesce(n_repeat_words, 0) AS n_repeat_words
-      FROM w LEFT JOIN n ON w.rid = n.rid),
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_stutter, 0) AS n_stutter
+      FROM w LEFT JOIN n ON w.rid = n.rid LEFT JOIN t ON w.rid = t.rid),
 judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words
                   AS base_failed, {cols} FROM b),
 long AS ({long}),{quartiles("own", ["lang", "source"])},{quartiles("bylang", ["lang"])},{
