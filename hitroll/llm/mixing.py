@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hitroll.llm.common import cut, words_of
+from hitroll.llm.common import cut, tuck, untuck, words_of
 
 MAX_EPOCHS = 2.0
 SECTIONS, PASSES = 32, 5
@@ -171,6 +171,12 @@ def sized_docs(docs: DataFrame) -> DataFrame:
                        .alias("tokens"))
 
 
+def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` repeated to the mix, with their own columns."""
+    plan = mixing_plan(cut(sized_docs(docs), "sized"), **settings)
+    return untuck(mix(tuck(docs, "doc_id", "source"), plan), docs)
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = cut(sized_docs(spark.read.parquet(f"{sf_dir}/documents.parquet")), "sized")
     mixed = mix(sized, mixing_plan(sized))
