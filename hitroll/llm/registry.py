@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from hitroll.llm import chat, line_dedup, quality, secret_scan
+from hitroll.llm import (chat, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing,
+                         quality, secret_scan, suffix_dedup)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_source_mixing": mixing.op2_source_mixing,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op4_suffix_array_dedup": suffix_dedup.op4_suffix_array_dedup,
+    "op5_ngram_jaccard": ngram_join.op5_ngram_jaccard,
+    "op6_html_extraction": html_extract.op6_html_extraction,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_embedding_near_dedup": embedding_dedup.op9_embedding_near_dedup,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op5_ngram_jaccard": ngram_join.OP5_SQL,
     "op7_chat_formatting": chat.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
+    "op9_embedding_near_dedup": embedding_dedup.OP9_SQL,
 }
