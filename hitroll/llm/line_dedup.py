@@ -46,11 +46,10 @@ class LineRuns:
             self.levels.append([])
         self.levels[level].append(name)
 
-    def _union(self, names: list[str]) -> DataFrame | None:
-        out = None
-        for n in names:
-            t = self.spark.table(n)
-            out = t if out is None else out.unionByName(t)
+    def _union(self, names: list[str]) -> DataFrame:
+        out = self.spark.table(names[0])
+        for n in names[1:]:
+            out = out.unionByName(self.spark.table(n))
         return out
 
     def runs(self) -> list[str]:
@@ -61,15 +60,13 @@ class LineRuns:
         that key in its document."""
         batch = lines.groupBy("h").agg(F.sum(F.col("first").cast("long")).alias("n_docs"),
                                        F.max("doc_id").alias("max_doc"))
-        known = self._union(self.runs())
-        if known is None:
-            own = batch.withColumn("is_new", F.lit(True))
-        else:
-            batch = cut(batch, "line-batch")
-            known = known.where("is_new").select("h")
-            own = (batch.join(known, "h", "left_anti").withColumn("is_new", F.lit(True))
-                   .unionByName(batch.join(known, "h", "left_semi")
-                                .withColumn("is_new", F.lit(False))))
+        batch = cut(batch, "line-batch")
+        fresh = batch
+        for run in self.runs():             # one merge anti-join per run, each read in its buckets
+            fresh = fresh.join(self.spark.table(run).where("is_new").select("h"), "h", "left_anti")
+        fresh = cut(fresh.select("h", F.lit(True).alias("fresh")), "line-fresh")
+        own = (batch.join(fresh, "h", "left")
+               .withColumn("is_new", F.col("fresh").isNotNull()).drop("fresh"))
         self._write(own, 0)
         level = 0
         while len(self.levels[level]) >= self.fan_in:
@@ -80,19 +77,23 @@ class LineRuns:
         names = self.levels[level]
         merged = self._totals(names).withColumn("is_new", F.lit(True))
         # A key's first sight may lie in an older level; there it is already marked new.
-        older = self._union([n for up in self.levels[level + 1:] for n in up])
-        if older is not None:
-            older = older.where("is_new").select("h", F.lit(True).alias("old"))
-            merged = (merged.join(older, "h", "left")
-                      .withColumn("is_new", F.col("old").isNull()).drop("old"))
+        for up in self.levels[level + 1:]:
+            for n in up:
+                older = (self.spark.table(n).where("is_new")
+                         .select("h", F.lit(True).alias("old")))
+                merged = (merged.join(older, "h", "left")
+                          .withColumn("is_new", F.col("is_new") & F.col("old").isNull())
+                          .drop("old"))
         self.levels[level] = []
         self._write(merged, level + 1)
         for n in names:
             self.spark.sql(f"DROP TABLE {n}")
 
     def _totals(self, names: list[str]) -> DataFrame:
-        return self._union(names).groupBy("h").agg(F.sum("n_docs").alias("n_docs"),
-                                                   F.max("max_doc").alias("max_doc"))
+        # The explicit exchange matters: a union of bucketed tables must not be taken to be
+        # partitioned by h already, since its scans may be planned without their buckets.
+        return (self._union(names).repartition(self.buckets, "h").groupBy("h")
+                .agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc")))
 
     def totals(self) -> DataFrame:
         """One row per key over all batches so far: ``h, n_docs, max_doc``."""
