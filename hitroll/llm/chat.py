@@ -85,11 +85,13 @@ def _pair(user: Column, assistant: Column) -> Column:
 
 
 def _listed(field: str, role: str, text: str):
-    known = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
-    return lambda get: F.transform(
-        get(field, f"array<struct<{role}:string,{text}:string>>"),
-        lambda m: F.struct(F.coalesce(F.element_at(known, m[role]), m[role], F.lit(""))
-                           .alias("role"), m[text].alias("text")))
+    def turns(get):
+        known = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
+        return F.transform(get(field, f"array<struct<{role}:string,{text}:string>>"),
+                           lambda m: F.struct(
+                               F.coalesce(F.element_at(known, m[role]), m[role], F.lit(""))
+                               .alias("role"), m[text].alias("text")))
+    return turns
 
 
 MAPPINGS = (

@@ -20,6 +20,8 @@ sources without tokens appear once; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,26 +51,18 @@ def _profile(totals: DataFrame, points: list[float], budget: float | None) -> li
     for i, a in enumerate(points):
         z, zlog, most, least = row[4 * i:4 * i + 4]
         epochs = most / least if budget is None else budget * most / z
-        out.append((_log(z) - a * zlog / z, epochs))
+        out.append((math.log(z) - a * zlog / z, epochs))
     return out
 
 
-def _log(x: float) -> float:
-    from math import log
-    return log(x)
-
-
 def find_exponent(totals: DataFrame, target_entropy: float | None = None,
                   max_epochs: float = MAX_EPOCHS, budget: float | None = None) -> float:
     """The smallest exponent whose weights repeat no source beyond ``max_epochs`` and, with a
     target, whose entropy has come down to it. ``budget`` is a multiple of all tokens."""
-    spark = totals.sparkSession
     grand = totals.agg(F.sum("total")).first()[0]
     if not grand:
         return 1.0
     shares = cut(totals.where("total > 0").withColumn("all", F.lit(grand)), "shares")
-    del spark
-
     def fits(entropy: float, epochs: float) -> bool:
         return epochs <= max_epochs * (1 + 1e-12) and (
             target_entropy is None or entropy <= target_entropy + 1e-12)
@@ -128,7 +122,7 @@ def mixing_plan(sized: DataFrame, target_entropy: float | None = None,
     blocks = blocks.withColumn("upto", F.sum("tokens").over(order))
     ends = plan.select(F.col("source").alias("__s"), "want")
     blocks = blocks.join(ends, blocks["source"].eqNullSafe(F.col("__s"))).drop("__s")
-    edges = blocks.groupBy("source").agg(
+    edges = blocks.where("want > 0").groupBy("source").agg(
         F.max(F.when(F.col("upto") <= F.col("want"), F.col("place"))).alias("last_place"),
         F.min(F.when(F.col("upto") > F.col("want"), F.col("place"))).alias("edge_place"),
         F.max(F.when(F.col("upto") <= F.col("want"), F.col("upto"))).alias("taken"),
