@@ -36,22 +36,18 @@ class LineRuns:
         self.spark, self.fan_in = spark, fan_in
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, df: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = scratch_path(self.spark, name)
         (df.select(*self.COLUMNS).repartition(self.buckets, "h").write
          .bucketBy(self.buckets, "h").sortBy("h")
-         .option("path", scratch_path(self.spark, name)).saveAsTable(name))
+         .option("path", self.paths[name]).saveAsTable(name))
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
 
-    def _union(self, names: list[str]) -> DataFrame:
-        out = self.spark.table(names[0])
-        for n in names[1:]:
-            out = out.unionByName(self.spark.table(n))
-        return out
-
     def runs(self) -> list[str]:
         return [n for level in self.levels for n in level]
 
@@ -90,10 +86,11 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE {n}")
 
     def _totals(self, names: list[str]) -> DataFrame:
-        # The explicit exchange matters: a union of bucketed tables must not be taken to be
-        # partitioned by h already, since its scans may be planned without their buckets.
-        return (self._union(names).repartition(self.buckets, "h").groupBy("h")
-                .agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc")))
+        # Read as plain files: a union of bucketed tables would be taken to be partitioned by h,
+        # although its scans may be planned without their buckets, and keys would not meet.
+        rows = self.spark.read.parquet(*[self.paths[n] for n in names])
+        return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"),
+                                     F.max("max_doc").alias("max_doc"))
 
     def totals(self) -> DataFrame:
         """One row per key over all batches so far: ``h, n_docs, max_doc``."""

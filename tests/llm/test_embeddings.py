@@ -35,8 +35,8 @@ def brute(vectors, threshold=0.95):
     low = {}
     for i in range(n):
         low[find(i)] = min(low.get(find(i), vectors[i][0]), vectors[i][0])
-    return sorted((vectors[i][0], links[i], low[find(i)], low[find(i)] == vectors[i][0])
-                  for i in range(n))
+    return sorted(((vectors[i][0], links[i], low[find(i)], low[find(i)] == vectors[i][0])
+                   for i in range(n)), key=repr)
 
 
 def group(rng, centre, n, noise):

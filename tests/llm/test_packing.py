@@ -41,13 +41,29 @@ def test_pieces_and_places(spark, tmp_path):
              (203, "<|endoftext|> x"), (None, "null id")]
     docs += [(300 + k, "same text") for k in range(100)]
     got = P.op10_best_fit_packing(spark, save(docs_frame(spark, docs), tmp_path)).collect()
-    tok = Tokenizer.from_file(P.tokenizer_path())
+    tok = Tokenizer.from_file(P.vocabulary_path(P.VOCABULARY))
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got),
                   key=repr) == brute_pieces(docs, tok, 2048)
     bins = check_bins(got, 2048)
     assert bins <= 1.02 * -(-sum(r.length for r in got) // 2048) + 1
 
 
+def test_both_libraries_give_the_same_ids():
+    vocabulary = P.vocabulary_path(P.VOCABULARY)
+    tok, encode = Tokenizer.from_file(vocabulary), P.encoder(vocabulary, P.vocabulary_path(P.RANKS))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 4000):
+        text = "".join(f"a{chr(c)}b 1{chr(c)}{chr(c)}2 {chr(c)} {chr(c)}'s  {chr(c)}!\n"
+                       for c in points[lo:lo + 4000])
+        assert encode(text) == tok.encode(text, add_special_tokens=False).ids
+    rng = random.Random(22)
+    letters = "aZé1 \n\t'!’\u3000\xa0\x85\u200b日あ한🙂٣½"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 12)))
+        text += rng.choice(["", "<|endoftext|>"]) + text
+        assert encode(text) == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_exact_lengths():
     assert P.piece_bounds(2048, 2048) == [(0, 2048)]
     assert P.piece_bounds(4096, 2048) == [(0, 2048), (2048, 2048)]
@@ -75,7 +91,7 @@ def test_plan_is_whole_and_tight():
 
 def test_sequences_hold_the_ids(spark):
     docs = docs_frame(spark, ["alpha beta", "gamma", "delta " * 3000])
-    tok = Tokenizer.from_file(P.tokenizer_path())
+    tok = Tokenizer.from_file(P.vocabulary_path(P.VOCABULARY))
     ids = [t for s in P.packed_sequences(docs).collect() for t in s.ids]
     assert len(ids) == sum(len(tok.encode(t, add_special_tokens=False).ids) + 1
                            for t in ["alpha beta", "gamma", "delta " * 3000])
