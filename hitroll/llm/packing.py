@@ -17,7 +17,6 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import os
 import zlib
 from bisect import bisect_left, insort
 
@@ -30,17 +29,47 @@ from hitroll.llm.common import cut
 
 CAPACITY = 2048
 CLOSING_ID = 0
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 RANK_GROUPS = 256
 
 
 # ------------------------------------------------------------------------------ tokenization
 
-def tokenizer_path(name: str = VOCABULARY) -> str:
+SPECIAL = "<|endoftext|>"      # the vocabulary's one special token
+
+
+def vocabulary_path(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
+def encoder(vocabulary: str, ranks: str):
+    """A function from text to ids of the tokenizer in ``vocabulary`` (no special tokens added).
+
+    ``ranks`` is the same vocabulary for another library, which gives the same ids several times
+    faster (a test compares them over every code point); the tokenizer itself encodes the texts
+    that hold the special token's string.
+    """
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+    with open(ranks, "rb") as fh:
+        table = {base64.b64decode(t): int(n) for t, n in map(bytes.split, fh)}
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
+                             special_tokens={})
+    exact = []
+
+    def encode(text: str) -> list[int]:
+        if SPECIAL not in text:
+            return fast.encode_ordinary(text)
+        if not exact:
+            exact.append(Tokenizer.from_file(vocabulary))
+        return exact[0].encode(text, add_special_tokens=False).ids
+    return encode
+
+
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     """``(start, length)`` of the pieces of a document of ``n`` ids."""
     if n <= capacity:
@@ -49,30 +78,25 @@ def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def tokenize_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
-                    keep_ids: bool = False) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None,
+                    capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) per piece of every document."""
-    path = path or tokenizer_path()
+    vocabulary = vocabulary or vocabulary_path(VOCABULARY)
+    ranks = ranks or vocabulary_path(RANKS)
 
-    def encode(batches):
+    def run(batches):
         import numpy as np
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok = Tokenizer.from_file(path)
+        ids_of = encoder(vocabulary, ranks)
         for batch in batches:
-            docs_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = ([], [], [], [], [], [])
-            for at in range(0, len(texts), 64):
-                encoded = tok.encode_batch_fast([t or "" for t in texts[at:at + 64]],
-                                                add_special_tokens=False)
-                for doc, e in zip(docs_[at:at + 64], encoded):
-                    ids = np.array([*e.ids, CLOSING_ID], dtype="<u4")
-                    for k, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
-                        part = ids[start:start + length]
-                        row = (doc, k, start, length, zlib.crc32(part.tobytes()), part.tolist()
-                               if keep_ids else None)
-                        for col, v in zip(out, row):
-                            col.append(v)
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.array([*ids_of(text.as_py() or ""), CLOSING_ID], dtype="<u4")
+                for k, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
+                    part = ids[start:start + length]
+                    row = (doc, k, start, length, zlib.crc32(part.tobytes()),
+                           part.tolist() if keep_ids else None)
+                    for col, v in zip(out, row):
+                        col.append(v)
             arrays = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
                       pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()),
                       pa.array(out[4], pa.int64())]
@@ -84,7 +108,7 @@ def tokenize_pieces(docs: DataFrame, path: str | None = None, capacity: int = CA
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return (docs.select(F.col("doc_id").cast("long"), "text")
-            .mapInArrow(encode, schema + (", ids array<int>" if keep_ids else "")))
+            .mapInArrow(run, schema + (", ids array<int>" if keep_ids else "")))
 
 
 # -------------------------------------------------------------------------------------- plan
