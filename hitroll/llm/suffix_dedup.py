@@ -36,7 +36,7 @@ from hitroll.llm.common import cut
 from hitroll.llm.shingles import _powers, mix
 
 LENGTH = 400
-GRAM = 32
+GRAM = 128                                 # longer strings in common by chance are rare
 GRID = 8                                   # bytes per symbol
 SYMBOLS = (LENGTH - GRID) // GRID          # whole symbols in a window, wherever it starts
 CELLS = (64, 8, 1)                         # starts that share a key when a group is dealt on
