@@ -1,14 +1,16 @@
 """Session construction and the shared scratch folder.
 
 Intermediate files (hit files written for a round trip, per-structure tables that cut lineage)
-go under the folder the cluster names in ``spark.checkpoint.dir``. A private folder is created
-only when that setting is absent, which is the case in unit tests.
+go under the folder the cluster names in ``spark.checkpoint.dir``. On a cluster that setting is
+required; only a ``local`` master without it gets a private folder. Scratch is deleted when the
+application ends.
 """
 
 from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,23 +63,16 @@ def _local_cores(master: str | None) -> int | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide scratch folder: ``spark.checkpoint.dir`` as the session has it.
-
-    Only when it is unset (tests, a bare local session) do we pick a private folder and register
-    it, so that ``DataFrame.checkpoint()`` works as well.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster-wide scratch folder: ``spark.checkpoint.dir`` as the session has it. Where it
+    is unset, a ``local`` master gets a private folder; anything else raises, because executors
+    could not reach a folder of the driver's machine."""
     sc = classic_context(spark)
-    if sc is None:                      # Spark Connect: only the session conf is available
-        if not d:
-            d = tempfile.mkdtemp(prefix="hitroll-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", d)
-        return d.rstrip("/")
-    d = d or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc and sc.getCheckpointDir())
     if not d:
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hitroll-ckpt-")
-        sc.setCheckpointDir(d)
-    elif not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
@@ -90,22 +85,23 @@ def classic_context(spark: SparkSession):
         return None
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared scratch folder; never reused, so reruns cannot collide."""
-    return f"{shared_dir(spark)}/hitroll/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers (tests only) can open the folder."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+_ROOTS: dict[str, str] = {}      # application id -> its folder under the shared one
 
 
-def is_local_fs(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the application's scratch folder; never reused, so reruns cannot
+    collide. The application's folder is deleted when its JVM ends."""
+    sc = classic_context(spark)
+    app = sc.applicationId if sc is not None else "connect"
+    if app not in _ROOTS:
+        root = f"{shared_dir(spark)}/hitroll/{app}-{uuid.uuid4().hex[:12]}"
+        if sc is not None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.mkdirs(path)
+            fs.deleteOnExit(path)
+        _ROOTS[app] = root
+    return f"{_ROOTS[app]}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def sizing_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20,
