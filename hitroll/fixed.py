@@ -15,14 +15,12 @@ CODE_KEY = "cath"
 
 # Parsed-summary text: first line "#<file> Results. mean plddt: <mean>" ("0" without hits),
 # second line "cath_id,count", then one "<code>,<count>" line per code.
-SUMMARY_FIRST_LINE = "#{file} Results. mean plddt: {mean}"
 MEAN_MARKER = "mean plddt:"
 SUMMARY_SECOND_LINE = "cath_id,count"
 
 # Structure files and the two known datasets: name, folder, input split count (18 by default).
-# (The reference unpacks "*.pdb.gz" to "*.pdb" first and ignores "*.cif.gz"; Spark reads the
-# compressed files directly, so both forms are accepted here.)
-STRUCTURE_GLOB = "*.{pdb,pdb.gz}"
+# (Packed files are read without unpacking them; other compressed forms are not structures.)
+PLAIN_GLOB, PACKED_GLOB = "*.pdb", "*.pdb.gz"
 DEFAULT_MIN_PARTITIONS = 18
 DATASETS = (
     ("ecoli", "/UP000000625_83333_ECOLI_v4/", 9),
@@ -35,15 +33,5 @@ STATISTICS_COLUMNS = ("organism", "mean plddt", "plddt std")
 CODE_SUMMARY_SUFFIX = "_cath_summary"
 CODE_SUMMARY_COLUMNS = ("cath_code", "count")
 
-# Benchmark rows: value uniform in [1, 100]; five draws of a key id_1..id_10 with a count 1..100.
-VALUE_RANGE = (1.0, 100.0)
-N_DRAWS = 5
-N_KEYS = 10
-MAX_COUNT = 100
-KEY_PREFIX = "id_"
-
-# Row counts at which the two benchmark formulations are compared.
-BENCHMARK_SIZES = (1000, 10000, 100000)
-
 # Sampling fraction of the prototype's structure sample.
 SAMPLE_FRACTION = 0.005

@@ -38,38 +38,19 @@ def py_float(c) -> Column:
 R_JSON, R_KEY, R_NESTED = "bad_json", "missing_key", "nested_value"
 
 
-def json_check(cell, key: str = CODE_KEY) -> tuple[Column, Column]:
-    """(code, reason) for a JSON metadata cell, following ``str(json.loads(cell)[key])``.
+def with_json_check(df: DataFrame, cell: str, key: str = CODE_KEY, code_col: str = "_code",
+                    reason_col: str = "_json_reason") -> DataFrame:
+    """Code and reason columns for a JSON metadata cell, following ``str(json.loads(cell)[key])``.
 
-    ``code`` is NULL exactly when ``reason`` is set: not JSON or not an object, key absent, or
+    The code is NULL exactly when the reason is set: not JSON or not an object, key absent, or
     the value is an object or array (unhashable as a dict key). JSON null becomes the text
     ``None`` and booleans ``True`` / ``False``, as Python prints them (R9). Known residual
     differences (R21): trailing text after the object is accepted, duplicate keys and ``NaN``
     are rejected.
-    """
-    cell = _c(cell)
-    parsed = F.try_parse_json(cell)            # the one JSON parse of the cell
-    kind = F.schema_of_variant(parsed)
-    val = F.try_variant_get(parsed, f"$.{key}", "variant")
-    has_key = val.isNotNull()                  # JSON null is a variant null, not SQL NULL
-    vkind = F.schema_of_variant(val)
-    reason = (F.when(parsed.isNull() | ~kind.startswith("OBJECT"), F.lit(R_JSON))
-               .when(~has_key, F.lit(R_KEY))
-               .when(vkind.startswith("OBJECT") | vkind.startswith("ARRAY"), F.lit(R_NESTED)))
-    text = (F.when(vkind == "VOID", F.lit("None"))
-             .when(vkind == "BOOLEAN",
-                   F.when(F.try_variant_get(parsed, f"$.{key}", "boolean"), F.lit("True"))
-                    .otherwise(F.lit("False")))
-             .otherwise(F.try_variant_get(parsed, f"$.{key}", "string")))
-    return F.when(reason.isNull(), text), reason
-
 
-def with_json_check(df: DataFrame, cell: str, key: str = CODE_KEY, code_col: str = "_code",
-                    reason_col: str = "_json_reason") -> DataFrame:
-    """:func:`json_check` as added columns, computed in stages: the cell is parsed once into a
-    variant column and every test reads that column, instead of each output column repeating
-    the parse. (Catalyst keeps the stages apart because it does not duplicate costly
-    expressions when collapsing projections.) Helper columns start with ``_j``."""
+    The cell is parsed once into a variant column and every test reads that column. (Catalyst
+    keeps the stages apart because it does not duplicate costly expressions when collapsing
+    projections.) Helper columns start with ``_j``."""
     v = df.withColumn("_jv", F.try_parse_json(F.col(cell)))
     v = (v.withColumn("_jkind", F.schema_of_variant("_jv"))
           .withColumn("_jval", F.try_variant_get("_jv", f"$.{key}", "variant")))
@@ -88,11 +69,6 @@ def with_json_check(df: DataFrame, cell: str, key: str = CODE_KEY, code_col: str
     return v.drop("_jv", "_jkind", "_jval", "_jvkind")
 
 
-def json_code(cell, key: str = CODE_KEY) -> Column:
-    """The code alone; NULL when the reference parser would raise on the cell."""
-    return json_check(cell, key)[0]
-
-
 def structure_id(name, suffix: str = HIT_FILE_SUFFIX) -> Column:
     """Structure id from a hit file name: the literal suffix removed (R16 fixed; the reference
     strips a character set, so ``sample_search.tsv`` would become ``sampl`` there)."""
@@ -108,3 +84,8 @@ def basename(path) -> Column:
 def normalise_name(c) -> Column:
     """Dataset names are compared stripped and lower-cased (R14)."""
     return F.lower(F.trim(_c(c)))
+
+
+def percent_difference(a, b) -> Column:
+    """SC13: how far ``b`` lies from ``a``, in percent of ``a``; NULL where ``a`` is 0."""
+    return F.try_divide(_c(b) - _c(a), _c(a)) * F.lit(100.0)

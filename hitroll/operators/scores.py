@@ -9,13 +9,19 @@ one row per structure, again with partial aggregation, so a dominant dataset is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitroll.schema import (BAD, CODE, DATASET, HITS, NO_OUTPUT, REASON, REJECTED, SCORE,
                             SCORED_OUTCOMES, STRUCTURE, ZERO_HITS)
 
 
+def keys_of(df: DataFrame) -> list[str]:
+    """A structure is known by its dataset and its name: two datasets may hold files of one name.
+    Tables without a dataset column (one dataset, or ids unique across datasets) key by name."""
+    return [DATASET, STRUCTURE] if DATASET in df.columns else [STRUCTURE]
+
+
 def _bad(hits: DataFrame) -> Column:
     return F.col(BAD) if BAD in hits.columns else F.lit(False)
 
@@ -26,7 +32,7 @@ def per_structure(hits: DataFrame) -> DataFrame:
     ``n_hits`` rows, ``mean_score`` (mean over all rows, NaN propagates as in the reference),
     ``rejected`` when any row is bad (the whole structure then has no output, R7).
     """
-    return (hits.groupBy(STRUCTURE)
+    return (hits.groupBy(*keys_of(hits))
             .agg(F.count(F.lit(1)).alias("n_hits"),
                  F.avg(SCORE).alias("mean_score"),
                  F.bool_or(_bad(hits)).alias("rejected")))
@@ -37,17 +43,18 @@ def outcomes(structures: DataFrame, per: DataFrame, listed: DataFrame | None = N
 
     ``structures``: (structure, dataset), one row per structure.
     ``per``: output of :func:`per_structure`.
-    ``listed``: optional (structure) rows for structures whose hit file exists. Without it, a
+    ``listed``: optional (structure) or (dataset, structure) rows for structures whose hit file exists. Without it, a
     structure with no hit rows counts as "zero hits" (table-sourced hits). With it, a structure
     that has no listed file has "no output".
 
     Returns (structure, dataset, outcome, n_hits, mean_score): ``mean_score`` is the mean for
     "hits", 0.0 for "zero_hits" and NULL for "no_output" / "rejected".
     """
-    j = structures.join(per, STRUCTURE, "left")
+    j = structures.join(per, keys_of(per), "left")
     if listed is not None:
-        flag = listed.select(STRUCTURE).distinct().withColumn("_listed", F.lit(True))
-        j = j.join(flag, STRUCTURE, "left")
+        keys = keys_of(listed)
+        flag = listed.select(*keys).distinct().withColumn("_listed", F.lit(True))
+        j = j.join(flag, keys, "left")
         has_file = F.coalesce(F.col("_listed"), F.lit(False))
     else:
         has_file = F.lit(True)
@@ -99,19 +106,7 @@ def sample_statistics(scored_df: DataFrame, value: str = "mean_score") -> DataFr
 
 def code_counts(hits: DataFrame) -> DataFrame:
     """AG2: hits per (structure, code). Partial aggregation first, so hot structures are cheap."""
-    return hits.groupBy(STRUCTURE, CODE).agg(F.count(F.lit(1)).alias("n"))
-
-
-def code_summary(outcome_df: DataFrame, counts: DataFrame) -> DataFrame:
-    """AG7 + R6: total hits per (dataset, code) over structures whose outcome is "hits".
-
-    Rejected structures contribute nothing (R7). Totals <= 0 are dropped as ``Counter`` addition
-    drops them (only reachable with foreign input). ``counts`` is (structure, code, n).
-    """
-    ok = outcome_df.where(F.col("outcome") == HITS).select(STRUCTURE, DATASET)
-    return (counts.join(ok, STRUCTURE)
-            .groupBy(DATASET, CODE).agg(F.sum("n").alias("count"))
-            .where(F.col("count") > 0))
+    return hits.groupBy(*keys_of(hits), CODE).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --------------------------------------------------------------- single pass at the code grain
@@ -123,7 +118,7 @@ def code_grain(hits: DataFrame, extra_keys: list[str] | None = None) -> DataFram
     Later levels (per structure, per dataset and code) derive from this much smaller table.
     The map-side partial aggregation keeps a hot structure to one row per code per task.
     """
-    keys = [STRUCTURE, *(extra_keys or []), CODE]
+    keys = [*keys_of(hits), *(extra_keys or []), CODE]
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(SCORE).alias("s")]
     if BAD in hits.columns:
         aggs.append(F.bool_or(BAD).alias(BAD))
@@ -135,7 +130,7 @@ def code_grain(hits: DataFrame, extra_keys: list[str] | None = None) -> DataFram
 def rejects_from_grain(grain: DataFrame) -> DataFrame:
     """Rejected structures (n_bad, n_rows, reasons) from a grain of validated hits. Bad rows
     have no code, so they sit in the grain rows whose code is NULL."""
-    return (grain.groupBy(STRUCTURE)
+    return (grain.groupBy(*keys_of(grain))
             .agg(F.sum(F.when(F.col(BAD), F.col("n")).otherwise(F.lit(0))).alias("n_bad"),
                  F.sum("n").alias("n_rows"),
                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons"))))
@@ -147,28 +142,27 @@ def per_structure_from_grain(grain: DataFrame) -> DataFrame:
     """Same columns as :func:`per_structure`, from :func:`code_grain`. The mean is
     ``sum(s) / sum(n)``, equal to the row mean for every structure that is not rejected."""
     rej = F.bool_or(BAD) if BAD in grain.columns else F.lit(False)
-    return (grain.groupBy(STRUCTURE)
+    return (grain.groupBy(*keys_of(grain))
             .agg(F.sum("n").alias("n_hits"),
                  (F.sum("s") / F.sum("n")).alias("mean_score"),
                  rej.alias("rejected")))
 
 
 def accepted(grain: DataFrame) -> DataFrame:
-    """Grain rows of structures with no bad row (R7), in one pass: ``bool_or(bad)`` over a
-    window on the structure. A window partition holds one row per code of a structure (bounded
-    by the code vocabulary), and no second scan or join of the grain is needed."""
+    """Grain rows of structures with no bad row (R7): the rejected structures, normally few, are
+    anti-joined. No structure's rows are gathered, and both sides read one exchange of the grain."""
     if BAD not in grain.columns:
         return grain
-    rej = F.bool_or(BAD).over(Window.partitionBy(STRUCTURE))
-    return grain.withColumn("_rej", rej).where(~F.col("_rej")).drop("_rej", BAD, "reasons")
+    rejected = grain.where(F.col(BAD)).select(*keys_of(grain)).distinct()
+    return grain.drop(BAD, "reasons").join(rejected, keys_of(grain), "left_anti")
 
 
 def code_totals(grain: DataFrame, structures: DataFrame | None = None) -> DataFrame:
     """AG7 + R6 + R7 in one pass over the grain: total hits per (dataset, code) of accepted
-    structures. ``structures`` (structure, dataset) supplies the dataset and restricts to the
-    universe; without it the grain must carry ``dataset``."""
+    structures. ``structures`` (structure, dataset) restricts to the universe and supplies the
+    dataset where the grain has none."""
     g = accepted(grain).where(F.col(CODE).isNotNull())
     if structures is not None:
-        g = g.join(structures.select(STRUCTURE, DATASET), STRUCTURE)
+        g = g.join(structures.select(STRUCTURE, DATASET), keys_of(g))
     return (g.groupBy(DATASET, CODE).agg(F.sum("n").alias("count"))
             .where(F.col("count") > 0))

@@ -6,23 +6,26 @@ are rounded to 4 places on both sides (R19); maps are returned exploded to rows.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hitroll.fixed import SAMPLE_FRACTION, STATISTICS_COLUMNS, STATISTICS_FILE
+from hitroll.fixed import CODE_SUMMARY_SUFFIX, SAMPLE_FRACTION, STATISTICS_COLUMNS, STATISTICS_FILE
 from hitroll.operators import external as X
 from hitroll.operators import maps as M
 from hitroll.operators import scores as S
 from hitroll.operators import search as SE
+from hitroll.operators.sample import keyed_sample, threshold
+from hitroll.functions.columns import basename, percent_difference, structure_id
+from hitroll.plans import job
 from hitroll.schema import BAD, CODE, DATASET, SCORE, STRUCTURE
 from hitroll.session import scratch_path
 from hitroll.sinks import files as SK
 from hitroll.sources import catalogue as CAT
 from hitroll.sources import files as FS
-from hitroll.sources import generator as G
 from hitroll.sources import hits as HF
 from hitroll.sources import tables as T
 from hitroll.streaming.ingest import ingest_texts
@@ -106,14 +109,19 @@ def structure_code_counts(spark, sf_dir):
 
 @register("structure_outcomes", """
 WITH per AS (
-  SELECT o_orderkey, o_orderpriority AS dataset, count(l_orderkey) AS n
-  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
-SELECT dataset, CASE WHEN n > 0 THEN 'hits' ELSE 'zero_hits' END AS outcome,
+  SELECT o_orderkey, o_orderpriority AS dataset, o_orderstatus, count(l_orderkey) AS n,
+         coalesce(bool_or(l_quantity = 50 AND l_linestatus = 'O'), false) AS bad
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3)
+SELECT dataset, CASE WHEN bad THEN 'rejected' WHEN o_orderstatus = 'P' THEN 'no_output'
+                     WHEN n > 0 THEN 'hits' ELSE 'zero_hits' END AS outcome,
        count(*) AS n_structures
 FROM per GROUP BY 1, 2
 """)
 def structure_outcomes(spark, sf_dir):
-    o = order_outcomes(spark, sf_dir)
+    """R1 / JN1: all four outcomes, from hits with malformed rows and a listing of hit files."""
+    o = S.outcomes(T.order_structures(spark, sf_dir),
+                   S.per_structure(T.order_hits_checked(spark, sf_dir)),
+                   T.listed_orders(spark, sf_dir))
     return o.groupBy(DATASET, "outcome").agg(F.count(F.lit(1)).alias("n_structures"))
 
 
@@ -131,16 +139,35 @@ def sample_stddev(spark, sf_dir):
                      r4("std_score").alias("std_score"), "n_structures")
 
 
+@register("sample_stddev_single", """
+WITH per AS (
+  SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS dataset, coalesce(avg(l_quantity), 0.0) AS m
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
+SELECT dataset, round(avg(m), 4) AS mean_score,
+       round(coalesce(stddev_samp(m), 0.0), 4) AS std_score, count(*) AS n_structures
+FROM per GROUP BY 1
+""")
+def sample_stddev_single(spark, sf_dir):
+    """AG12: the same per customer, where a dataset of one structure has a deviation of 0.0."""
+    universe = T.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias(STRUCTURE), F.col("o_custkey").cast("string").alias(DATASET))
+    per = S.per_structure(T.lineitem_hits(spark, sf_dir))
+    st = S.sample_statistics(S.scored(S.outcomes(universe, per)))
+    return st.select(DATASET, r4("mean_score").alias("mean_score"),
+                     r4("std_score").alias("std_score"), "n_structures")
+
+
 @register("empty_dataset_defaults", """
 WITH per AS (
   SELECT s_suppkey, n_name AS dataset, coalesce(avg(l_discount), 0.0) AS m
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
   LEFT JOIN lineitem ON s_suppkey = l_suppkey GROUP BY 1, 2),
 agg AS (SELECT dataset, avg(m) AS mean_score, stddev_pop(m) AS std_score, count(*) AS n
-        FROM per GROUP BY 1)
-SELECT n_name AS dataset, round(coalesce(mean_score, 0.0), 4) AS mean_score,
+        FROM per GROUP BY 1),
+names AS (SELECT n_name AS name FROM nation UNION SELECT r_name FROM region)
+SELECT name AS dataset, round(coalesce(mean_score, 0.0), 4) AS mean_score,
        round(coalesce(std_score, 0.0), 4) AS std_score, coalesce(n, 0) AS n_structures
-FROM nation LEFT JOIN agg ON n_name = dataset
+FROM names LEFT JOIN agg ON name = dataset
 """)
 def empty_dataset_defaults(spark, sf_dir):
     """R5: every catalogued dataset gets a row; one with nothing scored gets 0.0 / 0.0 / 0."""
@@ -151,17 +178,14 @@ def empty_dataset_defaults(spark, sf_dir):
                      r4("std_score").alias("std_score"), "n_structures")
 
 
-@register("json_code_summary", """
-WITH h AS (
-  SELECT event_type AS dataset, user_id,
-         CASE WHEN json_valid(props) THEN json_extract_string(props, '$.k') END AS code
-  FROM events),
-ok AS (SELECT dataset, user_id FROM h GROUP BY 1, 2 HAVING bool_and(code IS NOT NULL))
+@register("json_code_summary", f"""
+WITH {T.EVENT_HITS_SQL},
+ok AS (SELECT dataset, user_id FROM h GROUP BY 1, 2 HAVING count(reason) = 0)
 SELECT dataset, code, count(*) AS count FROM h JOIN ok USING (dataset, user_id) GROUP BY 1, 2
 """)
 def json_code_summary(spark, sf_dir):
     """Codes read from a JSON metadata cell (PRJ3, R9, R21), rejected structures excluded."""
-    return S.code_totals(S.code_grain(T.event_hits(spark, sf_dir), [DATASET]))
+    return S.code_totals(S.code_grain(T.event_hits(spark, sf_dir)))
 
 
 @register("existing_artefacts", """
@@ -176,71 +200,81 @@ def existing_artefacts(spark, sf_dir):
 
 # ------------------------------------------------------ phase 2: hit files with JSON metadata
 
-def event_hit_rows(spark, sf_dir):
-    """Event rows in the 16-field hit layout, with the dataset as the folder column: field 0
-    is the structure (user), field 3 the score text, field 15 the JSON cell; a few other fields
-    carry context, the rest stay empty."""
-    ev = T.table(spark, sf_dir, "events")
-    fields = {0: F.col("user_id").cast("string"), 1: F.col("event_id").cast("string"),
-              2: F.col("event_type"), 3: F.col("value").cast("string"),
-              4: F.col("ts").cast("string"), 15: F.col("props")}
-    cols = [fields.get(i, F.lit(None).cast("string")).alias(f"c{i}") for i in range(HF.N_FIELDS)]
-    return ev.select(*cols, F.col("event_type").alias(DATASET))
-
-
 def event_hits_via_files(spark, sf_dir):
     """Write the event hits as TSV hit tables, then scan and parse them (SRC6 round trip).
 
     One folder per dataset holds the hit rows of all its structures; field 0 carries the
-    structure (the search output's query column), so files need not be one per structure. The
-    per-structure ``<name>_search.tsv`` layout is read the same way, with the id taken from the
-    file name (tests and the job's ``--hits-dir``)."""
+    structure (the search output's query column), so files need not be one per structure. Cells
+    may hold quoted line ends, so files are read whole. The per-structure ``<name>_search.tsv``
+    layout is read the same way, with the id taken from the file name."""
     path = scratch_path(spark, "hits")
-    SK.write_hit_files(event_hit_rows(spark, sf_dir), path, [DATASET], key="c0")
-    raw = HF.read_hit_files(spark, path, glob="part-*").withColumn("user_id", F.col("c0").cast("long"))
-    sid = F.concat_ws("/", F.col(DATASET), F.col("c0"))
-    return HF.parse_hits(raw, structure=sid, key="k")
+    SK.write_hit_files(T.event_hit_rows(spark, sf_dir), path, [DATASET], key="c0")
+    raw = HF.read_hit_files(spark, path, glob="part-*")
+    return HF.parse_hits(raw, structure=F.col("c0"), key="k")
 
 
-@register("hit_scan_tsv", """
-SELECT event_type AS dataset, user_id, count(*) AS n_hits, round(sum(value), 2) AS sum_score
-FROM events GROUP BY 1, 2
+@register("hit_scan_tsv", f"""
+WITH {T.EVENT_HITS_SQL}
+SELECT dataset, CAST(user_id AS VARCHAR) AS structure, count(*) AS n_hits,
+       round(sum(value), 2) AS sum_score
+FROM h GROUP BY 1, 2 HAVING count(reason) = 0
 """)
 def hit_scan_tsv(spark, sf_dir):
     """SRC6 round trip: per-structure hit count and score total after writing and re-reading
-    the hit files. (Scores carry two decimals, so the total rounded to two places is exact on
-    both engines; a mean rounded to four places can sit exactly on a tie, which the two engines
-    break differently.)"""
+    the hit files, malformed structures left out. (Scores carry two decimals, so the total
+    rounded to two places is exact on both engines.)"""
     hits = event_hits_via_files(spark, sf_dir)
-    per = (hits.groupBy(STRUCTURE, DATASET, "user_id")
+    per = (hits.groupBy(DATASET, STRUCTURE)
            .agg(F.count(F.lit(1)).alias("n_hits"), F.sum(SCORE).alias("sum_score"),
                 F.bool_or(BAD).alias("rejected")))
     return (per.where(~F.col("rejected"))
-            .select(DATASET, "user_id", "n_hits", F.round("sum_score", 2).alias("sum_score")))
+            .select(DATASET, STRUCTURE, "n_hits", F.round("sum_score", 2).alias("sum_score")))
 
 
-@register("rejected_structures", """
-WITH h AS (
-  SELECT event_type AS dataset, user_id,
-         CASE WHEN value IS NULL OR props IS NULL OR NOT json_valid(props)
-                   OR json_extract(props, '$.k') IS NULL THEN 1 ELSE 0 END AS bad
-  FROM events),
-s AS (SELECT dataset, user_id, sum(bad) AS n_bad FROM h GROUP BY 1, 2)
+@register("rejected_structures", f"""
+WITH {T.EVENT_HITS_SQL},
+s AS (SELECT dataset, user_id, count(reason) AS n_bad, count(*) AS n_rows,
+             string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM h GROUP BY 1, 2)
+SELECT dataset, CAST(user_id AS VARCHAR) AS structure, n_bad, n_rows, reasons FROM s WHERE n_bad > 0
+""")
+def rejected_structures(spark, sf_dir):
+    """FLT6 / R7: structures rejected as a unit with their reasons, after the TSV round trip."""
+    rejected = S.rejects_from_grain(S.code_grain(event_hits_via_files(spark, sf_dir)))
+    return rejected.select(DATASET, STRUCTURE, "n_bad", "n_rows",
+                           F.array_join("reasons", ",").alias("reasons"))
+
+
+@register("rejected_summary", f"""
+WITH {T.EVENT_HITS_SQL},
+s AS (SELECT dataset, user_id, count(reason) AS n_bad FROM h GROUP BY 1, 2)
 SELECT dataset, CASE WHEN n_bad > 0 THEN 'rejected' ELSE 'accepted' END AS status,
        count(*) AS n_structures, CAST(sum(n_bad) AS BIGINT) AS n_bad_rows
 FROM s GROUP BY 1, 2
 """)
-def rejected_structures(spark, sf_dir):
-    """FLT6 / R7: structures accepted or rejected as a unit, with their bad-row counts, after
-    the TSV round trip. Reasons per rejected structure come from ``hits.rejects``."""
-    hits = event_hits_via_files(spark, sf_dir)
-    per = (hits.groupBy(STRUCTURE, DATASET)
+def rejected_summary(spark, sf_dir):
+    """FLT6: how many structures are accepted and rejected, with their malformed rows."""
+    per = (T.event_hits(spark, sf_dir).groupBy(DATASET, STRUCTURE)
            .agg(F.sum(F.col(BAD).cast("long")).alias("n_bad")))
     status = F.when(F.col("n_bad") > 0, F.lit("rejected")).otherwise(F.lit("accepted"))
     return (per.groupBy(DATASET, status.alias("status"))
             .agg(F.count(F.lit(1)).alias("n_structures"), F.sum("n_bad").alias("n_bad_rows")))
 
 
+@register("structure_ids", """
+SELECT '/data/x/' || o_orderkey || CASE WHEN o_orderstatus = 'O' THEN '_search.pdb' ELSE '.pdb' END
+       || '_search.tsv' AS path,
+       o_orderkey || CASE WHEN o_orderstatus = 'O' THEN '_search.pdb' ELSE '.pdb' END AS structure
+FROM orders
+""")
+def structure_ids(spark, sf_dir):
+    """PRJ1 / PRJ7 / SC1 / SC3 / R16: structure ids from the paths of ``<name>_search.tsv`` files."""
+    ending = F.when(F.col("o_orderstatus") == "O", "_search.pdb").otherwise(".pdb")
+    path = F.concat(F.lit("/data/x/"), F.col("o_orderkey").cast("string"), ending,
+                    F.lit(HF.HIT_FILE_SUFFIX))
+    paths = T.table(spark, sf_dir, "orders").select(path.alias("path"))
+    return paths.select("path", structure_id(basename("path")).alias(STRUCTURE))
+
+
 # ----------------------------------------------------------- phase 3: whole-file structure sources
 
 def written_documents(spark, sf_dir, compression=None):
@@ -259,25 +293,31 @@ def structure_scan_text(spark, sf_dir):
     return scan_structure_texts(spark, written_documents(spark, sf_dir))
 
 
-def scan_structure_texts(spark, path):
-    t = FS.read_texts(spark, path, glob="*.txt")
-    body = FS.strip_final_newline("value")
-    return t.select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.length(body).cast("long").alias("n_chars"), F.md5(body).alias("md5"))
+def with_id(body):
+    """``doc_id`` and ``body`` of a structure text: its id is the first line."""
+    first = F.substring_index(body, "\n", 1)
+    return first.cast("long").alias("doc_id"), F.substring(
+        body, F.char_length(first) + 2, F.char_length(body)).alias("body")
+
+
+def scan_structure_texts(spark, path, glob="*.txt"):
+    t = FS.read_texts(spark, path, glob=glob)
+    t = t.select(*with_id(FS.strip_final_newline("value")), "file_name")
+    return t.select("doc_id", F.length("body").cast("long").alias("n_chars"),
+                    F.md5("body").alias("md5"))
 
 
 @register("structure_scan_binary", """
-SELECT doc_id, strlen(text) + 1 AS n_bytes, md5(text) AS md5 FROM documents
+SELECT doc_id, strlen(CAST(doc_id AS VARCHAR)) + strlen(text) + 2 AS n_bytes, md5(text) AS md5
+FROM documents
 """)
 def structure_scan_binary(spark, sf_dir):
-    """SRC2 + SC14: binary whole-file scan; bytes decoded as UTF-8 (file = text + newline)."""
-    path = written_documents(spark, sf_dir)
-    b = FS.read_binary(spark, path, glob="*.txt")
-    text = FS.decode_utf8("content")
-    body = F.expr("substring(t, 1, length(t) - 1)")
-    return (b.select("doc_id", "length", text.alias("t"))
-            .select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.col("length").alias("n_bytes"), F.md5(body).alias("md5")))
+    """SRC2 + SC14: binary whole-file scan; bytes decoded as UTF-8 (file = id, newline, text,
+    newline)."""
+    b = FS.read_binary(spark, written_documents(spark, sf_dir), glob="*.txt")
+    t = b.select("length", FS.decode_utf8("content").alias("value"))
+    t = t.select("length", *with_id(FS.strip_final_newline("value")))
+    return t.select("doc_id", F.col("length").alias("n_bytes"), F.md5("body").alias("md5"))
 
 
 @register("gzip_scan", """
@@ -286,31 +326,42 @@ SELECT doc_id, md5(text) AS md5 FROM documents
 def gzip_scan(spark, sf_dir):
     """SRC3 + SRC4: gzip structure files, selected by glob and decompressed by the scan."""
     path = written_documents(spark, sf_dir, compression="gzip")
-    t = FS.read_texts(spark, path, glob="*.txt.gz")
-    return t.select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.md5(FS.strip_final_newline("value")).alias("md5"))
+    return scan_structure_texts(spark, path, glob="*.txt.gz").select("doc_id", "md5")
 
 
 @register("incremental_ingest", """
-SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 2 END AS run, md5(text) AS md5 FROM documents
+SELECT doc_id, CASE WHEN lang = 'en' THEN 1 WHEN source <> 'src0' THEN 2 ELSE 3 END AS run,
+       md5(text) AS md5 FROM documents
 """)
 def incremental_ingest(spark, sf_dir):
-    """SRC5 / JN2: two arrivals of structure files; the second run ingests only the new ones.
+    """SRC5 / JN2: three arrivals of structure files; each run ingests only what is new, also
+    when it is dated a month before files seen earlier (the last arrival).
 
-    All documents are ingested exactly once; ``run`` tells which run picked each one up
-    (English documents arrive first, the others later)."""
+    All documents are ingested exactly once; ``run`` tells which run picked each one up."""
     base = scratch_path(spark, "ingest")
     src, table_path, ckpt = f"{base}/src", f"{base}/table", f"{base}/checkpoint"
-    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    first, later = docs.where(F.col("lang") == "en"), docs.where(F.col("lang") != "en")
-    SK.write_structure_texts(first, src, "doc_id", "text")
-    ingest_texts(spark, src, table_path, ckpt, schema="value string, doc_id long", run_tag=1)
-    later.select("doc_id", "text").repartition("doc_id").write.mode("append") \
-        .partitionBy("doc_id").text(src)
-    ingest_texts(spark, src, table_path, ckpt, schema="value string, doc_id long", run_tag=2)
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    english, old = F.col("lang") == "en", F.col("source") == "src0"
+    for run, which in enumerate((english, ~english & ~old, ~english & old), start=1):
+        before = (FS.list_files(spark, src).select("file_path").collect() if run == 3 else [])
+        SK.write_structure_texts(docs.where(which), src, "doc_id", "text", mode="append")
+        if run == 3:
+            _date_back(spark, src, {r[0] for r in before}, days=30)
+        ingest_texts(spark, src, table_path, ckpt, schema="value string, folder int", run_tag=run)
     t = spark.read.parquet(table_path)
-    return t.select("doc_id", F.col("run").cast("int").alias("run"),
-                    F.md5(FS.strip_final_newline("value")).alias("md5"))
+    t = t.select("run", *with_id(FS.strip_final_newline("value")))
+    return t.select("doc_id", F.col("run").cast("int").alias("run"), F.md5("body").alias("md5"))
+
+
+def _date_back(spark, folder, known, days):
+    """Fixture: files of ``folder`` that are not ``known`` get a date some days back."""
+    new = [r[0] for r in FS.list_files(spark, folder).select("file_path").collect()
+           if r[0] not in known]
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    when = int((time.time() - days * 86400) * 1000)
+    for f in new:
+        path = hadoop.Path(spark._jvm.java.net.URI(f))
+        path.getFileSystem(conf).setTimes(path, when, -1)
 
 
 @register("dataset_catalogue", """
@@ -323,10 +374,56 @@ def dataset_catalogue(spark, sf_dir):
     return CAT.derived_catalogue(T.order_structures(spark, sf_dir))
 
 
-@register("sample_structures", None)
+@register("sample_structures", f"""
+SELECT o_orderkey AS structure, o_orderpriority AS dataset FROM orders
+WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) < '{threshold(SAMPLE_FRACTION)}'
+""")
 def sample_structures(spark, sf_dir):
-    """FLT4: Bernoulli sample without replacement (fraction 0.005, seeded); rows-only check."""
-    return T.order_structures(spark, sf_dir).sample(False, SAMPLE_FRACTION, seed=42)
+    """FLT4: Bernoulli sample without replacement (fraction 0.005), decided by the key alone."""
+    return keyed_sample(T.order_structures(spark, sf_dir), STRUCTURE, SAMPLE_FRACTION)
+
+
+@register("catalogue_lookup", """
+WITH c AS (SELECT lower(n_name) AS dataset, '/data/' || n_name AS path,
+                  CAST(n_regionkey + 1 AS INTEGER) AS min_partitions FROM nation),
+r AS (SELECT DISTINCT lower(trim(n)) AS dataset FROM (
+        SELECT '  ' || n_name || ' ' AS n FROM nation JOIN customer ON c_nationkey = n_nationkey
+        UNION ALL SELECT r_name FROM region))
+SELECT r.dataset, c.dataset IS NOT NULL AS known, c.path, c.min_partitions
+FROM r LEFT JOIN c ON r.dataset = c.dataset
+""")
+def catalogue_lookup(spark, sf_dir):
+    """SRC10 / FLT5 / SET3 / JN5: requested names, spelled loosely and repeated (the nation of
+    every customer, and the regions, which are no datasets), against a catalogue of nations."""
+    nation = T.table(spark, sf_dir, "nation")
+    catalogue = nation.select(
+        F.lower("n_name").alias(DATASET), F.concat(F.lit("/data/"), "n_name").alias("path"),
+        (F.col("n_regionkey") + 1).cast("int").alias("min_partitions"))
+    asked = T.table(spark, sf_dir, "customer").join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit("  "), "n_name", F.lit(" ")).alias(DATASET))
+    asked = asked.unionByName(T.table(spark, sf_dir, "region")
+                              .select(F.col("r_name").alias(DATASET)))
+    known = CAT.requested_entries(asked, catalogue)
+    unknown = CAT.unknown_names(asked, catalogue)
+    return known.select(DATASET, F.lit(True).alias("known"), "path", "min_partitions").unionByName(
+        unknown.select(DATASET, F.lit(False).alias("known"), F.lit(None).cast("string").alias("path"),
+                       F.lit(None).cast("int").alias("min_partitions")))
+
+
+@register("observed_count", """
+SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents
+""")
+def observed_count(spark, sf_dir):
+    """AG15: records counted while another pass over them runs, not by a pass of their own."""
+    seen = Observation("records")
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.observe(seen, F.count(F.lit(1)).alias("files"),
+                        F.sum(F.octet_length("text")).alias("bytes"))
+    SK.write_artefacts(docs.select("doc_id", F.md5("text").alias("md5"), F.lit("d").alias(DATASET)),
+                       scratch_path(spark, "observed"))
+    return spark.range(1).select(F.lit(seen.get["files"]).cast("long").alias("files"),
+                                 F.lit(seen.get["bytes"]).cast("long").alias("bytes"))
 
 
 # ------------------------------------------------------------------------- phase 5: sinks
@@ -352,53 +449,92 @@ def csv_single_file_roundtrip(spark, sf_dir):
             .option("header", True).csv(target))
 
 
-@register("parsed_summary_roundtrip", """
-WITH h AS (SELECT event_type AS dataset, user_id, value,
-                  json_extract_string(props, '$.k') AS code FROM events),
-m AS (SELECT dataset, user_id, round(sum(value), 2) AS sum_score FROM h GROUP BY 1, 2)
-SELECT h.dataset, h.user_id, m.sum_score, h.code, CAST(count(*) AS INTEGER) AS n
+@register("csv_folder_gzip_roundtrip", """
+SELECT o_orderpriority AS dataset, l_returnflag || '.' || l_linestatus AS code, count(*) AS count
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2
+""")
+def csv_folder_gzip_roundtrip(spark, sf_dir):
+    """SNK2 / SNK5: the code summary as a folder of gzip CSV files, read back."""
+    path = scratch_path(spark, "codes")
+    SK.write_csv_dir(code_summary(spark, sf_dir), path, compression="gzip")
+    return (spark.read.schema("dataset string, code string, count bigint").option("header", True)
+            .option("pathGlobFilter", "*.csv.gz").csv(path))
+
+
+@register("parsed_summary_roundtrip", f"""
+WITH {T.EVENT_HITS_SQL},
+m AS (SELECT dataset, user_id, round(sum(value), 2) AS sum_score FROM h GROUP BY 1, 2
+      HAVING count(reason) = 0)
+SELECT h.dataset, CAST(h.user_id AS VARCHAR) AS structure, m.sum_score, h.code,
+       CAST(count(*) AS INTEGER) AS n
 FROM h JOIN m USING (dataset, user_id) GROUP BY 1, 2, 3, 4
 """)
 def parsed_summary_roundtrip(spark, sf_dir):
-    """SNK4 + SRC7: per-structure parsed-summary text files written, read back and parsed.
+    """SNK4 + SRC7 + R10: per-structure parsed-summary text files written, read back and parsed;
+    codes may hold a comma.
 
     The mean read back from the header line is checked as ``mean * n_hits`` rounded to two
     places (scores carry two decimals), which is exact on both engines."""
-    hits = T.event_hits(spark, sf_dir)
-    per = S.per_structure(hits)
-    text = SK.parsed_summary_text(per, S.code_counts(hits))
+    grain = S.code_grain(T.event_hits(spark, sf_dir))
+    per = S.per_structure_from_grain(grain).where("not rejected")
     path = scratch_path(spark, "parsed")
-    SK.write_parsed_summaries(text.withColumn(STRUCTURE, F.regexp_replace(STRUCTURE, "/", "__")),
-                              path)
-    back = FS.read_texts(spark, path, glob="*.txt")
-    parsed = FS.parse_parsed_summary(back, file_col=STRUCTURE)
-    parts = F.split(F.col(STRUCTURE), "__")
+    SK.write_parsed_summaries(SK.parsed_summary_text(per, S.accepted(grain)), path)
+    parsed = FS.parse_parsed_summary(FS.read_texts(spark, path, glob="*.txt"),
+                                     file_col=STRUCTURE, keep=[DATASET])
     n_total = F.aggregate(F.col("entries"), F.lit(0), lambda acc, e: acc + e["n"])
-    return (parsed.select(F.element_at(parts, 1).alias(DATASET),
-                          F.element_at(parts, 2).cast("long").alias("user_id"),
+    return (parsed.select(DATASET, STRUCTURE,
                           F.round(F.col("mean_score") * n_total, 2).alias("sum_score"),
                           F.explode("entries").alias("e"))
-            .select(DATASET, "user_id", "sum_score", F.col("e.code").alias(CODE),
+            .select(DATASET, STRUCTURE, "sum_score", F.col("e.code").alias(CODE),
                     F.col("e.n").alias("n")))
 
 
-@register("partitioned_artefacts", """
-WITH per AS (
-  SELECT o_orderkey, o_orderpriority AS dataset, count(l_orderkey) AS n_hits,
-         coalesce(avg(l_quantity), 0.0) AS m
-  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)
-SELECT dataset, count(*) AS n_structures, CAST(sum(n_hits) AS BIGINT) AS n_hits,
-       round(avg(m), 4) AS mean_score
-FROM per GROUP BY 1
+@register("parsed_summary_rules", """
+SELECT CAST(l_orderkey AS VARCHAR) AS structure,
+       l_returnflag || '.' || l_linestatus AS code, CAST(count(*) AS INTEGER) AS n,
+       CASE WHEN any_value(o_orderstatus) = 'P' THEN 0.0 ELSE round(any_value(o_totalprice), 2) END
+         AS mean_score
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
+""")
+def parsed_summary_rules(spark, sf_dir):
+    """FLT2 / FLT3 / PRJ4 / PRJ5 / SC5: summary texts with blank lines, padded entries and, for
+    pending orders, no marker in the header line."""
+    counts = S.code_counts(T.lineitem_hits(spark, sf_dir))
+    line = F.concat(F.lit(" "), CODE, F.lit(","), F.col("n").cast("string"), F.lit(" "))
+    body = counts.groupBy(STRUCTURE).agg(F.array_join(F.collect_list(line), "\n\n \n").alias("body"))
+    price = F.format_string("%.2f", F.col("o_totalprice"))
+    first = F.when(F.col("o_orderstatus") == "P", F.lit("#no header")).otherwise(
+        F.concat(F.lit("#x Results. mean plddt: "), price))
+    texts = body.join(T.table(spark, sf_dir, "orders"), F.col(STRUCTURE) == F.col("o_orderkey"))
+    texts = texts.select(F.col(STRUCTURE).cast("string").alias(STRUCTURE), F.concat_ws(
+        "\n", first, F.lit("cath_id,count"), F.lit(""), "body").alias("value"))
+    parsed = FS.parse_parsed_summary(texts, file_col=STRUCTURE)
+    return (parsed.select(STRUCTURE, F.inline("entries"), F.round("mean_score", 2).alias("mean_score"))
+            .select(STRUCTURE, CODE, "n", "mean_score"))
+
+
+@register("partitioned_artefacts", f"""
+WITH {T.EVENT_HITS_SQL},
+s AS (SELECT dataset, user_id, count(*) AS n, count(reason) AS n_bad FROM h GROUP BY 1, 2)
+SELECT dataset, CAST(sum(n) AS BIGINT) AS n_hit_rows, CAST(sum(n_bad) AS BIGINT) AS n_bad_rows,
+       count(*) FILTER (WHERE n_bad = 0) AS n_summaries
+FROM s GROUP BY 1
 """)
 def partitioned_artefacts(spark, sf_dir):
-    """SNK3: per-structure results published as Parquet partitioned by dataset, read back."""
+    """SNK3: hit rows and parsed summaries published by dataset, read back."""
     path = scratch_path(spark, "artefacts")
-    SK.write_artefacts(order_outcomes(spark, sf_dir), path)
-    back = spark.read.parquet(path)
-    return (back.groupBy(DATASET)
-            .agg(F.count(F.lit(1)).alias("n_structures"), F.sum("n_hits").alias("n_hits"),
-                 r4(F.avg("mean_score")).alias("mean_score")))
+    SK.write_artefacts(T.event_hits(spark, sf_dir), f"{path}/hits")
+    hits = spark.read.parquet(f"{path}/hits")
+    grain = S.code_grain(hits)
+    per = S.per_structure_from_grain(grain).where("not rejected")
+    SK.write_parsed_summaries(SK.parsed_summary_text(per, S.accepted(grain)), f"{path}/parsed",
+                              compression="gzip")
+    texts = FS.read_texts(spark, f"{path}/parsed", glob="*.txt.gz")
+    n_texts = texts.groupBy(DATASET).agg(F.count(F.lit(1)).alias("n_summaries"))
+    rows = hits.groupBy(DATASET).agg(F.count(F.lit(1)).alias("n_hit_rows"),
+                                     F.sum(F.col(BAD).cast("long")).alias("n_bad_rows"))
+    return rows.join(n_texts, DATASET, "left").select(
+        DATASET, "n_hit_rows", "n_bad_rows", F.coalesce("n_summaries", F.lit(0)).alias("n_summaries"))
 
 
 # --------------------------------------------------------------------------- phase 4: maps
@@ -453,6 +589,30 @@ def map_key_union(spark, sf_dir):
     return p.select(STRUCTURE, F.size(M.key_union("a", "b")).cast("long").alias("n_codes"))
 
 
+@register("map_lookup", """
+SELECT l_orderkey AS structure, count(*) FILTER (WHERE l_returnflag = 'N' AND l_linestatus = 'O') AS n_open
+FROM lineitem GROUP BY 1
+""")
+def map_lookup(spark, sf_dir):
+    """SC10: one key of every structure's code map, 0 where it is absent."""
+    maps = M.structure_maps(S.code_grain(T.lineitem_hits(spark, sf_dir)))
+    return maps.select(STRUCTURE, M.get_or_zero("codes", "N.O").alias("n_open"))
+
+
+@register("run_shift", f"""
+SELECT structure, round((m2 - m1) / m1 * 100, 4) AS shift_pct FROM (
+  SELECT l_orderkey AS structure,
+         avg(l_quantity) FILTER (WHERE l_shipdate < TIMESTAMP '{RUN_SPLIT_DATE}') AS m1,
+         avg(l_quantity) FILTER (WHERE l_shipdate >= TIMESTAMP '{RUN_SPLIT_DATE}') AS m2
+  FROM lineitem GROUP BY 1)
+""")
+def run_shift(spark, sf_dir):
+    """SC13: percent difference between the means of a structure's two runs; NULL where it has
+    only one."""
+    p = M.run_pairs(two_run_grain(spark, sf_dir))
+    return p.select(STRUCTURE, r4(percent_difference("mean_a", "mean_b")).alias("shift_pct"))
+
+
 @register("summary_combine_pair", f"""
 WITH h AS (
   SELECT l_orderkey AS structure,
@@ -483,50 +643,154 @@ def external_command_stage(spark, sf_dir):
     structure in ``mapInPandas``; exit code and output come back as columns."""
     docs = T.table(spark, sf_dir, "documents").select("doc_id", "text")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = X.run_command(docs, ["wc", "-c"], key="doc_id", content="text", n_partitions=n)
+    out = X.run_command(docs, ["wc", "-c"], key="doc_id", content="text", min_partitions=n)
     return out.select("doc_id", "rc", F.trim("out").cast("long").alias("n_bytes"))
 
 
+#: The job's stand-in command: by the last digit of the structure's name it copies its input to
+#: the hit file, writes the header alone, an empty file, or fails.
+COMMAND = ["sh", "-c", """case $1 in
+*0) : > "$1_search.tsv";; *1) head -n 1 > "$1_search.tsv";; *2) exit 3;;
+*) cat > "$1_search.tsv"; echo "$1" > "$1_segment.tsv";; esac""", "sh", "{name}"]
+
+
+def event_job(spark, sf_dir):
+    """The batch job on events: structure = user_id (the same names in every dataset), its hit
+    table as content. Returns the output folder."""
+    out = scratch_path(spark, "job-out")
+    rows = T.event_hit_rows(spark, sf_dir)
+    quoted = [F.when(F.col(c).rlike('["\\n\\t]'), F.concat(
+        F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')))
+        .otherwise(F.coalesce(F.col(c), F.lit(""))) for c in HF.HIT_SCHEMA.names]
+    # Cells past the last present one are left out, so a missing cell is missing.
+    line = F.rtrim(F.concat_ws("\t", *quoted), F.lit("\t"))
+    files = (rows.select(DATASET, F.col("c0").alias(STRUCTURE), line.alias("line"))
+             .groupBy(DATASET, STRUCTURE)
+             .agg(F.concat(F.lit("\t".join(HF.HIT_SCHEMA.names) + "\n"),
+                           F.array_join(F.collect_list("line"), "\n"), F.lit("\n")).alias("value")))
+    names = [r[0] for r in rows.select(DATASET).distinct().collect()]     # one row per dataset
+    entries = [CAT.Entry(n, "", 2) for n in [*names, "nothing_here"]]
+    job.run(spark, entries, out, COMMAND, output_file="{name}_search.tsv", files=files, code_key="k",
+            extra_files=["{name}_segment.tsv"])
+    return out
+
+
+JOB_SQL = f"""
+WITH {T.EVENT_HITS_SQL},
+per AS (
+  SELECT dataset, user_id, avg(value) AS m, count(*) AS n,
+         CASE WHEN user_id % 10 IN (0, 2) THEN 'no_output' WHEN user_id % 10 = 1 THEN 'zero_hits'
+              WHEN count(reason) > 0 THEN 'rejected' ELSE 'hits' END AS outcome
+  FROM h GROUP BY 1, 2),
+sc AS (SELECT dataset, CASE WHEN outcome = 'hits' THEN m ELSE 0.0 END AS m FROM per
+       WHERE outcome IN ('hits', 'zero_hits')),
+st AS (SELECT dataset, avg(m) AS mean, stddev_pop(m) AS std FROM sc GROUP BY 1)"""
+
+
+@register("job_dataset_summary", JOB_SQL + """,
+o AS (SELECT dataset, count(*) FILTER (WHERE outcome = 'hits') AS n_hits,
+             count(*) FILTER (WHERE outcome = 'zero_hits') AS n_zero_hits,
+             count(*) FILTER (WHERE outcome = 'no_output') AS n_no_output,
+             count(*) FILTER (WHERE outcome = 'rejected') AS n_rejected FROM per GROUP BY 1)
+SELECT dataset AS organism, round(CAST(CAST(mean AS FLOAT) AS DOUBLE), 2) AS mean_score,
+       round(CAST(CAST(std AS FLOAT) AS DOUBLE), 2) AS std_score, n_hits, n_zero_hits, n_no_output, n_rejected
+FROM o JOIN st USING (dataset)
+UNION ALL SELECT 'nothing_here', 0.0, 0.0, 0, 0, 0, 0
+""")
+def job_dataset_summary(spark, sf_dir):
+    """UDF1 / PT4 / JN1 / R1 / R5 / R8: the whole batch job, its statistics CSV read back, with
+    the outcomes of its structures."""
+    out = event_job(spark, sf_dir)
+    stats = (spark.read.schema("organism string, mean double, std double").option("header", True)
+             .csv(f"{out}/{STATISTICS_FILE}.csv"))
+    seen = spark.read.parquet(f"{out}/structures")
+    counts = seen.groupBy(F.col(DATASET).alias("organism")).agg(*[
+        F.count(F.when(F.col("outcome") == o, 1)).alias(f"n_{o}")
+        for o in ("hits", "zero_hits", "no_output", "rejected")])
+    return stats.join(counts, "organism", "left").select(
+        "organism", F.round("mean", 2).alias("mean_score"), F.round("std", 2).alias("std_score"),
+        *[F.coalesce(f"n_{o}", F.lit(0)).alias(f"n_{o}")
+          for o in ("hits", "zero_hits", "no_output", "rejected")])
+
+
+@register("job_artefacts", JOB_SQL + """,
+k AS (SELECT dataset, count(DISTINCT code) AS n_codes, count(*) AS total
+      FROM h JOIN per USING (dataset, user_id) WHERE outcome = 'hits' GROUP BY 1)
+SELECT dataset,
+       CAST(sum(n) FILTER (WHERE outcome IN ('hits', 'rejected')) AS BIGINT) AS n_hit_rows,
+       count(*) FILTER (WHERE outcome IN ('hits', 'zero_hits')) AS n_summaries,
+       count(*) FILTER (WHERE user_id % 10 > 2) AS n_files,
+       count(*) FILTER (WHERE user_id % 10 = 2) AS n_failures,
+       any_value(n_codes) AS n_codes, any_value(total) AS n_coded
+FROM per JOIN k USING (dataset) GROUP BY 1
+""")
+def job_artefacts(spark, sf_dir):
+    """SNK1 / SNK3 / AG7 / UDF2: what the batch job publishes, read back: hit rows, parsed
+    summaries, further output files, failures and the code-summary files."""
+    out = event_job(spark, sf_dir)
+    n = F.count(F.lit(1))
+    per = lambda df, name: df.groupBy(DATASET).agg(n.alias(name))
+    result = per(spark.read.parquet(f"{out}/hits"), "n_hit_rows")
+    for part, name in ((FS.read_texts(spark, f"{out}/parsed", glob="*.txt"), "n_summaries"),
+                       (spark.read.parquet(f"{out}/files"), "n_files"),
+                       (spark.read.parquet(f"{out}/failures"), "n_failures")):
+        result = result.join(per(part, name), DATASET, "left")
+    codes = (spark.read.schema("code string, count int").option("header", True)
+             .csv(f"{out}/*{CODE_SUMMARY_SUFFIX}.csv")
+             .select(F.regexp_replace(F.col("_metadata.file_name"), rf"{CODE_SUMMARY_SUFFIX}\.csv$", "")
+                     .alias(DATASET), "code", "count"))
+    codes = codes.groupBy(DATASET).agg(n.alias("n_codes"),
+                                       F.sum(F.col("count").cast("long")).alias("n_coded"))
+    return result.join(codes, DATASET, "left").select(
+        DATASET, *[F.coalesce(c, F.lit(0)).alias(c) for c in (
+            "n_hit_rows", "n_summaries", "n_files", "n_failures", "n_codes", "n_coded")])
+
+
 # ------------------------------------------------------------ phase 7: labelled vector search
 
-@register("label_top_k", """
-WITH pairs AS (
-  SELECT q.vec_id AS query_id, d.vec_id AS neighbour_id, d.label,
-         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])) AS sim
-  FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, neighbour_id) AS rn
-      FROM pairs)
-SELECT query_id, CAST(rn AS INTEGER) AS rank, neighbour_id, label, round(sim, 4) AS similarity
-FROM r WHERE rn <= 3
-""")
-def label_top_k(spark, sf_dir):
-    """UDF5: leave-one-out labelled search of ``embeddings`` against itself, 3 best per vector."""
-    emb = T.table(spark, sf_dir, "embeddings")
-    res = SE.top_k(emb, emb, k=3, exclude_self=True)
-    return res.withColumn("similarity", r4("similarity"))
+def text_vectors(spark, sf_dir):
+    """``embeddings`` as a library of structures: file names as keys, dotted codes as labels."""
+    return T.table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("v"), F.col("vec_id").cast("string"), F.lit(".pdb")).alias("vec_id"),
+        "embedding", F.concat(F.lit("3.40."), F.col("label").cast("string")).alias("label"))
 
 
 SEARCH_PAIRS_SQL = """
-WITH pairs AS (
-  SELECT q.vec_id AS query_id, q.label AS qlabel, d.vec_id AS nid, d.label AS nlabel,
-         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])) AS sim
-  FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id),
+WITH v AS (SELECT 'v' || vec_id || '.pdb' AS id, CAST(embedding AS DOUBLE[]) AS e,
+                  '3.40.' || label AS label FROM embeddings),
+pairs AS (
+  SELECT q.id AS query_id, q.label AS qlabel, d.id AS nid, d.label AS nlabel,
+         list_cosine_similarity(q.e, d.e) AS sim
+  FROM v q JOIN v d ON q.id <> d.id),
 top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, nid) AS rn
         FROM pairs)"""
 
 
+@register("label_top_k", SEARCH_PAIRS_SQL + """
+SELECT query_id, CAST(rn AS INTEGER) AS rank, nid AS neighbour_id, nlabel AS label,
+       round(sim, 4) AS similarity
+FROM top WHERE rn <= 3
+""")
+def label_top_k(spark, sf_dir):
+    """UDF5: leave-one-out labelled search of ``embeddings`` against itself, 3 best per vector
+    (quadratic in the table; a library apart from the queries is the usual case)."""
+    emb = text_vectors(spark, sf_dir)
+    res = SE.top_k(emb, emb, k=3, exclude_self=True)
+    return res.withColumn("similarity", r4("similarity"))
+
+
 def search_annotation(spark, sf_dir):
     """Structures annotated by the labelled search (top 3 neighbours, leave-one-out): hit rows
     with the query's own label as its dataset, plus the structure universe."""
-    emb = T.table(spark, sf_dir, "embeddings")
-    universe = emb.select(F.col("vec_id").alias(STRUCTURE), F.col("label").cast("string").alias(DATASET))
+    emb = text_vectors(spark, sf_dir)
+    universe = emb.select(F.col("vec_id").alias(STRUCTURE), F.col("label").alias(DATASET))
     hits = SE.as_hits(SE.top_k(emb, emb, k=3, exclude_self=True))
     return universe, hits
 
 
 @register("search_dataset_summary", SEARCH_PAIRS_SQL + """,
 per AS (SELECT query_id, qlabel, avg(sim) AS m FROM top WHERE rn <= 3 GROUP BY 1, 2)
-SELECT CAST(qlabel AS VARCHAR) AS dataset, round(avg(m), 4) AS mean_score,
+SELECT qlabel AS dataset, round(avg(m), 4) AS mean_score,
        round(coalesce(stddev_pop(m), 0.0), 4) AS std_score, count(*) AS n_structures
 FROM per GROUP BY 1
 """)
@@ -540,8 +804,7 @@ def search_dataset_summary(spark, sf_dir):
 
 
 @register("search_code_summary", SEARCH_PAIRS_SQL + """
-SELECT CAST(qlabel AS VARCHAR) AS dataset, CAST(nlabel AS VARCHAR) AS code, count(*) AS count
-FROM top WHERE rn <= 3 GROUP BY 1, 2
+SELECT qlabel AS dataset, nlabel AS code, count(*) AS count FROM top WHERE rn <= 3 GROUP BY 1, 2
 """)
 def search_code_summary(spark, sf_dir):
     """UDF5 + AG7: per dataset, how often each label was among the top-3 neighbours."""
@@ -551,25 +814,26 @@ def search_code_summary(spark, sf_dir):
 
 # ------------------------------------------------------------- phase 8: benchmark rows
 
-@register("generated_rows", G.oracle_entries_sql("orders", "o_orderkey") + """
-SELECT k AS id, CAST(sum(v) AS BIGINT) AS total_count, count(*) AS n_entries FROM kept GROUP BY 1
+@register("generated_rows", """
+WITH m AS (SELECT l_orderkey, l_returnflag || '.' || l_linestatus AS id, count(*) AS n
+           FROM lineitem GROUP BY 1, 2)
+SELECT id, CAST(sum(n) AS BIGINT) AS total_count, count(*) AS n_entries FROM m GROUP BY 1
 """)
 def generated_rows(spark, sf_dir):
-    """SRC11 + PRJ6 + AG13: seeded benchmark rows, one per order, with their count maps
-    exploded and totalled per key (the notebook's DataFrame formulation)."""
-    rows = G.benchmark_rows(T.table(spark, sf_dir, "orders"), "o_orderkey")
-    e = M.entries(rows, "count_dict", "id", "count")
+    """PRJ6 + AG13 + SRC9: the benchmark's map reduction, on per-order code maps: entries exploded
+    and totalled per key."""
+    e = M.entries(T.lineitem_maps(spark, sf_dir), "count_dict", "id", "count")
     return e.groupBy("id").agg(F.sum("count").alias("total_count"),
                                F.count(F.lit(1)).alias("n_entries"))
 
 
-@register("generated_stats", f"""
-SELECT count(*) AS n, round(avg(v), 4) AS mean, round(coalesce(stddev_samp(v), 0.0), 4) AS std_dev
-FROM (SELECT {G.oracle_value_sql("orders", "o_orderkey")} AS v FROM orders)
+@register("generated_stats", """
+SELECT count(*) AS n, round(avg(m), 4) AS mean, round(coalesce(stddev_samp(m), 0.0), 4) AS std_dev
+FROM (SELECT avg(l_quantity) AS m FROM lineitem GROUP BY l_orderkey)
 """)
 def generated_stats(spark, sf_dir):
     """AG12 + AG17: mean and sample standard deviation of the benchmark rows' float values."""
-    rows = G.benchmark_rows(T.table(spark, sf_dir, "orders"), "o_orderkey")
+    rows = T.lineitem_maps(spark, sf_dir)
     return rows.select(F.count(F.lit(1)).alias("n"), r4(F.avg("float_value")).alias("mean"),
                        r4(F.coalesce(F.stddev_samp("float_value"), F.lit(0.0))).alias("std_dev"))
 

@@ -1,13 +1,9 @@
-"""Canonical column names and output schemas.
+"""Canonical column names.
 
 Every operator works on these names; the adapters in ``hitroll.sources.tables`` map the given
 tables onto them.
 """
 
-from pyspark.sql import types as T
-
-from hitroll.fixed import CODE_SUMMARY_COLUMNS, STATISTICS_COLUMNS
-
 STRUCTURE = "structure"   # one structure file (the unit of work)
 DATASET = "dataset"       # the named collection a structure belongs to
 SCORE = "score"           # per-hit score (field 3 of a hit row)
@@ -18,19 +14,3 @@ REASON = "reason"         # why a hit row is bad
 # Outcomes of one structure (R1). "rejected" is the no-output case caused by a bad hit row.
 HITS, ZERO_HITS, NO_OUTPUT, REJECTED = "hits", "zero_hits", "no_output", "rejected"
 SCORED_OUTCOMES = (HITS, ZERO_HITS)
-
-# Output schemas of the batch job, as the reference writes them (R13: float32 / int32).
-STATISTICS_SCHEMA = T.StructType([
-    T.StructField(STATISTICS_COLUMNS[0], T.StringType(), True),
-    T.StructField(STATISTICS_COLUMNS[1], T.FloatType(), True),
-    T.StructField(STATISTICS_COLUMNS[2], T.FloatType(), True),
-])
-CODE_SUMMARY_SCHEMA = T.StructType([
-    T.StructField(CODE_SUMMARY_COLUMNS[0], T.StringType(), True),
-    T.StructField(CODE_SUMMARY_COLUMNS[1], T.IntegerType(), True),
-])
-# Per-structure result of the reference's record stage (D6).
-STRUCTURE_RESULT_SCHEMA = T.StructType([
-    T.StructField("mean_plddt", T.FloatType(), True),
-    T.StructField("cath_counts_dict", T.MapType(T.StringType(), T.IntegerType()), True),
-])

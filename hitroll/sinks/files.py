@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hitroll.fixed import MEAN_MARKER, SUMMARY_SECOND_LINE
 from hitroll.session import classic_context
-from hitroll.schema import CODE, STRUCTURE
+from hitroll.schema import CODE, DATASET, STRUCTURE
 
 TSV_OPTIONS = {"sep": "\t", "header": "true", "quote": '"', "escape": '"'}
 
@@ -29,9 +29,9 @@ def write_csv_dir(df: DataFrame, path: str, compression: str | None = None) -> N
 def write_single_csv(df: DataFrame, folder: str, name: str) -> str:
     """SNK1: one header CSV named exactly ``<folder>/<name>.csv``.
 
-    Meant for the small final tables only (one task writes it). The part file is moved into
-    place with the Hadoop FileSystem API, removing an existing target first, so a rerun
-    overwrites. Returns the final path.
+    Meant for the small final tables only (one task writes it). The part file is renamed over
+    an existing target in one step, so a reader sees the old file or the new one. Returns the
+    final path.
     """
     spark = df.sparkSession
     folder = folder.rstrip("/")
@@ -52,10 +52,12 @@ def write_single_csv(df: DataFrame, folder: str, name: str) -> str:
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file in {tmp}, found {len(parts)}")
     target = Path(f"{folder}/{name}.csv")
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(parts[0], target):
-        raise RuntimeError(f"could not move {parts[0]} to {target}")
+    hadoop = jvm.org.apache.hadoop.fs
+    kinds = getattr(hadoop, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(kinds, 1)
+    over[0] = kinds.OVERWRITE
+    qualified = [fs.makeQualified(p) for p in (parts[0], target)]
+    hadoop.FileContext.getFileContext(qualified[1].toUri(), conf).rename(*qualified, over)
     fs.delete(src_dir, True)
     return target.toString()
 
@@ -85,10 +87,11 @@ def write_hit_files(rows: DataFrame, path: str, by: list[str], key: str | None =
     n_hot = hot_stats["n"]
     if n_hot:
         side = F.broadcast(hot) if n_hot <= max_hot else hot
-        salted = (rows.join(side, keys, "left")
-                  .withColumn("_salt", F.pmod(F.xxhash64(*[f"c{i}" for i in range(16)]),
-                                              F.coalesce(F.col("_k"), F.lit(1))))
-                  .drop("_k"))
+        # A number per row, not a hash of its content: equal rows must not share one salt.
+        numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+        salted = (numbered.join(side, keys, "left")
+                  .withColumn("_salt", F.pmod("_row", F.coalesce(F.col("_k"), F.lit(1))))
+                  .drop("_k", "_row"))
         # An explicit count keeps AQE from merging the hot structure's pieces back together.
         n = max(_parallelism(rows.sparkSession), int(hot_stats["salts"]))
         rows = salted.repartition(n, *keys, "_salt").drop("_salt")
@@ -100,22 +103,33 @@ def write_hit_files(rows: DataFrame, path: str, by: list[str], key: str | None =
     w.csv(path)
 
 
-def write_structure_texts(docs: DataFrame, path: str, key: str, text: str,
-                          compression: str | None = None) -> None:
-    """One text file per structure under ``<path>/<key>=<id>/`` (the input shape of SRC1).
-
-    One row per structure, so hash partitioning on the key cannot skew; it gives one file per
-    structure and keeps every task writing."""
-    spark = docs.sparkSession
-    w = (docs.select(key, text).repartition(_parallelism(spark), key)
-         .write.mode("overwrite").partitionBy(key))
+FOLDERS = 16
+
+
+def _one_file_each(df: DataFrame, key: str, path: str, compression: str | None, mode: str,
+                   by: tuple = ()) -> None:
+    """One text file per row of ``df`` (key, value, *by) in ``FOLDERS`` folders. A folder per record
+    would put the complete listing into the file index; a folder column that holds ids would
+    have them read back as numbers."""
+    n = _parallelism(df.sparkSession)
+    w = (df.withColumn("folder", F.pmod(F.xxhash64(key), F.lit(FOLDERS)))
+         .repartition(n, key).select("value", *by, "folder")
+         .write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(*by, "folder"))
     if compression:
         w = w.option("compression", compression)
     w.text(path)
 
 
+def write_structure_texts(docs: DataFrame, path: str, key: str, text: str,
+                          compression: str | None = None, mode: str = "overwrite") -> None:
+    """One text file per structure (the input shape of SRC1): its id in the first line, then the
+    text. One row per structure, so hash partitioning on the key cannot skew."""
+    body = F.concat(F.col(key).cast("string"), F.lit("\n"), F.coalesce(F.col(text), F.lit("")))
+    _one_file_each(docs.select(key, body.alias("value")), key, path, compression, mode)
+
+
 def write_artefacts(df: DataFrame, path: str, by: str = "dataset") -> None:
-    """SNK3: per-structure results (or hits) as Parquet partitioned by dataset."""
+    """SNK3: per-structure results, hits or output files as Parquet partitioned by dataset."""
     df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
@@ -127,7 +141,8 @@ def parsed_summary_text(per: DataFrame, counts: DataFrame, file_col: str = STRUC
     ``cath_id,count``, then one ``code,n`` line per code. The code list of one structure is
     bounded by the code vocabulary, not by the number of hits.
     """
-    lines = (counts.groupBy(STRUCTURE)
+    keys = [c for c in (DATASET, STRUCTURE) if c in per.columns and c in counts.columns]
+    lines = (counts.groupBy(*keys)
              .agg(F.array_join(F.transform(
                  F.array_sort(F.collect_list(F.struct(CODE, "n"))),
                  lambda x: F.concat(x[CODE], F.lit(","), x["n"].cast("string"))), "\n")
@@ -135,12 +150,14 @@ def parsed_summary_text(per: DataFrame, counts: DataFrame, file_col: str = STRUC
     mean_txt = F.when(F.col("n_hits") > 0, F.col("mean_score").cast("string")).otherwise(F.lit("0"))
     header = F.concat(F.lit("#"), F.col(file_col).cast("string"), F.lit(f" Results. {MEAN_MARKER} "),
                       mean_txt)
-    return (per.join(lines, STRUCTURE, "left")
-            .select(STRUCTURE, F.concat_ws("\n", header, F.lit(SUMMARY_SECOND_LINE),
+    return (per.join(lines, keys, "left")
+            .select(*keys, F.concat_ws("\n", header, F.lit(SUMMARY_SECOND_LINE),
                                            F.col("body")).alias("value")))
 
 
-def write_parsed_summaries(text_df: DataFrame, path: str) -> None:
-    """One ``.parsed``-style text file per structure (one row each, so no skew)."""
-    (text_df.repartition(_parallelism(text_df.sparkSession), STRUCTURE)
-     .write.mode("overwrite").partitionBy(STRUCTURE).text(path))
+def write_parsed_summaries(text_df: DataFrame, path: str, compression: str | None = None) -> None:
+    """One ``.parsed``-style text file per structure (one row each, so no skew), by dataset where
+    there is one; the structure's name is in the first line."""
+    by = tuple(c for c in (DATASET,) if c in text_df.columns)
+    _one_file_each(text_df.select(F.col(STRUCTURE).alias("_key"), "value", *by), "_key", path,
+                   compression, "overwrite", by)

@@ -3,7 +3,7 @@
 A structure file is one record. ``wholetext`` reads each file as one row; Spark packs many small
 files into one split (``spark.sql.files.openCostInBytes``), so a listing of millions of files
 becomes a manageable number of tasks. Packing is by bytes, not by work, so an expensive
-per-record stage repartitions first (``operators.external.run_command(n_partitions=...)``).
+per-record stage states its least number of tasks (``operators.external.run_command``).
 """
 
 from __future__ import annotations
@@ -58,13 +58,65 @@ def decode_utf8(c: str = "content"):
     return F.decode(F.col(c), "UTF-8")
 
 
+def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``(file_path, file_name, length)`` of every file, zero-byte ones too, without opening any.
+    ``file_path`` is spelled as in the text scans (``_metadata``). Spark's scans leave files
+    without bytes out, so those are taken from the scan's file index, which the driver holds in
+    any case."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    df = r.load(path)
+    listed = df.select(F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.file_name").alias("file_name"), "length")
+    index = df.inputFiles()
+    if len(index) == listed.count():
+        return listed
+    # The index writes file:///x where the metadata column has file:/x.
+    plain = F.regexp_replace("file_path", r"^([A-Za-z0-9+.-]+):/+", "$1:/").alias("file_path")
+    every = spark.createDataFrame([(f,) for f in index], "file_path string").select(plain)
+    empty = every.join(listed.select(plain), "file_path", "left_anti").select(
+        "file_path", F.regexp_extract("file_path", r"([^/]*)$", 1).alias("file_name"),
+        F.lit(0).cast("long").alias("length"))
+    return listed.unionByName(empty)
+
+
 def new_files(listing: DataFrame, ingested: DataFrame, key: str = "file_name") -> DataFrame:
     """SRC5 / JN2: files not yet ingested (``left_anti`` on the name)."""
     return listing.join(ingested.select(key).distinct(), key, "left_anti")
 
 
-def parse_parsed_summary(texts: DataFrame, file_col: str = "file_name") -> DataFrame:
-    """SRC7 + PRJ4 + PRJ5 + FLT2 + FLT3: read the parsed-summary text format back.
+def structure_texts(spark: SparkSession, path: str, plain: str, packed: str) -> DataFrame:
+    """SRC1 + SRC3 + SRC4: ``(structure, value)``, one row per structure file under ``path``.
+
+    A structure is a file of glob ``plain``, or one of glob ``packed`` (its name without ``.gz``)
+    where the plain file is absent: the unpacked file wins. Files without bytes, which the text
+    scan leaves out, are taken from the listing with an empty value. Every file is opened once.
+    """
+    name = lambda c: F.regexp_replace(F.col(c), r"\.gz$", "").alias("structure")
+    listed = list_files(spark, path, plain)
+    here = listed.select(name("file_name")).distinct()
+
+    def texts(glob: str) -> DataFrame:
+        empty = list_files(spark, path, glob).where(F.col("length") == 0)
+        r = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", glob)
+        found = r.option("recursiveFileLookup", True).load(path)
+        return (found.select(F.col("_metadata.file_name").alias("file_name"), "value")
+                .unionByName(empty.select("file_name", F.lit("").alias("value")))
+                .select(name("file_name"), "value"))
+    return texts(plain).unionByName(texts(packed).join(here, "structure", "left_anti"))
+
+
+def structure_names(spark: SparkSession, path: str, plain: str, packed: str) -> DataFrame:
+    """``(structure)``: the same universe from listings alone."""
+    both = list_files(spark, path, plain).unionByName(list_files(spark, path, packed))
+    return both.select(F.regexp_replace("file_name", r"\.gz$", "").alias("structure")).distinct()
+
+
+def parse_parsed_summary(texts: DataFrame, file_col: str = "file_name",
+                         keep: list | tuple = ()) -> DataFrame:
+    """SRC7 + PRJ4 + PRJ5 + FLT2 + FLT3: read the parsed-summary text format back. Without a
+    column ``file_col``, the structure's name is taken from the first line.
 
     Returns ``(<file_col>, mean_score, entries)`` where ``entries`` is an array of
     ``struct(code, n)``. Line 1 holds the mean after the marker (0.0 when the marker is absent);
@@ -77,10 +129,13 @@ def parse_parsed_summary(texts: DataFrame, file_col: str = "file_name") -> DataF
     mean = F.when(first.contains(MEAN_MARKER), py_float(after)).otherwise(F.lit(0.0))
     body = F.filter(F.slice(lines, 3, F.greatest(F.size(lines) - 2, F.lit(0))),
                     lambda x: F.trim(x) != "")
+    if file_col not in texts.columns:
+        name = F.regexp_extract(first, rf"^#(.*) Results\. {MEAN_MARKER}", 1)
+        texts = texts.withColumn(file_col, name)
     entries = F.transform(body, lambda x: F.struct(
         F.regexp_extract(F.trim(x), r"^(.*),([^,]*)$", 1).alias("code"),
         F.regexp_extract(F.trim(x), r"^(.*),([^,]*)$", 2).try_cast("int").alias("n")))
-    return texts.select(file_col, mean.alias("mean_score"), entries.alias("entries"))
+    return texts.select(*keep, file_col, mean.alias("mean_score"), entries.alias("entries"))
 
 
 def entries_to_map(entries):

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from hitroll.functions.columns import (CODE_KEY, HIT_FILE_SUFFIX, R_JSON, R_KEY, R_NESTED, basename,
                                        py_float, structure_id, with_json_check)
-from hitroll.schema import BAD, CODE, REASON, SCORE, STRUCTURE
+from hitroll.schema import BAD, CODE, DATASET, REASON, SCORE, STRUCTURE
 
 from hitroll.fixed import HIT_FIELDS as N_FIELDS
 from hitroll.fixed import META_FIELD, SCORE_FIELD
@@ -28,22 +28,24 @@ R_MISSING, R_SCORE = "missing_field", "bad_score"
 REASONS = (R_MISSING, R_SCORE, R_JSON, R_KEY, R_NESTED)
 
 
-def hit_reader(spark: SparkSession, multiline: bool = False):
-    """CSV reader configured like ``csv.reader(f, delimiter='\\t')`` after skipping one line.
+def hit_reader(spark: SparkSession, multiline: bool = True):
+    """CSV reader of tab-separated hit files, one header line each.
 
     Quoting: double quote, doubled to escape (R11), hence ``escape='"'``. Blank lines are
-    skipped by Spark (R12, documented deviation). ``multiline=True`` lets a quoted cell span
-    lines, as ``csv.reader`` does, at the price of reading each file in one task.
+    skipped by Spark (R12, documented deviation). A quoted cell may span lines, at the price of
+    reading each file in one task, which suits files of one structure; ``multiline=False`` lets
+    a big table without such cells be split.
     """
     return (spark.read.schema(HIT_SCHEMA)
             .option("sep", "\t").option("header", True)
-            .option("quote", '"').option("escape", '"')
+            .option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1)
             .option("mode", "PERMISSIVE").option("multiLine", multiline))
 
 
 def read_hit_files(spark: SparkSession, path: str, glob: str | None = f"*{HIT_FILE_SUFFIX}",
-                   multiline: bool = False) -> DataFrame:
-    """Raw hit rows with ``file_path`` and ``file_name`` of the file they came from."""
+                   multiline: bool = True) -> DataFrame:
+    """Raw hit rows with ``file_path`` and ``file_name`` of the file they came from, and the
+    folder's partition columns (``dataset=...``), if any, as text."""
     r = hit_reader(spark, multiline)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -76,6 +78,11 @@ def parse_hits(raw: DataFrame, structure: Column | None = None, key: str = CODE_
                          F.col(REASON).isNotNull().alias(BAD), REASON)
 
 
+def structure_of_file() -> Column:
+    """PRJ7: the structure that a hit row's file belongs to."""
+    return structure_id(F.col("file_name")).alias(STRUCTURE)
+
+
 def list_hit_files(spark: SparkSession, path: str, glob: str = f"*{HIT_FILE_SUFFIX}") -> DataFrame:
     """Listing of hit files (path, length, structure) without reading their content.
 
@@ -90,7 +97,8 @@ def list_hit_files(spark: SparkSession, path: str, glob: str = f"*{HIT_FILE_SUFF
 
 def rejects(hits: DataFrame) -> DataFrame:
     """Rejected structures with the number of bad rows and the distinct reasons (FLT6)."""
-    return (hits.groupBy(STRUCTURE)
+    keys = [DATASET, STRUCTURE] if DATASET in hits.columns else [STRUCTURE]
+    return (hits.groupBy(*keys)
             .agg(F.sum(F.col(BAD).cast("long")).alias("n_bad"),
                  F.count(F.lit(1)).alias("n_rows"),
                  F.array_sort(F.collect_set(REASON)).alias("reasons"))

@@ -4,6 +4,9 @@ The reference re-checks every target on each run ("decompress unless the output
 Here a Structured Streaming file source does the bookkeeping: its checkpoint records which
 files were committed, the ``availableNow`` trigger processes everything new and stops, and the
 file sink's metadata log makes each run exactly-once, also when executors are lost mid-run.
+A file counts as new by its name alone, whatever its date: the source's age limit (which would
+skip files dated before the newest seen one) is lifted, and after each run the listing is
+compared with the table, so a file that was missed raises instead of being lost.
 The result is a Parquet table ``(path, file_name, value, <partition columns>, run)``; turning
 many small files into one columnar table also removes the small-file cost from later scans.
 """
@@ -13,6 +16,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from hitroll.sources.files import list_files, new_files
+
+# Lifts the file source's limit (7 days by default) on a new file's age relative to the newest.
+ANY_AGE = "36500d"
+
 
 def ingest_texts(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
                  schema: str = "value string", glob: str | None = None, run_tag=None,
@@ -23,7 +31,8 @@ def ingest_texts(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     folder (``<key>=<value>`` directories). ``run_tag`` is stored in column ``run`` so callers can
     see which run picked a file up. Blocks until the available files are committed.
     """
-    r = spark.readStream.format("text").option("wholetext", True).schema(schema)
+    r = (spark.readStream.format("text").option("wholetext", True).option("maxFileAge", ANY_AGE)
+         .schema(schema))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -38,3 +47,8 @@ def ingest_texts(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    listing = list_files(spark, source_dir, glob).where("length > 0")
+    missed = new_files(listing, spark.read.parquet(table_path).select(F.col("path").alias("file_path")),
+                       key="file_path").limit(5).collect()
+    if missed:
+        raise RuntimeError(f"not ingested: {[r['file_path'] for r in missed]}")

@@ -34,6 +34,7 @@ CASES = {
     "spellings.pdb": HEADER + row("1_0") + row(" 7 "),
     "suffix90d.pdb": HEADER + row("90d"),
     "sample": HEADER + row("50"),
+    "line_end.pdb": HEADER + row("60").replace("t", '"two\nlines"', 1) + row("40"),
 }
 
 
@@ -62,6 +63,7 @@ def test_hit_scan_edge_cases(spark, tmp_path):
     assert by["quoted_cell.pdb"][0]["code"] == "2.60.40.10"
     assert sorted(r["score"] for r in by["spellings.pdb"]) == [7.0, 10.0]
     assert by["suffix90d.pdb"][0]["bad"]
+    assert sorted(r["score"] for r in by["line_end.pdb"]) == [40.0, 60.0]
     assert "sample" in by   # R16 fixed: the literal suffix is removed, not a character set
 
 

@@ -60,7 +60,7 @@ def test_job_end_to_end_and_rerun(spark, tmp_path):
 def test_names_are_normalised_and_checked():
     cat = job.parse_catalogue(None)
     assert [e.name for e in resolve([" ECOLI", "human", "ecoli"], cat)] == ["ecoli", "human"]
-    with pytest.raises(ValueError, match="Choose from"):
+    with pytest.raises(ValueError, match="not in the catalogue"):
         resolve(["mouse"], cat)
     assert job.parse_catalogue(["x=/data/x/:4"])[0] == Entry("x", "/data/x/", 4)
 
@@ -154,3 +154,83 @@ def test_job_wrapper_rejects_unknown_names(tmp_path):
     r = _job_cli(tmp_path, "mouse", "--out", str(tmp_path / "out"))
     assert r.returncode != 0
     assert "mouse" in r.stderr and "ecoli" in r.stderr
+
+
+HEADER = "\t".join(f"h{i}" for i in range(16)) + "\n"
+
+
+def hit(score, code):
+    return "\t".join(["q", "t", "x", score] + ["f"] * 11 + ['{"cath": "%s"}' % code]) + "\n"
+
+
+def test_datasets_with_the_same_file_names_stay_apart(spark, tmp_path):
+    d1, d2, hits, out = (str(tmp_path / n) for n in ("d1", "d2", "hits", "out"))
+    for d, text in ((d1, "alpha\n"), (d2, "gamma gamma\n")):
+        write(d, "x.pdb", text)
+    entries = [Entry("one", d1, 1), Entry("two", d2, 1)]
+    script = tmp_path / "search.py"
+    script.write_text(SEARCH)
+    cmd = [sys.executable, str(script), "{input}", "{name}"]
+    job.run(spark, entries, out, cmd, output_file="{name}_search.tsv")
+    stats = {r["organism"]: float(r["mean plddt"]) for r in read_csv(f"{out}/plDDT_means.csv")}
+    assert stats == {"one": 5.0, "two": 11.0}
+    assert [r["cath_code"] for r in read_csv(f"{out}/one_cath_summary.csv")] == ["alpha"]
+    assert [r["cath_code"] for r in read_csv(f"{out}/two_cath_summary.csv")] == ["gamma"]
+    write(f"{hits}/one", "x.pdb_search.tsv", HEADER + hit("10", "a"))
+    write(f"{hits}/two", "x.pdb_search.tsv", HEADER + hit("90", "b"))
+    job.run(spark, entries, out, hits_dir=hits)
+    stats = {r["organism"]: float(r["mean plddt"]) for r in read_csv(f"{out}/plDDT_means.csv")}
+    assert stats == {"one": 10.0, "two": 90.0}
+
+
+def test_failed_and_empty_outputs_are_no_output(spark, tmp_path):
+    ds, out = str(tmp_path / "ds"), str(tmp_path / "out")
+    write(ds, "a.pdb", "x\n")
+    write(ds, "b.pdb", "y\n")
+    res = job.run(spark, [Entry("one", ds, 1)], out, ["false"])
+    assert res["outcomes"] == {"no_output": 2}
+    stats = read_csv(f"{out}/plDDT_means.csv")
+    assert [(r["organism"], float(r["mean plddt"])) for r in stats] == [("one", 0.0)]
+    res = job.run(spark, [Entry("one", ds, 1)], out, ["sh", "-c", ": > $0_search.tsv", "{name}"],
+                  output_file="{name}_search.tsv")
+    assert res["outcomes"] == {"no_output": 2}
+    header = f"printf '{HEADER.strip()}' > $0_search.tsv"
+    res = job.run(spark, [Entry("one", ds, 1)], out, ["sh", "-c", header, "{name}"],
+                  output_file="{name}_search.tsv")
+    assert res["outcomes"] == {"zero_hits": 2}
+
+
+def test_unpacked_file_wins_and_empty_files_count(spark, tmp_path):
+    ds, out = str(tmp_path / "ds"), str(tmp_path / "out")
+    write(ds, "x.pdb", "alpha\n")
+    with gzip.open(os.path.join(ds, "x.pdb.gz"), "wt") as fh:
+        fh.write("alpha\nalpha\n")
+    write(ds, "empty.pdb", "")
+    script = tmp_path / "search.py"
+    script.write_text(SEARCH)
+    cmd = [sys.executable, str(script), "{input}", "{name}"]
+    for ingest in (None, str(tmp_path / "ingest")):
+        res = job.run(spark, [Entry("one", ds, 1)], out, cmd, output_file="{name}_search.tsv",
+                      ingest_dir=ingest)
+        assert res["outcomes"] == {"hits": 1, "no_output": 1} and res["files"] == 2
+        codes = {r["cath_code"]: int(r["count"]) for r in read_csv(f"{out}/one_cath_summary.csv")}
+        assert codes == {"alpha": 1}
+
+
+def test_job_publishes_hits_summaries_and_further_files(spark, tmp_path):
+    from hitroll.sources import files as FS
+    ds, out = str(tmp_path / "ds"), str(tmp_path / "out")
+    write(ds, "a.pdb", "alpha x\nbeta y\n")
+    write(ds, "b.pdb", "\n")
+    script = tmp_path / "search.py"
+    script.write_text(SEARCH + '\nopen(name + "_segment.tsv", "w").write("seg " + name)\n')
+    job.run(spark, [Entry("one", ds, 1)], out, [sys.executable, str(script), "{input}", "{name}"],
+            output_file="{name}_search.tsv", extra_files=["{name}_segment.tsv"], compression="gzip")
+    assert spark.read.parquet(f"{out}/hits").where("dataset = 'one'").count() == 2
+    files = spark.read.parquet(f"{out}/files").collect()
+    assert [(r["structure"], r["file_name"], r["content"]) for r in files] == [
+        ("a.pdb", "a.pdb_segment.tsv", "seg a.pdb")]
+    parsed = FS.parse_parsed_summary(FS.read_texts(spark, f"{out}/parsed", glob="*.txt.gz"),
+                                     file_col="structure").collect()
+    assert [(r["structure"], r["mean_score"], len(r["entries"])) for r in parsed] == [("a.pdb", 6.5, 2)]
+    assert any(n.endswith(".csv.gz") for n in os.listdir(f"{out}/code_summaries"))

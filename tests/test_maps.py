@@ -49,13 +49,19 @@ def test_entries_skip_empty_and_null_maps(spark):
 
 def test_micro_benchmark_formulations_agree(spark):
     from hitroll.plans.benchmark import compare
-    from hitroll.sources.generator import benchmark_rows
-    rows = benchmark_rows(spark.range(0, 2000).withColumnRenamed("id", "key"), "key")
+    from hitroll.sources.tables import lineitem_maps
+    rows = lineitem_maps(spark, "/root/testdata/sf0.001")
     res = compare(rows)
-    assert res["rows"] == 2000 and res["agree"]
+    assert res["rows"] == rows.count() and res["agree"]
+    empty = compare(rows.limit(0))
+    assert empty["rows"] == 0 and empty["agree"]
+    equal = spark.createDataFrame([(98.4244, {"a": 1})] * 3, "float_value double, count_dict map<string,int>")
+    assert compare(equal)["agree"]
 
 
 def test_micro_benchmark_sweep_sizes(spark):
     from hitroll.plans.benchmark import sweep
-    res = sweep(spark, sizes=(10, 300))
-    assert [r["rows"] for r in res] == [10, 300] and all(r["agree"] for r in res)
+    from hitroll.sources.tables import lineitem_maps
+    rows = lineitem_maps(spark, "/root/testdata/sf0.001")
+    res = sweep(rows, fractions=(0.5, 1.0))
+    assert 0 < res[0]["rows"] < res[1]["rows"] == rows.count() and all(r["agree"] for r in res)

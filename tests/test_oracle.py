@@ -36,8 +36,8 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) >= 0
+    if sql is None:                # compared with brute force in its own test module
+        assert rows
         return
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]

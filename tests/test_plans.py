@@ -34,8 +34,17 @@ def test_flagship_prunes_columns_and_aggregates_before_shuffles(large_shape):
     assert "partial_avg(score)" in p and "partial_avg(mean_score)" in p
 
 
-def test_generated_rows_builds_maps_once_in_codegen(large_shape):
+def test_map_explode_builds_maps_once(large_shape):
     p = plan(large_shape, "generated_rows")
     assert "Filter (size(" not in p                      # no inferred copy of the map build
-    assert re.search(r"\*\(\d+\) Project \[map_concat\(", p)
-    assert p.count("Exchange") == 1
+    assert p.count("collect_list(struct(") == 2          # partial and final, once
+
+
+def test_rejected_structures_are_anti_joined_from_one_exchange(large_shape):
+    p = plan(large_shape, "json_code_summary")
+    assert "Window" not in p and "LeftAnti" in p
+
+
+def test_search_of_a_one_block_library_needs_no_window(large_shape):
+    p = plan(large_shape, "label_top_k")
+    assert "Window" not in p

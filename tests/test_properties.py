@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from hitroll.functions.columns import json_check, py_float
+from hitroll.functions.columns import py_float, with_json_check
 from hitroll.operators import maps as M
 from hitroll.operators import scores as S
 
@@ -46,9 +46,8 @@ json_values = st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6),
                 min_size=20, max_size=60))
 def test_json_code_agrees_with_python(spark, dicts):
     cells = [json.dumps(d) for d in dicts]
-    code, _ = json_check("j")
     df = spark.createDataFrame([(c,) for c in cells], "j string")
-    for cell, got in df.select("j", code).collect():
+    for cell, got in with_json_check(df, "j", code_col="c").select("j", "c").collect():
         d = json.loads(cell)
         want = str(d["cath"]) if "cath" in d else None
         assert got == want, cell

@@ -58,13 +58,31 @@ def test_empty_dataset_defaults(spark):
     assert rows == {"d1": (5.0, 0.0, 1), "d2": (0.0, 0.0, 0), "d3": (0.0, 0.0, 0)}
 
 
-def test_code_summary_excludes_rejected(spark):
+def test_code_totals_exclude_rejected(spark):
     st = _structures(spark, [("a", "d"), ("b", "d")])
     hits = _hits(spark, [("a", 1.0, "x", False), ("a", 1.0, "x", False), ("a", 1.0, "y", False),
                          ("b", 1.0, "x", False), ("b", None, None, True)])
-    out = S.outcomes(st, S.per_structure(hits))
-    got = {(r["code"], r["count"]) for r in S.code_summary(out, S.code_counts(hits)).collect()}
+    got = {(r["code"], r["count"]) for r in S.code_totals(S.code_grain(hits), st).collect()}
     assert got == {("x", 2), ("y", 1)}
+    got = {(r["structure"], r["code"], r["n"]) for r in S.code_counts(hits).collect()}
+    assert ("a", "x", 2) in got
+
+
+def test_datasets_that_share_structure_names_stay_apart(spark):
+    st = _structures(spark, [("x.pdb", "one"), ("x.pdb", "two"), ("y.pdb", "two")])
+    hits = spark.createDataFrame([("one", "x.pdb", 10.0, "a", False), ("two", "x.pdb", 90.0, "b", False),
+                                  ("two", "y.pdb", 50.0, "b", False), ("two", "y.pdb", None, None, True)],
+                                 "dataset string, structure string, score double, code string, bad boolean")
+    listed = st.select("dataset", "structure")
+    grain = S.code_grain(hits)
+    for per in (S.per_structure(hits), S.per_structure_from_grain(grain)):
+        out = S.outcomes(st, per, listed)
+        stats = {r["dataset"]: (r["mean_score"], r["n_structures"]) for r in
+                 S.dataset_statistics(S.scored(out)).collect()}
+        assert stats == {"one": (10.0, 1), "two": (90.0, 1)}
+    for universe in (st, None):
+        got = {(r["dataset"], r["code"], r["count"]) for r in S.code_totals(grain, universe).collect()}
+        assert got == {("one", "a", 1), ("two", "b", 1)}
 
 
 def test_partition_count_does_not_change_results(spark):

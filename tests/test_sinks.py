@@ -28,12 +28,27 @@ def test_parsed_summary_round_trip(spark, tmp_path):
     lines = {r["structure"]: r["value"] for r in text.collect()}
     assert lines["s1"] == "#s1 Results. mean plddt: 25.5\ncath_id,count\na,b,2\nx,1"
     assert lines["s2"] == "#s2 Results. mean plddt: 0\ncath_id,count"
-    SK.write_parsed_summaries(text, str(tmp_path))
-    back = FS.parse_parsed_summary(FS.read_texts(spark, str(tmp_path)), file_col="structure")
+    SK.write_parsed_summaries(text, str(tmp_path / "p"))
+    back = FS.parse_parsed_summary(FS.read_texts(spark, str(tmp_path / "p")), file_col="structure")
     got = {r["structure"]: (r["mean_score"], [tuple(e) for e in r["entries"]]) for r in back.collect()}
     assert got == {"s1": (25.5, [("a,b", 2), ("x", 1)]), "s2": (0.0, [])}
 
 
+def test_ids_that_look_like_numbers_survive(spark, tmp_path):
+    per = spark.createDataFrame([("d1", "007", 1, 2.0), ("d1", "1e2", 1, 3.0), ("007", "x", 1, 4.0)],
+                                "dataset string, structure string, n_hits bigint, mean_score double")
+    counts = spark.createDataFrame([("d1", "007", "c", 1)],
+                                   "dataset string, structure string, code string, n bigint")
+    SK.write_parsed_summaries(SK.parsed_summary_text(per, counts), str(tmp_path / "p"))
+    back = FS.parse_parsed_summary(FS.read_texts(spark, str(tmp_path / "p")), file_col="structure")
+    assert {r["structure"]: len(r["entries"]) for r in back.collect()} == {"007": 1, "1e2": 0, "x": 0}
+    docs = spark.createDataFrame([("007", "t\nu"), ("1e2", "")], "doc string, text string")
+    SK.write_structure_texts(docs, str(tmp_path / "s"), "doc", "text")
+    texts = FS.read_texts(spark, str(tmp_path / "s"))
+    assert sorted(r["value"] for r in texts.collect()) == ["007\nt\nu\n", "1e2\n\n"]
+    assert texts.select("file_name").distinct().count() == 2
+
+
 def test_parse_summary_rules(spark):
     texts = spark.createDataFrame([("f", "#f Results. mean plddt: 1_0\ncath_id,count\n\nq,3\nq,4\n"),
                                    ("g", "no marker here\n")], "file_name string, value string")
@@ -70,3 +85,29 @@ def test_streaming_ingest_reads_gzip_once(spark, tmp_path):
     ingest_texts(spark, str(src), table, ckpt, glob="*.gz", run_tag=2)
     got = sorted((r["file_name"], r["value"], r["run"]) for r in spark.read.parquet(table).collect())
     assert got == [("a.pdb.gz", "one\n", 1), ("c.pdb.gz", "three\n", 2)]
+
+
+def test_late_files_of_any_date_are_ingested(spark, tmp_path):
+    from hitroll.streaming.ingest import ingest_texts
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "new.pdb").write_text("new\n")
+    table, ckpt = str(tmp_path / "t"), str(tmp_path / "c")
+    ingest_texts(spark, str(src), table, ckpt, run_tag=1)
+    (src / "old.pdb").write_text("old\n")
+    month_ago = (src / "new.pdb").stat().st_mtime - 30 * 86400
+    os.utime(src / "old.pdb", (month_ago, month_ago))
+    (src / "empty.pdb").write_text("")
+    ingest_texts(spark, str(src), table, ckpt, run_tag=2)
+    got = sorted((r["file_name"], r["run"]) for r in spark.read.parquet(table).collect())
+    assert got == [("new.pdb", 1), ("old.pdb", 2)]
+
+
+def test_equal_rows_are_spread(spark, tmp_path):
+    cols = [F.lit("same").alias(f"c{i}") for i in range(16)]
+    rows = spark.range(4000).select(*cols, F.lit("ds").alias("dataset"))
+    SK.write_hit_files(rows, str(tmp_path / "h"), ["dataset"], key="c0", rows_per_file=200)
+    files = [n for n in os.listdir(tmp_path / "h" / "dataset=ds") if n.startswith("part-")]
+    assert len(files) > 5
+    back = spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "h"))
+    assert back.count() == 4000
