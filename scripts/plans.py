@@ -31,11 +31,10 @@ def main():
            "Generated by `scripts/plans.py`: broadcast joins off, AQE off. `*` marks operators",
            "inside whole-stage code generation; `Exchange` is a shuffle.", ""]
     runs = [(name, lambda name=name: Q.REGISTRY[name].run(spark, sf)) for name in NAMES]
-    # The search beyond its broadcast bound (the large-library case): blocked cogroup path.
+    # The search in a library of many blocks.
     emb = T.table(spark, sf, "embeddings")
-    runs.append(("label_top_k (blocked path)",
-                 lambda: SE.top_k(emb, emb, k=3, exclude_self=True, max_broadcast_bytes=0,
-                                  block_rows=512)))
+    runs.append(("label_top_k (many blocks)",
+                 lambda: SE.top_k(emb, emb, k=3, exclude_self=True, block_bytes=1 << 16)))
     for name, build in runs:
         text = build()._jdf.queryExecution().executedPlan().treeString()
         tree = [ln for ln in text.splitlines() if ln.strip()]
