@@ -88,7 +88,8 @@ class LineRuns:
     def _totals(self, names: list[str]) -> DataFrame:
         # Read as plain files: a union of bucketed tables would be taken to be partitioned by h,
         # although its scans may be planned without their buckets, and keys would not meet.
-        rows = self.spark.read.parquet(*[self.paths[n] for n in names])
+        rows = (self.spark.read.schema(self.spark.table(names[0]).schema)
+                .parquet(*[self.paths[n] for n in names]))
         return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"),
                                      F.max("max_doc").alias("max_doc"))
 
