@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -117,14 +117,27 @@ def _long(data: np.ndarray, hasher: WordHasher) -> np.ndarray:
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
     """Sorted distinct hashes of the ``k``-word shingles; fewer words are one shingle."""
+    return weighted_shingles(words, k, None)[0]
+
+
+def weighted_shingles(words: np.ndarray, k: int, weight: np.ndarray | None):
+    """:func:`shingle_set` and, with a weight per word, the least weight in every shingle."""
     n = len(words)
     if n == 0:
-        return words
+        return words, weight
     size = min(n, k)
     h = np.full(n - size + 1, size, np.uint64)
     for i in range(size):
         h = mix(h + words[i:n - size + 1 + i] * _ODD)
-    h.sort()
+    least = None
+    if weight is None:
+        h.sort()
+    else:
+        least = weight[:n - size + 1]
+        for i in range(1, size):
+            least = np.minimum(least, weight[i:n - size + 1 + i])
+        order = np.argsort(h)
+        h, least = h[order], least[order]
     keep = np.ones(len(h), bool)
     keep[1:] = h[1:] != h[:-1]
-    return h[keep]
+    return h[keep], None if least is None else least[keep]
