@@ -1,18 +1,22 @@
 """Jaccard self-join of word shingle sets with adaptive multi-match prefixes.
 
 1. Every text becomes the set of its distinct k-word shingles (64-bit hashes). Equal sets are one
-   class from here on, whose node is its smallest ``doc_id``. The same pass counts all shingles in
-   ``BUCKETS`` hash buckets.
-2. Shingles are ordered by bucket count, then hash: a global order, rare ones first. Two sets that
-   link share at least m shingles among the first ``n - ceil(t n) + m`` of each, for every m. Each
-   set picks its own m by estimated cost: for m = 1 .. ``MAX_MATCH``, the postings that its prefix
-   would scan plus the candidates (postings / m) that it would verify. Costly sets thus get longer
-   prefixes, and a pair must share as many prefix shingles as the less demanding of the two asks.
-3. Postings that more than one set shares are candidates. First, ``STAR_ROUNDS`` times, each
-   posting list links its members to one hub and to their neighbours in a hash order: verified
-   pairs, as many as postings. Where lists still join different components, every pair across
-   components that meets the prefix condition is verified. So a large group of near copies costs
-   a few pairs per member, and no link that joins different components can be lost.
+   class from here on, whose node is its smallest ``doc_id``. The same pass counts all shingles,
+   and all words, in ``BUCKETS`` hash buckets each.
+2. A shingle is in no more documents than its bucket counts, nor than the bucket of its rarest
+   word does. Shingles are ordered by the lower of the two, then by hash: a global order, rare
+   ones first. Two sets that link share at least m shingles among the first
+   ``n - ceil(t n) + m`` of each, for every m. Each set picks its own m by estimated cost: the
+   postings that its prefix emits, and the candidates that it would verify, fewer the more shared
+   shingles they need. Costly sets thus get longer prefixes, and a pair must share as many prefix
+   shingles as the less demanding of the two asks.
+3. Postings that more than one set shares are candidates; sets with too few of them to meet their
+   own condition leave, and the rest is counted again. Then, ``STAR_ROUNDS`` times, each posting
+   list pairs its members with one hub and with their neighbours: as many pairs as postings. Where
+   lists still join different components, pairs across components are generated. Pairs that meet
+   the prefix condition, and whose places in the order leave room for enough shared shingles, are
+   verified. So a large group of near copies costs a few pairs per member, and no link that
+   joins different components can be lost.
 
 Verification compares whole sets. Defined results: null, empty or blank text has the empty set and
 links with nothing; fewer than k words are one shingle; equal sets link; rows that share a
@@ -23,6 +27,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -32,13 +37,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hitroll.llm.common import cut, tuck, untuck
+from hitroll.session import scratch_path
 from hitroll.llm.components import components
-from hitroll.llm.shingles import WordHasher, documents, shingle_set
+from hitroll.llm.shingles import WordHasher, documents, shingle_set, weighted_shingles
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 20         # bytes on the driver and in each task, per table of counts
 SLICES = 64
 SALTS = 1024
-MAX_MATCH = 8
+MIN_MATCH, MAX_MATCH = 4, 16
+POSTING_COST = 8          # of a posting, in units of comparing one shingle
+CORE_ROUNDS = 2
 STAR_ROUNDS = 2
 
 
@@ -48,31 +56,32 @@ def _digest(s: np.ndarray) -> bytes:
 
 def set_digests(docs: DataFrame, k: int) -> DataFrame:
     """Rows ``doc_id, n, digest`` per document (digest null for the empty set), and per task rows
-    ``slice, counts`` with its share of the bucket counts."""
+    ``slice, counts`` with its share of the bucket counts (shingles, then words)."""
 
     def run(batches):
-        hasher, counts = WordHasher(), np.zeros(BUCKETS, np.uint32)
+        hasher, counts = WordHasher(), np.zeros((2, BUCKETS), np.uint32)
         for batch in batches:
-            ids, sizes, digests, pending, held = batch.column(0), [], [], [], 0
+            ids, sizes, digests, pending, held = batch.column(0), [], [], ([], []), 0
             for _, words in documents(batch.column(1), hasher):
                 s = shingle_set(words, k)
                 sizes.append(len(s))
                 digests.append(_digest(s) if len(s) else None)
-                pending.append(s)
+                pending[0].append(s)
+                pending[1].append(np.unique(words))
                 held += len(s)
-                if held > 1 << 20:
-                    counts += _bucketed(pending)
-                    pending, held = [], 0
-            if pending:
-                counts += _bucketed(pending)
+                if held > 1 << 18:
+                    counts += [_bucketed(p) for p in pending]
+                    pending, held = ([], []), 0
+            if held:
+                counts += [_bucketed(p) for p in pending]
             nothing = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), nothing,
                  pa.nulls(len(sizes), pa.binary())], names=names)
-        parts = [p.tobytes() for p in counts.reshape(SLICES, -1)]
+        parts = [p.tobytes() for p in counts.reshape(2 * SLICES, -1)]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64()),
-             pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()),
+            [pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64()),
+             pa.nulls(len(parts), pa.binary()), pa.array(range(len(parts)), pa.int32()),
              pa.array(parts, pa.binary())], names=names)
 
     names = ["doc_id", "n", "digest", "slice", "counts"]
@@ -82,13 +91,17 @@ def set_digests(docs: DataFrame, k: int) -> DataFrame:
 
 def _bucketed(sets: list[np.ndarray]) -> np.ndarray:
     h = np.concatenate(sets)
-    return np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64),
-                       minlength=BUCKETS).astype(np.uint32)
+    return np.bincount(_bucket(h), minlength=BUCKETS).astype(np.uint32)
 
 
-def bucket_weights(digests: DataFrame) -> np.ndarray:
-    """Estimated documents per bucket, on a logarithmic scale of one byte per bucket. The
-    per-task counts are added in two levels; ``BUCKETS`` bytes reach the driver at any size."""
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def bucket_weights(digests: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Documents per bucket of shingles and of words, on a logarithmic scale of one byte per
+    bucket. The per-task counts are added in two levels; two times ``BUCKETS`` bytes reach the
+    driver at any size."""
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(BUCKETS // SLICES, np.uint64)
@@ -107,46 +120,47 @@ def bucket_weights(digests: DataFrame) -> np.ndarray:
                      "counts"))
     parts = parts.groupBy("slice", "salt").applyInPandas(add, "slice int, salt int, counts binary")
     rows = parts.groupBy("slice").applyInPandas(scale, "slice int, w binary").collect()
-    out = np.zeros(BUCKETS, np.uint8)
+    out = np.zeros((2 * SLICES, BUCKETS // SLICES), np.uint8)
     for r in rows:
-        at = r["slice"] * (BUCKETS // SLICES)
-        out[at:at + BUCKETS // SLICES] = np.frombuffer(r["w"], np.uint8)
-    return out
+        out[r["slice"]] = np.frombuffer(r["w"], np.uint8)
+    return tuple(out.reshape(2, BUCKETS))
+
+
+def least_match(n, percent: int):
+    """What any partner of a set of ``n`` shingles asks for at least: it has ``t n`` shingles or
+    more itself, and every set asks for ``MIN_MATCH`` or for all that a partner must share."""
+    return min(MIN_MATCH, -(-percent * percent * n // 10_000))
 
 
 def chosen_match(estimates: np.ndarray, n: int, need: int) -> int:
     """The number m of shared prefix shingles with the least estimated cost, for a set of ``n``
     shingles of which a partner shares ``need``. ``estimates``: others that hold the shingle, in
-    prefix order."""
+    prefix order. A candidate shares m of the postings and costs a comparison of whole sets;
+    chance sharers thin out with the square of m."""
     upto = np.cumsum(estimates)
-    best, least = 1, None
-    for m in range(1, min(MAX_MATCH, need) + 1):
-        postings = float(upto[n - need + m - 1])
-        cost = postings + n * postings / m + (n - need + m)
-        if least is None or cost < least:
-            best, least = m, cost
-    return best
-
-
-def prefix_postings(docs: DataFrame, k: int, percent: int, weights: np.ndarray) -> DataFrame:
-    """``token, digest, n, level, match``: the prefix shingles of every set. A shingle has level m
-    if it is first needed for m shared ones. A task emits a set that it meets again only once."""
-    spread = np.maximum(0.0, np.exp2(np.arange(256) / 8.0) - 1.0)
-    usual = float(np.median(spread[weights]))
-    others = np.maximum(0.0, spread - usual - 3 * np.sqrt(usual + 1))  # beyond the bucket's load
-    shared = docs.sparkSession.sparkContext.broadcast(weights)         # BUCKETS bytes
+    choices = range(min(MIN_MATCH, need), min(MAX_MATCH, need) + 1)
+    return min(choices, key=lambda m: POSTING_COST * m + n * upto[n - need + m - 1] / m ** 2)
+
+
+def prefix_postings(docs: DataFrame, k: int, percent: int, weights) -> DataFrame:
+    """``token, doc_id, n, pos, match``: the prefix shingles of every set and their places in the
+    order, from 1. A task emits a set that it meets again only once."""
+    others = np.maximum(0.0, np.exp2(np.arange(256) / 8.0) - 2.0)   # besides the set itself
+    shared = docs.sparkSession.sparkContext.broadcast(weights)      # 2 * BUCKETS bytes
 
     def run(batches):
-        hasher, seen, weight = WordHasher(), set(), shared.value
+        hasher, seen = WordHasher(), set()
+        by_shingle, by_word = shared.value
         for batch in batches:
-            tokens, digests, sizes, levels, matches = [], [], [], [], []
-            for _, words in documents(batch.column(0), hasher):
-                s = shingle_set(words, k)
+            tokens, owners, sizes, places, matches = [], [], [], [], []
+            ids = batch.column(0).to_pylist()
+            for row, words in documents(batch.column(1), hasher):
+                s, least = weighted_shingles(words, k, by_word[_bucket(words)])
                 n = len(s)
                 if not n or (digest := _digest(s)) in seen:
                     continue
                 seen.add(digest)
-                w = weight[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]
+                w = np.minimum(least, by_shingle[_bucket(s)])
                 order = np.argsort(w, kind="stable")         # equal weights stay in hash order
                 need = -(-percent * n // 100)
                 longest = n - need + min(MAX_MATCH, need)
@@ -154,21 +168,39 @@ def prefix_postings(docs: DataFrame, k: int, percent: int, weights: np.ndarray)
                 match = chosen_match(others[w[first]], n, need)
                 size = n - need + match
                 tokens.append(s[first[:size]])
-                levels.append(np.maximum(1, np.arange(1, size + 1) - (n - need)))
-                digests += [digest] * size
+                places.append(np.arange(1, size + 1))
+                owners.append(np.full(size, ids[row], np.int64))
                 sizes.append(np.full(size, n))
                 matches.append(np.full(size, match))
-            if digests:
+            if owners:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(tokens).view(np.int64)),
-                    pa.array(digests, pa.binary()),
+                    pa.array(np.concatenate(owners)),
                     pa.array(np.concatenate(sizes), pa.int32()),
-                    pa.array(np.concatenate(levels), pa.int8()),
+                    pa.array(np.concatenate(places), pa.int32()),
                     pa.array(np.concatenate(matches), pa.int8())],
-                    names=["token", "digest", "n", "level", "match"])
+                    names=["token", "doc_id", "n", "pos", "match"])
 
-    return docs.select("text").mapInArrow(
-        run, "token long, digest binary, n int, level byte, match byte")
+    return (docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
+            .mapInArrow(run, "token long, doc_id long, n int, pos int, match byte"))
+
+
+def _shared_only(postings: DataFrame) -> DataFrame:
+    sharing = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    return postings.withColumn("sharing", sharing).where("sharing > 1").drop("sharing")
+
+
+def _core(lists: DataFrame, percent: int) -> DataFrame:
+    """The posting lists without sets that cannot meet the prefix condition with anyone: for some
+    m from the least that a partner may ask up to their own, m shared postings of level m."""
+    upto = [F.sum(F.when(F.col("level") <= m, 1).otherwise(0)).alias(f"c{m}")
+            for m in range(1, MAX_MATCH + 1)]
+    per = lists.groupBy("node").agg(F.max("n").alias("n"), F.max("match").alias("top"), *upto)
+    least = F.least(F.lit(MIN_MATCH), F.ceil(percent * percent * F.col("n") / 10_000))
+    enough = F.lit(False)
+    for m in range(1, MAX_MATCH + 1):
+        enough |= (F.lit(m) >= least) & (F.lit(m) <= F.col("top")) & (F.col(f"c{m}") >= m)
+    return _shared_only(lists.join(per.where(enough).select("node"), "node", "left_semi"))
 
 
 def class_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -195,7 +227,7 @@ def class_sets(docs: DataFrame, k: int) -> DataFrame:
                 nodes.append(ids[row])
                 sets.append(s)
                 held += len(s)
-                if held > 1 << 20:                              # 8 MB at a time for the JVM
+                if held > 1 << 18:                              # 2 MB at a time for the JVM
                     yield rows(nodes, sets)
                     nodes, sets, held = [], [], 0
         if nodes:
@@ -204,6 +236,28 @@ def class_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, s array<long>")
 
 
+def _prefix_met(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share as many prefix shingles as the less demanding of the two asks, and
+    that can link: up to the last shared place all that is shared is seen, and behind it at most
+    the rest of either set is."""
+    side = lambda x: prefixes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"),
+                                     F.col("match").alias(f"m{x}"), F.col("held").alias(f"h{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("need", F.least("ma", "mb"))
+    fit = lambda held: F.filter(held, lambda t: t["level"] <= F.col("need"))
+    tokens = lambda held: F.transform(held, lambda t: t["token"])
+    # Postings are in the global order, so the last of those in common is the last place of both.
+    place = lambda x: F.get(f"h{x}", (F.array_position(
+        f"t{x}", F.get("shared", F.size("shared") - 1)) - 1).cast("int"))["pos"]
+    both = both.withColumns({"ha": fit("ha"), "hb": fit("hb")})
+    both = both.withColumns({"ta": tokens("ha"), "tb": tokens("hb")})
+    both = both.withColumn("shared", F.array_intersect("ta", "tb"))
+    both = both.where((F.size("shared") >= F.col("need")) & (F.size("shared") > 0))
+    most = F.size("shared") + F.least(F.col("na") - place("a"), F.col("nb") - place("b"))
+    both = both.select("a", "b", (F.col("na") + F.col("nb")).alias("sum"), most.alias("most"))
+    return (both.where(100 * F.col("most") >= percent * (F.col("sum") - F.col("most")))
+            .select("a", "b"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets link."""
     left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
@@ -215,16 +269,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def _by_node(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written bucketed and sorted by node: the joins that follow do not move it again."""
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "node").sortBy("node")
+     .option("path", scratch_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
+
+
 def _close(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def _star_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Per posting list: every member with the list's hub, and with its next neighbour."""
-    order = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-    hub = F.first(F.struct("node", "n", "component")).over(order)
-    before = F.lag(F.struct("node", "n", "component")).over(order)
-    rows = lists.withColumns({"hub": hub, "before": before})
+    """Per posting list: every member with the list's hub, and with its next neighbour. The first
+    hub is the set with the least of its own in its prefix, which near copies are closest to;
+    later ones come in a hash order."""
+    order = [F.xxhash64("node", F.lit(turn)), F.col("node")]
+    if turn == 0:
+        order = [F.asc(F.col("own") / F.col("n")), *order]
+    w = Window.partitionBy("token").orderBy(*order)
+    one = F.struct("node", "n", "component")
+    rows = lists.withColumns({"hub": F.first(one).over(w), "before": F.lag(one).over(w)})
     pair = F.explode(F.array("hub", "before"))
     return (rows.select("node", "n", "component", pair.alias("o"))
             .where((F.col("o.component") != F.col("component")) & _close("n", "o.n", percent))
@@ -233,19 +299,26 @@ def _star_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
 
 
 def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Every pair across components that shares as many prefix shingles as it must."""
-    x = lists.select("token", *[F.col(c).alias(f"{c}_a") for c in
-                                ("node", "n", "level", "match", "component")])
-    y = lists.select("token", *[F.col(c).alias(f"{c}_b") for c in
-                                ("node", "n", "level", "match", "component")])
+    """Every pair across components that :func:`_prefix_met` lets pass, counted while joining."""
+    side = lambda x: lists.select("token", *[F.col(c).alias(f"{c}_{x}") for c in
+                                             ("node", "n", "pos", "level", "match", "component")])
     need = F.least("match_a", "match_b")
-    return (x.join(y, "token")
+    # Not more is shared than lies before the lesser and behind the later of the two places.
+    room = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"),
+                                               F.col("n_b") - F.col("pos_b"))
+    most = F.col("shared") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    return (side("a").join(side("b"), "token")
             .where((F.col("node_a") < F.col("node_b"))
-                   & (F.col("component_a") != F.col("component_b"))
-                   & _close("n_a", "n_b", percent) & (F.greatest("level_a", "level_b") <= need))
+                   & (F.col("component_a") != F.col("component_b")) & _close("n_a", "n_b", percent)
+                   & (F.greatest("level_a", "level_b") <= need)
+                   & (100 * room >= percent * (F.col("n_a") + F.col("n_b") - room)))
             .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-            .agg(F.count(F.lit(1)).alias("shared"), F.first(need).alias("need"))
-            .where("shared >= need").select("a", "b"))
+            .agg(F.count(F.lit(1)).alias("shared"), F.first(need).alias("need"),
+                 F.first("n_a").alias("na"), F.first("n_b").alias("nb"),
+                 F.max("pos_a").alias("ia"), F.max("pos_b").alias("ib"))
+            .where((F.col("shared") >= F.col("need"))
+                   & (100 * most >= percent * (F.col("na") + F.col("nb") - most)))
+            .select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -255,22 +328,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sized = first.where("slice IS NULL").select("doc_id", "n", "digest")
     classes = (sized.where("digest IS NOT NULL").groupBy("digest")
                .agg(F.min("doc_id").alias("node")))
-    postings = (prefix_postings(docs, k, percent, bucket_weights(first))
-                .repartition("token").dropDuplicates(["token", "digest"]))
-    shared = F.count(F.lit(1)).over(Window.partitionBy("token"))
-    lists = (postings.withColumn("sharing", shared).where("sharing > 1").drop("sharing")
-             .join(classes, "digest").drop("digest"))
-    lists = cut(lists.withColumn("component", F.col("node")), "postings")
-
-    wanted = lists.select("node").distinct()
+    node_of = (sized.where("doc_id IS NOT NULL").join(classes, "digest")
+               .select("doc_id", "n", "node").distinct())
+    postings = prefix_postings(docs, k, percent, bucket_weights(first)).repartition("token")
+    free = F.col("n") - F.ceil(percent * F.col("n") / 100)
+    lists = _shared_only(postings).join(node_of, ["doc_id", "n"]).drop("doc_id")
+    lists = _shared_only(lists.dropDuplicates(["token", "node"]))
+    lists = cut(lists.withColumn("level", F.greatest(F.lit(1), F.col("pos") - free).cast("int")),
+                "postings")
+    for _ in range(CORE_ROUNDS):
+        lists = cut(_core(lists, percent), "postings")
+    prefixes = cut(lists.groupBy("node").agg(
+        F.max("n").alias("n"), F.max("match").alias("match"),
+        F.array_sort(F.collect_list(F.struct("pos", "token", "level"))).alias("held")), "prefixes")
+    own = (free + F.col("match") - F.size("held")).alias("own")
+    lists = cut(lists.join(prefixes.select("node", own), "node")
+                .withColumn("component", F.col("node")), "postings")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    sets = cut(class_sets(texts.join(wanted, "node", "left_semi"), k), "sets")
+    sets = _by_node(class_sets(texts.join(prefixes.select("node"), "node", "left_semi"), k), "sets")
 
-    links = None
+    links = found = None
     for turn in range(STAR_ROUNDS + 1):
-        open_lists = _open(lists) if links is None else _open(_relabelled(lists, found))
-        pairs = (_star_pairs(open_lists, percent, turn) if turn < STAR_ROUNDS
-                 else _cross_pairs(open_lists, percent))
+        open_lists = _open(lists if found is None else _relabelled(lists, found))
+        if turn < STAR_ROUNDS:
+            pairs = _prefix_met(_star_pairs(open_lists, percent, turn), prefixes, percent)
+        else:
+            pairs = _cross_pairs(open_lists, percent)
+        pairs = cut(pairs, "pairs")
         more = cut(_verified(pairs, sets, percent), "links")
         links = more if links is None else links.unionByName(more)
         found = cut(components(links), "components")
@@ -301,7 +385,8 @@ def _open(lists: DataFrame) -> DataFrame:
 
 
 def _relabelled(lists: DataFrame, found: DataFrame) -> DataFrame:
-    return (lists.drop("component").join(found, "node", "left")
+    lists = lists.drop("component")
+    return (lists.join(found, "node", "left")
             .withColumn("component", F.coalesce("component", "node")))
 
 
