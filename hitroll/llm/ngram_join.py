@@ -176,13 +176,13 @@ def prefix_postings(docs: DataFrame, k: int, percent: int, weights) -> DataFrame
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(tokens).view(np.int64)),
                     pa.array(np.concatenate(owners)),
-                    pa.array(np.concatenate(sizes), pa.int32()),
+                    pa.array(np.concatenate(sizes), pa.int64()),
                     pa.array(np.concatenate(places), pa.int32()),
                     pa.array(np.concatenate(matches), pa.int8())],
                     names=["token", "doc_id", "n", "pos", "match"])
 
     return (docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
-            .mapInArrow(run, "token long, doc_id long, n int, pos int, match byte"))
+            .mapInArrow(run, "token long, doc_id long, n long, pos int, match byte"))
 
 
 def _shared_only(postings: DataFrame) -> DataFrame:
@@ -262,9 +262,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets link."""
     left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
+    size = lambda s: F.size(s).cast("long")
+    both = size(F.array_intersect("sa", "sb"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b")
-            .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
+            .select("a", "b", both.alias("both"), (size("sa") + size("sb")).alias("sum"))
             .where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both")))
             .select("a", "b").distinct())
 

@@ -135,3 +135,15 @@ def test_components(spark):
     want = roots(600, edges)
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {v: want[v] for e in edges for v in e if e[0] != e[1]}
+
+
+def test_near_copies_of_very_long_texts(spark):
+    words = [f"w{k}" for k in range(420_000)]        # 90 * 90 * n is beyond 32 bits
+    other = list(words)
+    for at in range(0, len(words), 1000):
+        other[at] = "x" + other[at]
+    docs = docs_frame(spark, [" ".join(words), " ".join(other), "some other text"])
+    for k, percent in ((3, 90), (5, 80)):
+        got = rows_of(N.near_duplicates(docs, k, percent), "doc_id", "n_shingles", "component_id")
+        n = len(words) - k + 1
+        assert got == [(0, n, 0), (1, n, 0), (2, 1, 2)]
