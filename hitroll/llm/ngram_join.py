@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hitroll.llm.common import cut, tuck, untuck
+from hitroll.llm.common import WHITE, cut, tuck, untuck
 from hitroll.session import scratch_path
 from hitroll.llm.components import components
 from hitroll.llm.shingles import WordHasher, documents, shingle_set, weighted_shingles
@@ -367,17 +367,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of every group of linked ones: the smallest ``doc_id``, once.
-    Documents that link with nothing stay, those with a null ``doc_id`` too."""
-    kept = (near_duplicates(docs.select("doc_id", "text"), k, percent)
-            .where("doc_id IS NOT NULL AND doc_id = component_id")
-            .select(F.col("doc_id").alias("__id")).distinct())
-    rows = tuck(docs, "doc_id")
-    named = (rows.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-             .dropDuplicates(["doc_id"]))
+    """``docs`` with one row of every group of linked ones: that of the smallest ``doc_id``, once.
+    Rows that link with nothing stay, those with a null ``doc_id`` too. Different texts of one
+    ``doc_id`` are told apart here: each stays unless it links."""
+    rows, several = _own_ids(tuck(docs, "doc_id", "text"))
+    named = rows.where("doc_id IS NOT NULL")
+    group = (near_duplicates(named.select(F.col("__id").alias("doc_id"), "text"), k, percent)
+             .select(F.col("doc_id").alias("__id"), "component_id").distinct())
+    if several:
+        first = F.min(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "__id"))
+        kept = (named.select("doc_id", "__id").join(group, "__id").groupBy("component_id")
+                .agg(first.alias("first")).select(F.col("first.__id").alias("__id")))
+    else:
+        kept = group.where("__id = component_id").select("__id")
+    named = named.join(kept, "__id", "left_semi").dropDuplicates(["__id"])
     return untuck(named.unionByName(rows.where("doc_id IS NULL")), docs)
 
 
+def _own_ids(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` with ``__id``: the ``doc_id``, but a hash for all but one of several texts that
+    share it; and whether there are any such. Blank texts are one text."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), f"^{WHITE}$", "")
+    rows = rows.withColumn("__id", F.col("doc_id").cast("long"))
+    hashed = rows.withColumn("__text", F.xxhash64(text))
+    several = cut(hashed.where("__id IS NOT NULL").groupBy("__id")
+                  .agg(F.min("__text").alias("__one"), F.max("__text").alias("__last"))
+                  .where("__one <> __last").drop("__last"), "several")
+    if several.isEmpty():
+        return rows, False
+    own = F.when(F.col("__text") != F.col("__one"), F.xxhash64("__id", "__text"))
+    return (hashed.join(several, "__id", "left").withColumn("__id", F.coalesce(own, "__id"))
+            .drop("__one", "__text")), True
+
+
 def _open(lists: DataFrame) -> DataFrame:
     """The posting lists that still hold more than one component."""
     w = Window.partitionBy("token")

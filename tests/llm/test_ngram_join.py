@@ -147,3 +147,11 @@ def test_near_copies_of_very_long_texts(spark):
         got = rows_of(N.near_duplicates(docs, k, percent), "doc_id", "n_shingles", "component_id")
         n = len(words) - k + 1
         assert got == [(0, n, 0), (1, n, 0), (2, 1, 2)]
+
+
+def test_one_of_each_keeps_different_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(50)) for x in "abc")
+    docs = docs_frame(spark, [(3, a), (3, b), (3, a + " x"), (5, b + " y"), (5, c), (6, c), (6, " "),
+                              (6, None), (7, a)])
+    kept = sorted((r.doc_id, (r.text or "").strip()[:1]) for r in N.one_of_each(docs).collect())
+    assert kept == [(3, "a"), (3, "b"), (5, "c"), (6, "")]
