@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from hitroll.llm import (chat, embedding_dedup, html_extract, lexical_search, line_dedup, mixing,
-                         ngram_join, packing, quality, secret_scan, suffix_dedup)
+from hitroll.llm import (chat, collocations, embedding_dedup, html_extract, lexical_search,
+                         line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_embedding_near_dedup": embedding_dedup.op9_embedding_near_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_collocations": collocations.op11_collocations,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
@@ -25,5 +26,6 @@ ORACLE_SQL = {
     "op7_chat_formatting": chat.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op9_embedding_near_dedup": embedding_dedup.OP9_SQL,
+    "op11_collocations": collocations.OP11_SQL,
     "op13_lexical_search": lexical_search.OP13_SQL,
 }
