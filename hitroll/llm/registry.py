@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from hitroll.llm import (chat, collocations, embedding_dedup, html_extract, lexical_search,
-                         line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup)
+                         line_dedup, mixing, ngram_join, packing, pii, quality, secret_scan, suffix_dedup)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_embedding_near_dedup": embedding_dedup.op9_embedding_near_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op11_collocations": collocations.op11_collocations,
+    "op12_pii": pii.op12_pii,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
