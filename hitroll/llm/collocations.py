@@ -39,7 +39,7 @@ from hitroll.llm.common import cut, table
 
 MIN_COUNT, TOP, MAX_WORDS = 30, 2000, 4
 SUBSUMED_PERCENT = 80
-WINDOW_WORDS = 2_000_000            # counted together in a task
+WINDOW_BYTES = 12 << 20             # of text, counted together in a task
 SLICES = 1024
 FILTER_HASHES, FILTER_SLICES = 3, 256
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 16, 1 << 30
@@ -50,17 +50,19 @@ _TABLE = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9
                else b + 32 if 65 <= b < 91 else b for b in range(256))
 
 
-class _Numbers(dict):
-    """Numbers words as they come; 0 is the cut between pieces."""
-
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
-
-
-def words(text: bytes | None) -> list[bytes]:
-    """The words of UTF-8 ``text`` with a cut between its pieces."""
-    return (text or b"").translate(_TABLE).replace(_CUT, b" \xff ").split()
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """The words of UTF-8 ``texts`` as numbers in order, and the words by number. Number 0 is the
+    cut between pieces, which also stands between texts, first and last."""
+    text = b" \xff ".join(t.translate(_TABLE).replace(_CUT, b" \xff ") for t in texts)
+    data = np.frombuffer(b"\xff " + text + b" \xff ", np.uint8)
+    space = data == 0x20
+    keep = np.ones(len(data), bool)
+    keep[1:] = ~(space[1:] & space[:-1])
+    data, space = data[keep], space[keep]               # every word ends in one space now
+    ends = np.flatnonzero(space).astype(np.int64) + 1
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends), [
+        None, pa.py_buffer(np.r_[np.int64(0), ends]), pa.py_buffer(data)]).dictionary_encode()
+    return words.indices.to_numpy(), [w[:-1] for w in words.dictionary.to_pylist()]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -172,11 +174,10 @@ def _stripes(docs: DataFrame, level: int, held: np.ndarray | None, hot: dict) ->
 
     def run(batches):
         held, hot = shared.value
-        open_ = {}                          # language: numbers of words, their arrays, their sum
+        open_ = {}                          # language: texts, their bytes
 
         def flush(lang):
-            numbers, arrays, _ = open_.pop(lang)
-            names, ids = list(numbers), np.concatenate(arrays)
+            ids, names = numbered(open_.pop(lang)[0])
             rows, n = _counted(ids, names, lang.encode(), level, held)
             if not len(rows):
                 return
@@ -224,14 +225,13 @@ def _stripes(docs: DataFrame, level: int, held: np.ndarray | None, hot: dict) ->
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                numbers, arrays, n = open_.get(lang) or (_Numbers({_CUT: 0}), [], 0)
-                ids = np.fromiter(map(numbers.__getitem__, [*words(text), _CUT]), np.int32)
-                arrays.append(ids)
-                open_[lang] = (numbers, arrays, n + len(ids))
-                if n + len(ids) >= WINDOW_WORDS:
+                texts, n = open_.get(lang) or ([], 0)
+                texts.append(text or b"")
+                open_[lang] = (texts, n + len(texts[-1]) + 1)
+                if open_[lang][1] >= WINDOW_BYTES:
                     yield from flush(lang)
-                elif sum(x[2] for x in open_.values()) >= 2 * WINDOW_WORDS:
-                    yield from flush(max(open_, key=lambda x: open_[x][2]))
+                elif sum(x[1] for x in open_.values()) >= 2 * WINDOW_BYTES:
+                    yield from flush(max(open_, key=lambda x: open_[x][1]))
         for lang in list(open_):
             yield from flush(lang)
 
