@@ -27,6 +27,7 @@ ignored. Equal scores are ordered by count, then by the phrase's bytes.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,8 @@ from hitroll.llm.common import cut, table
 
 MIN_COUNT, TOP, MAX_WORDS = 30, 2000, 4
 SUBSUMED_PERCENT = 80
-WINDOW_BYTES = 12 << 20             # of text, counted together in a task
+WINDOW_BYTES = 6 << 20              # of text, counted together in a task
+HELD_PHRASES = 3_000_000            # different ones that a task holds before it emits stripes
 SLICES = 1024
 FILTER_HASHES, FILTER_SLICES = 3, 256
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 16, 1 << 30
@@ -135,17 +137,32 @@ def phrase_filter(phrases: DataFrame) -> np.ndarray:
     return out
 
 
+def _added(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal rows of word numbers once, in ascending order, with the sums of their ``n``."""
+    if not len(rows):
+        return rows, n
+    base = int(rows.max()) + 1
+    code, size = rows[:, 0].astype(np.int64), base
+    for i in range(1, rows.shape[1]):
+        if size * base >= 1 << 63:                      # ranks of the first words keep it small
+            kinds, code = np.unique(code, return_inverse=True)
+            size = len(kinds)
+        code, size = code * base + rows[:, i], size * base
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return rows[order[starts]], np.add.reduceat(n[order], starts)
+
+
 def _counted(ids: np.ndarray, names: list[bytes], lang: bytes, level: int,
              held: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct phrases of ``level`` words in a window of word numbers, as rows of numbers in
-    ascending order, and their counts."""
+    """Distinct phrases of ``level`` words in a window of word numbers, as rows of numbers, and
+    their counts."""
     if level == 1:
         word, n = np.unique(ids[ids > 0], return_counts=True)
         return word[:, None], n
-    hashes = np.array([_word_hash(w) for w in names], np.uint64)[ids]
-    size = len(ids) - level + 1
-    if size <= 0:
-        return np.empty((0, level), np.int64), np.empty(0, np.int64)
+    hashes = np.array([_word_hash(w) for w in names], np.uint64)
+    size = max(0, len(ids) - level + 1)
     inside = np.ones(size, bool)
     for i in range(level):
         inside &= ids[i:size + i] > 0
@@ -153,87 +170,113 @@ def _counted(ids: np.ndarray, names: list[bytes], lang: bytes, level: int,
     for first in (0, 1):                    # without the last word, without the first word
         h = np.full(len(at), _word_hash(lang), np.uint64)
         for i in range(first, first + level - 1):
-            h = _extended(h, hashes[at + i])
+            h = _extended(h, hashes[ids[at + i]])
         at = at[_in_filter(h, held)]
-    code, base = ids[at].astype(np.int64), np.int64(len(names))
-    for i in range(1, level):
-        code = code * base + ids[at + i]
-        if i < level - 1:                   # keep products within 64 bits
-            kinds, code = np.unique(code, return_inverse=True)
-            code = code.astype(np.int64)
-    _, first, n = np.unique(code, return_index=True, return_counts=True)
-    return ids[at[first][:, None] + np.arange(level)], n
+    return _added(ids[at[:, None] + np.arange(level)], np.ones(len(at), np.int64))
+
+
+class _Held:
+    """Phrases of one language counted so far in a task, with numbers of their own."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {b"": 0}
+        self.rows, self.n, self.size = [], [], 0
+
+    def add(self, rows: np.ndarray, n: np.ndarray, names: list[bytes]) -> None:
+        used, place = np.unique(rows, return_inverse=True)
+        mine = np.array([self.number.setdefault(names[w], len(self.number)) for w in used], np.int32)
+        self.rows.append(mine[place].reshape(rows.shape))
+        self.n.append(n)
+        self.size += len(n)
+
+    def merge(self) -> None:
+        rows, n = _added(np.concatenate(self.rows), np.concatenate(self.n))
+        self.rows, self.n, self.size = [rows], [n], len(n)
+
+
+def _batches(lang: str, held: _Held, level: int, hot: list[tuple[str, int]], schema):
+    """The stripes of ``held`` as rows of ``schema``."""
+    held.merge()
+    rows, n = held.rows[0], held.n[0]
+    if not len(rows):
+        return
+    texts = pa.array(list(held.number), pa.binary()).cast(pa.string())
+    word = lambda i: texts.take(pa.array(rows[:, i]))
+    nexts, prefix = word(level - 1), word(0) if level > 1 else pa.array([""] * len(rows))
+    for i in range(1, level - 1):
+        prefix = pa.compute.binary_join_element_wise(prefix, word(i), " ")
+    new = np.zeros(len(rows), bool)
+    new[0] = True
+    for i in range(level - 1):
+        new[1:] |= rows[1:, i] != rows[:-1, i]
+    # Stripes are runs of rows; hot ones are dealt over slices by their next word.
+    slices = np.zeros(len(rows), np.int32)
+    starts = np.flatnonzero(new)
+    ends = np.r_[starts[1:], len(rows)]
+    found = pa.compute.index_in(prefix.take(pa.array(starts)), pa.array([p for p, _ in hot], pa.string()))
+    for k in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)):
+        a, b, parts = starts[k], ends[k], hot[found[k].as_py()][1]
+        slices[a:b] = [_word_hash(w.encode()) % parts for w in nexts.slice(a, b - a).to_pylist()]
+    if slices.any():
+        run_of = np.cumsum(new)
+        order = np.lexsort((slices, run_of))
+        slices, run_of, n = slices[order], run_of[order], n[order]
+        new[1:] = (run_of[1:] != run_of[:-1]) | (slices[1:] != slices[:-1])
+        prefix, nexts = prefix.take(pa.array(order)), nexts.take(pa.array(order))
+        starts = np.flatnonzero(new)
+    at = np.r_[starts, len(n)].astype(np.int32)
+    for a in range(0, len(starts), 1 << 16):
+        part = at[a:a + (1 << 16) + 1]
+        first = pa.array(part[:-1])
+        lists = [pa.ListArray.from_arrays(pa.array(part - part[0]),
+                                          v.slice(part[0], part[-1] - part[0]))
+                 for v in (nexts, pa.array(n, pa.int64()))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(first)), prefix.take(first),
+             pa.array(slices[part[:-1]], pa.int32()), *lists], schema=schema)
 
 
 def _stripes(docs: DataFrame, level: int, held: np.ndarray | None, hot: dict) -> DataFrame:
-    """Each task's stripes of ``level``: ``lang, prefix, slice, nexts, counts``. At level 1 a row
-    with the word "" counts all words of the language."""
+    """Each task's stripes of ``level``: ``lang, prefix, slice, nexts, counts``. At level 1 the
+    entry "" counts all words of the language."""
     shared = docs.sparkSession.sparkContext.broadcast((held, hot))
     schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slice", pa.int32()),
                         ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
     def run(batches):
-        held, hot = shared.value
-        open_ = {}                          # language: texts, their bytes
-
-        def flush(lang):
-            ids, names = numbered(open_.pop(lang)[0])
-            rows, n = _counted(ids, names, lang.encode(), level, held)
-            if not len(rows):
-                return
-            texts = pa.array([b"", *names[1:]], pa.binary()).cast(pa.string())
-            prefix = pa.array([""] * len(rows)) if level == 1 else texts.take(pa.array(rows[:, 0]))
-            for i in range(1, level - 1):
-                prefix = pa.compute.binary_join_element_wise(
-                    prefix, texts.take(pa.array(rows[:, i])), " ")
-            nexts = texts.take(pa.array(rows[:, -1]))
+        filter_, hot = shared.value
+        waiting, counted = {}, {}           # language: texts and their bytes; phrases
+
+        def count(lang):
+            ids, names = numbered(waiting.pop(lang)[0])
+            rows, n = _counted(ids, names, lang.encode(), level, filter_)
             if level == 1:
-                prefix = pa.concat_arrays([pa.array([""], pa.string()), prefix])
-                nexts = pa.concat_arrays([pa.array([""], pa.string()), nexts])
-                rows = np.concatenate([np.zeros((1, 1), np.int64), rows])
-                n = np.r_[n.sum(), n]
-            new = np.ones(len(rows), bool)
-            if level > 1:
-                new[1:] = (rows[1:, :-1] != rows[:-1, :-1]).any(axis=1)
-            else:
-                new[1:] = False
-            # Stripes are runs of rows; hot ones are dealt over slices by their next word.
-            starts = np.flatnonzero(new)
-            ends = np.r_[starts[1:], len(rows)]
-            slices = np.zeros(len(rows), np.int32)
-            heads = prefix.take(pa.array(starts)).to_pylist()
-            for a, b, p in zip(starts, ends, heads):
-                if (parts := SLICES if level == 1 else hot.get((lang, p), 1)) > 1:
-                    slices[a:b] = [_word_hash(w.encode()) % parts for w in nexts[a:b].to_pylist()]
-            if slices.any():
-                run_of = np.cumsum(new)
-                order = np.lexsort((slices, run_of))
-                slices, run_of = slices[order], run_of[order]
-                new[1:] = (run_of[1:] != run_of[:-1]) | (slices[1:] != slices[:-1])
-                prefix, nexts = prefix.take(pa.array(order)), nexts.take(pa.array(order))
-                n = n[order]
-                starts = np.flatnonzero(new)
-            at = np.r_[starts, len(n)].astype(np.int32)
-            for a in range(0, len(starts), 1 << 16):
-                part = at[a:a + (1 << 16) + 1]
-                first = pa.array(part[:-1])
-                lists = [pa.ListArray.from_arrays(pa.array(part - part[0]), v.slice(part[0], part[-1] - part[0]))
-                         for v in (nexts, pa.array(n, pa.int64()))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(first)), prefix.take(first),
-                     pa.array(slices[part[:-1]], pa.int32()), *lists], schema=schema)
+                names[0] = b""              # the cut's number
+                rows, n = np.r_[np.zeros((1, 1), rows.dtype), rows], np.r_[n.sum(), n]
+            mine = counted.setdefault(lang, _Held())
+            mine.add(rows, n, names)
+            if mine.size >= HELD_PHRASES:
+                mine.merge()
+            while sum(h.size for h in counted.values()) >= HELD_PHRASES:
+                yield from emit(max(counted, key=lambda x: counted[x].size))
+
+        def emit(lang):
+            mine = [("", SLICES)] if level == 1 else hot.get(lang, [])
+            yield from _batches(lang, counted.pop(lang), level, mine, schema)
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                texts, n = open_.get(lang) or ([], 0)
-                texts.append(text or b"")
-                open_[lang] = (texts, n + len(texts[-1]) + 1)
-                if open_[lang][1] >= WINDOW_BYTES:
-                    yield from flush(lang)
-                elif sum(x[1] for x in open_.values()) >= 2 * WINDOW_BYTES:
-                    yield from flush(max(open_, key=lambda x: open_[x][1]))
-        for lang in list(open_):
-            yield from flush(lang)
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                texts, n = waiting.get(lang) or ([], 0)
+                texts.append(text.as_py() or b"")
+                waiting[lang] = (texts, n + len(texts[-1]) + 1)
+                if waiting[lang][1] >= WINDOW_BYTES:
+                    yield from count(lang)
+                elif sum(x[1] for x in waiting.values()) >= 2 * WINDOW_BYTES:
+                    yield from count(max(waiting, key=lambda x: waiting[x][1]))
+        for lang in list(waiting):
+            yield from count(lang)
+        for lang in list(counted):
+            yield from emit(lang)
 
     return (docs.select(F.coalesce("lang", F.lit("und")).alias("lang"),
                         F.col("text").cast("binary").alias("text"))
@@ -278,8 +321,9 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
             break
         held = phrase_filter(phrases)
         # The counts of one level add up to at most ``total``: no more than SLICES of them are hot.
-        hot = {(r["lang"], r["phrase"]): math.ceil(r["a"] * SLICES / total) + 1 for r in
-               phrases.where(F.col("a") * SLICES >= F.lit(total)).collect()}
+        hot = defaultdict(list)
+        for r in phrases.where(F.col("a") * SLICES >= F.lit(total)).collect():
+            hot[r["lang"]].append((r["phrase"], math.ceil(r["a"] * SLICES / total) + 1))
     return out
 
 

@@ -69,6 +69,7 @@ def test_against_brute_force(spark, monkeypatch):
         assert got(C.collocations(docs, least, top)) == want
     # However windows, slices and the filter are cut: small ones cost rows, not results.
     monkeypatch.setattr(C, "WINDOW_BYTES", 3000)
+    monkeypatch.setattr(C, "HELD_PHRASES", 60)
     monkeypatch.setattr(C, "SLICES", 3)
     monkeypatch.setattr(C, "MIN_FILTER_BITS", 1 << 12)
     monkeypatch.setattr(C, "MAX_FILTER_BITS", 1 << 12)
