@@ -31,6 +31,7 @@ CAPACITY = 2048
 CLOSING_ID = 0
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 RANK_GROUPS = 256
+LONG_BLANK = 1 << 14       # white space in a row that goes to the tokenizer itself
 
 
 # ------------------------------------------------------------------------------ tokenization
@@ -48,9 +49,11 @@ def encoder(vocabulary: str, ranks: str):
 
     ``ranks`` is the same vocabulary for another library, which gives the same ids several times
     faster (a test compares them over every code point); the tokenizer itself encodes the texts
-    that hold the special token's string.
+    that hold the special token's string, and those with a very long run of white space, for which
+    the other library's pattern matcher runs out of stack.
     """
     import base64
+    import re
 
     import public_tokenizers
     import tiktoken
@@ -59,10 +62,10 @@ def encoder(vocabulary: str, ranks: str):
         table = {base64.b64decode(t): int(n) for t, n in map(bytes.split, fh)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
                              special_tokens={})
-    exact = []
+    exact, blank = [], re.compile(rf"(?<!\s)\s{{{LONG_BLANK}}}")
 
     def encode(text: str) -> list[int]:
-        if SPECIAL not in text:
+        if SPECIAL not in text and (len(text) < LONG_BLANK or not blank.search(text)):
             return fast.encode_ordinary(text)
         if not exact:
             exact.append(Tokenizer.from_file(vocabulary))

@@ -48,6 +48,16 @@ def test_pieces_and_places(spark, tmp_path):
     assert bins <= 1.02 * -(-sum(r.length for r in got) // 2048) + 1
 
 
+def test_very_long_runs_of_white_space():
+    vocabulary = P.vocabulary_path(P.VOCABULARY)
+    tok, encode = Tokenizer.from_file(vocabulary), P.encoder(vocabulary, P.vocabulary_path(P.RANKS))
+    edge = P.LONG_BLANK
+    texts = [" " * 2_000_000, "\n" * 2_000_000 + "x", "a" + " \n\t\u3000" * 500_000 + "b", "a" * 2_000_000,
+             *("x" + " " * n + "y" for n in (edge - 1, edge, edge + 1, 200_000)), "\x1c" * 20_000]
+    for text in texts:
+        assert encode(text) == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_both_libraries_give_the_same_ids():
     vocabulary = P.vocabulary_path(P.VOCABULARY)
     tok, encode = Tokenizer.from_file(vocabulary), P.encoder(vocabulary, P.vocabulary_path(P.RANKS))
