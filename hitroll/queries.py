@@ -17,7 +17,9 @@ from hitroll.fixed import CODE_SUMMARY_SUFFIX, SAMPLE_FRACTION, STATISTICS_COLUM
 from hitroll.operators import external as X
 from hitroll.operators import maps as M
 from hitroll.operators import scores as S
+from hitroll.operators import iterate as IT
 from hitroll.operators import search as SE
+from hitroll.operators import vector_index as VI
 from hitroll.operators.sample import keyed_sample, threshold
 from hitroll.functions.columns import basename, percent_difference, structure_id
 from hitroll.plans import job
@@ -812,6 +814,81 @@ def search_code_summary(spark, sf_dir):
     return S.code_totals(S.code_grain(hits), universe)
 
 
+@register("indexed_top_k", SEARCH_PAIRS_SQL + """
+SELECT query_id, CAST(rn AS INTEGER) AS rank, nid AS neighbour_id, nlabel AS label,
+       round(sim, 4) AS similarity
+FROM top WHERE rn <= 3
+""")
+def indexed_top_k(spark, sf_dir):
+    """UDF5 through an inverted-file index with residual codes: probed, reranked, and certified,
+    so that the result is the exact one while most lists are proven away where vectors cluster."""
+    emb = text_vectors(spark, sf_dir)
+    res = VI.search(VI.build_index(emb), emb, 3, exclude_self=True, certified=True)
+    return res.withColumn("similarity", r4("similarity"))
+
+
+@register("indexed_recall", SEARCH_PAIRS_SQL + """
+SELECT qlabel AS label, CAST(count(*) AS BIGINT) AS n_neighbours, true AS recall_reached,
+       CAST(0 AS BIGINT) AS n_wrong_scores
+FROM top WHERE rn <= 10 GROUP BY 1
+""")
+def indexed_recall(spark, sf_dir):
+    """UDF5 through the index without certification, against the exact search: per label, the
+    number of true neighbours, whether 0.9 or more of all were found, and how many of those found
+    do not carry the exact similarity."""
+    emb = text_vectors(spark, sf_dir)
+    keys = ["query_id", "neighbour_id"]
+    exact = SE.top_k(emb, emb, k=10, exclude_self=True).select(
+        *keys, F.col("similarity").alias("exact"))
+    found = VI.search(VI.build_index(emb), emb, 10, exclude_self=True)
+    both = exact.join(found.select(*keys, "similarity"), keys, "left").join(
+        emb.select(F.col("vec_id").alias("query_id"), F.col("label").alias("query_label")), "query_id")
+    n = F.count(F.lit(1))
+    per = both.groupBy(F.col("query_label").alias("label")).agg(
+        n.alias("n_neighbours"), F.count("similarity").alias("hits"),
+        F.count(F.when(F.abs(F.col("similarity") - F.col("exact")) > 1e-9, 1)).alias("n_wrong_scores"))
+    whole = per.agg((F.sum("hits") >= 0.9 * F.sum("n_neighbours")).alias("recall_reached"))
+    return per.crossJoin(F.broadcast(whole)).select(            # one row
+        "label", "n_neighbours", "recall_reached", "n_wrong_scores")
+
+
+# Fixed values of the stand-in: neighbours asked for, similarity accepted, searches at most.
+ITERATE = (3, 0.38, 5)
+_TAKEN = f"FILTER (rn <= {ITERATE[0]} AND sim >= {ITERATE[1]})"
+
+
+@register("iterated_search", f"""
+WITH RECURSIVE e AS (SELECT 'v' || vec_id || '.pdb' AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS (SELECT id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS u FROM e),
+r AS (
+  SELECT id AS q, u AS own, u AS p, CAST(NULL AS VARCHAR[]) AS acc, 0 AS rounds, false AS settled,
+         CAST(0 AS DOUBLE) AS total FROM v
+  UNION ALL
+  SELECT q, own, CASE WHEN us IS NULL THEN own ELSE list_reduce(us, lambda a, b:
+           list_transform(list_zip(a, b), lambda z: z[1] + z[2]), own) END,
+         coalesce(now, []), rounds + 1, now IS NULL OR (acc IS NOT NULL AND now = acc), coalesce(total, 0)
+  FROM (SELECT q, any_value(own) AS own, any_value(acc) AS acc, any_value(rounds) AS rounds,
+               list(id ORDER BY id) {_TAKEN} AS now, list(u ORDER BY id) {_TAKEN} AS us,
+               sum(sim) {_TAKEN} AS total
+        FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, id) AS rn
+              FROM (SELECT r.*, v.id, v.u, list_cosine_similarity(r.p, v.u) AS sim
+                    FROM r JOIN v ON v.id <> r.q WHERE NOT r.settled AND r.rounds < {ITERATE[2]}))
+        GROUP BY q))
+SELECT q AS query_id, rounds, settled, array_to_string(acc, ',') AS accepted, round(total, 4) AS total
+FROM r WHERE settled OR rounds = {ITERATE[2]}
+""")
+def iterated_search(spark, sf_dir):
+    """UDF5, iterated: each vector's profile is refined from the neighbours it accepts until a
+    round accepts the same ones; only unsettled queries are searched again."""
+    emb = text_vectors(spark, sf_dir)
+    k, accept, rounds = ITERATE
+    res = IT.refine(VI.build_index(emb), emb, k, accept, rounds)
+    total = F.aggregate("accepted", F.lit(0.0), lambda a, x: a + x["similarity"])
+    return res.select("query_id", F.col("rounds").cast("int").alias("rounds"), "settled",
+                      F.array_join(F.transform("accepted", lambda x: x["neighbour_id"]), ",")
+                      .alias("accepted"), r4(total).alias("total"))
+
+
 # ------------------------------------------------------------- phase 8: benchmark rows
 
 @register("generated_rows", """
