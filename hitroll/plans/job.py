@@ -38,6 +38,7 @@ from hitroll.fixed import (CODE_KEY, CODE_SUMMARY_COLUMNS, CODE_SUMMARY_SUFFIX,
                            STATISTICS_FILE)
 from hitroll.operators import external as X
 from hitroll.operators import scores as S
+from hitroll.plans import ledger as LG
 from hitroll.schema import CODE, DATASET, STRUCTURE
 from hitroll.session import build_session, scratch_path, sizing_conf
 from hitroll.sinks import files as SK
@@ -130,11 +131,13 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
         timeout: float | None = None, ingest_dir: str | None = None,
         extra_files: Sequence[str] = (), env: Mapping[str, str] | None = None,
         compression: str | None = None, files: DataFrame | None = None,
-        code_key: str = CODE_KEY) -> dict:
+        code_key: str = CODE_KEY, ledger: str | None = None,
+        batch_records: int = LG.BATCH_RECORDS) -> dict:
     """Run the job; returns the paths written and the number of structures per outcome.
 
     ``files`` (dataset, structure, value) replaces the scan of the entries' folders, for
-    structures that are already in a table.
+    structures that are already in a table. With ``ledger``, a folder that outlives the
+    application, the command runs only on structures that no earlier attempt has finished.
     """
     t0 = time.time()
     work = scratch_path(spark, "job")
@@ -148,10 +151,16 @@ def run(spark: SparkSession, entries: list[Entry], out: str, command: list[str]
         else:
             records = files.count()
         files = files.observe(seen, F.count(F.lit(1)).alias("files"))
-        stage = command_stage(files, command, sum(e.min_partitions for e in entries), records,
-                              timeout=timeout, output_file=output_file, extra_files=extra_files,
-                              env=env)
-        log.info("command stage: %d partitions", stage.rdd.getNumPartitions())        # PT3
+        options = dict(timeout=timeout, output_file=output_file, extra_files=extra_files, env=env)
+        tasks = sum(e.min_partitions for e in entries)
+        if ledger:
+            stage = LG.run_stage(files, command, ledger, batch_records=batch_records,
+                                 records_per_task=RECORDS_PER_TASK, min_partitions=tasks, **options)
+            log.info("attempts so far: %s", sorted(
+                r[0] for r in stage.select("attempt").distinct().collect()))
+        else:
+            stage = command_stage(files, command, tasks, records, **options)
+            log.info("command stage: %d partitions", stage.rdd.getNumPartitions())    # PT3
         stage.write.parquet(f"{work}/stage")          # lineage is cut here
         stage = spark.read.parquet(f"{work}/stage")
         universe = stage.select(*KEYS)
@@ -239,6 +248,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--compression", help="codec of the published summaries, e.g. gzip")
     ap.add_argument("--timeout", type=float, help="seconds per structure (none by default)")
     ap.add_argument("--ingest-dir", help="compact structure files incrementally into Parquet here")
+    ap.add_argument("--ledger", help="durable folder of finished structures: a restarted job runs "
+                                     "only what is not in it")
+    ap.add_argument("--batch-records", type=int, default=LG.BATCH_RECORDS,
+                    help="structures per commit to the ledger")
     ap.add_argument("--input-bytes", type=int,
                     help="total input size; sizes scan splits and shuffle partitions to it")
     ap.add_argument("--total-cores", type=int,
@@ -254,7 +267,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         run(spark, entries, a.out.rstrip("/"), shlex.split(a.command) if a.command else None,
             a.output_file, a.hits_dir, a.timeout, a.ingest_dir, a.extra_file,
-            dict(x.split("=", 1) for x in a.env), a.compression)
+            dict(x.split("=", 1) for x in a.env), a.compression,
+            ledger=a.ledger and a.ledger.rstrip("/"), batch_records=a.batch_records)
     except Exception:
         log.exception("job failed")
         raise

@@ -23,6 +23,7 @@ from hitroll.operators import vector_index as VI
 from hitroll.operators.sample import keyed_sample, threshold
 from hitroll.functions.columns import basename, percent_difference, structure_id
 from hitroll.plans import job
+from hitroll.plans import ledger as LG
 from hitroll.schema import BAD, CODE, DATASET, SCORE, STRUCTURE
 from hitroll.session import scratch_path
 from hitroll.sinks import files as SK
@@ -748,6 +749,44 @@ def job_artefacts(spark, sf_dir):
             "n_hit_rows", "n_summaries", "n_files", "n_failures", "n_codes", "n_coded")])
 
 
+class _Killed(Exception):
+    """Ends the stand-in's first attempt."""
+
+
+@register("resumed_job", """
+WITH d AS (SELECT lang, doc_id, text, CAST('0x' || substring(md5(concat_ws('/', lang, doc_id)), 1, 8)
+                  AS BIGINT) % 4 AS batch FROM documents)
+SELECT lang AS dataset, CAST(doc_id AS VARCHAR) AS structure,
+       CASE WHEN doc_id % 7 = 0 THEN 3 WHEN batch < 2 THEN 1 ELSE 2 END AS attempt,
+       CASE WHEN doc_id % 11 = 0 THEN 3 ELSE 0 END AS rc,
+       strlen(text) + CASE WHEN doc_id % 7 = 0 THEN 4 ELSE 0 END AS n_bytes
+FROM d
+""")
+def resumed_job(spark, sf_dir):
+    """PT4 / SRC5: a command stage with a ledger, killed after two of four batches, restarted, and
+    run once more after some texts have changed. ``attempt`` tells which run made each result."""
+    docs = T.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    files = docs.select(F.col("lang").alias(DATASET), F.col("doc_id").cast("string").alias(STRUCTURE),
+                        F.col("text").alias("value"), "doc_id")
+    last = F.when(F.col("doc_id") % 7 == 0, F.concat("value", F.lit(" new"))).otherwise(F.col("value"))
+    ledger = scratch_path(spark, "finished")
+    command = ["sh", "-c", 'wc -c; if [ $(($1 % 11)) = 0 ]; then exit 3; fi', "sh", "{name}"]
+    options = {"batch_records": -(-docs.count() // 4),
+               "min_partitions": int(spark.conf.get("spark.sql.shuffle.partitions"))}
+
+    def killed(batch, batches):
+        if batch == 1:
+            raise _Killed
+    try:
+        LG.run_stage(files.drop("doc_id"), command, ledger, after_batch=killed, **options)
+    except _Killed:
+        pass
+    LG.run_stage(files.drop("doc_id"), command, ledger, **options)
+    changed = files.withColumn("value", last).drop("doc_id")
+    out = LG.run_stage(changed, command, ledger, **options)
+    return out.select(DATASET, STRUCTURE, "attempt", "rc", F.trim("out").cast("long").alias("n_bytes"))
+
+
 # ------------------------------------------------------------ phase 7: labelled vector search
 
 def text_vectors(spark, sf_dir):
