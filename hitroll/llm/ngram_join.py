@@ -13,9 +13,9 @@
 3. Postings that more than one set shares are candidates; sets with too few of them to meet their
    own condition leave, and the rest is counted again. Then, ``STAR_ROUNDS`` times, each posting
    list pairs its members with one hub and with their neighbours: as many pairs as postings. Where
-   lists still join different components, pairs across components are generated. Pairs that meet
-   the prefix condition, and whose places in the order leave room for enough shared shingles, are
-   verified. So a large group of near copies costs a few pairs per member, and no link that
+   lists still join different components, pairs across components are compared, in blocks where a
+   list is long, and only those that pass leave a block. Pairs that meet the prefix condition, and
+   whose places in the order leave room for enough shared shingles, are verified. So a large group of near copies costs a few pairs per member, and no link that
    joins different components can be lost.
 
 Verification compares whole sets. Defined results: null, empty or blank text has the empty set and
@@ -46,8 +46,11 @@ SLICES = 64
 SALTS = 1024
 MIN_MATCH, MAX_MATCH = 4, 16
 POSTING_COST = 8          # of a posting, in units of comparing one shingle
-CORE_ROUNDS = 2
+CORE_ROUNDS = 1
 STAR_ROUNDS = 2
+SHORT_LIST = 32           # members of a posting list that is joined with itself
+CHUNK_NODES = 256         # of a longer list, compared at a time with as many
+BLOCK_TOKENS = 1 << 13
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -299,27 +302,102 @@ def _star_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
             .distinct())
 
 
-def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Every pair across components that :func:`_prefix_met` lets pass, counted while joining."""
-    side = lambda x: lists.select("token", *[F.col(c).alias(f"{c}_{x}") for c in
+def _cross_pairs(lists: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Every pair across components that meets the prefix condition. Short lists are joined with
+    themselves (a posting makes ``SHORT_LIST`` / 2 rows at most); long ones are compared in blocks
+    that return only the pairs that pass."""
+    size = cut(lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+               .where(F.col("size") > SHORT_LIST), "long-lists")
+    sized = lists.join(size, "token", "left")
+    short, long = sized.where("size IS NULL").drop("size"), sized.where("size IS NOT NULL")
+    side = lambda x: short.select("token", *[F.col(c).alias(f"{c}_{x}") for c in
                                              ("node", "n", "pos", "level", "match", "component")])
     need = F.least("match_a", "match_b")
     # Not more is shared than lies before the lesser and behind the later of the two places.
     room = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"),
                                                F.col("n_b") - F.col("pos_b"))
-    most = F.col("shared") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    return (side("a").join(side("b"), "token")
-            .where((F.col("node_a") < F.col("node_b"))
-                   & (F.col("component_a") != F.col("component_b")) & _close("n_a", "n_b", percent)
-                   & (F.greatest("level_a", "level_b") <= need)
-                   & (100 * room >= percent * (F.col("n_a") + F.col("n_b") - room)))
-            .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-            .agg(F.count(F.lit(1)).alias("shared"), F.first(need).alias("need"),
-                 F.first("n_a").alias("na"), F.first("n_b").alias("nb"),
-                 F.max("pos_a").alias("ia"), F.max("pos_b").alias("ib"))
-            .where((F.col("shared") >= F.col("need"))
-                   & (100 * most >= percent * (F.col("na") + F.col("nb") - most)))
-            .select("a", "b"))
+    few = (side("a").join(side("b"), "token")
+           .where((F.col("node_a") < F.col("node_b"))
+                  & (F.col("component_a") != F.col("component_b")) & _close("n_a", "n_b", percent)
+                  & (F.greatest("level_a", "level_b") <= need)
+                  & (100 * room >= percent * (F.col("n_a") + F.col("n_b") - room)))
+           .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    few = _prefix_met(few, prefixes, percent)
+    return few.unionByName(_block_pairs(long, lists, percent)).distinct()
+
+
+def _block_pairs(long: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The same for long lists, dealt into chunks of about ``CHUNK_NODES`` members; each pair of
+    chunks is one group. Members bring their open prefix postings along, so that a group can tell
+    how many prefix shingles a pair shares; of the lists that a pair meets in, the one of its first
+    shared shingle returns it."""
+    held = lists.groupBy("node").agg(F.array_sort(F.collect_list(
+        F.struct("pos", "token", "level"))).alias("held"))
+    chunks = F.ceil(F.col("size") / CHUNK_NODES).cast("int")
+    mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
+    rows = (long.join(held, "node")
+            .select("token", "node", F.col("n").cast("long").alias("n"), "pos", "level", "match",
+                    "component", *[F.transform("held", lambda x, c=c: x[c]).alias(f"held_{c}")
+                                   for c in ("token", "pos", "level")],
+                    mine.alias("chunk"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
+            .withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
+            .drop("other"))
+
+    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = _met_in_block(key[1] != key[2], pdf.sort_values("node", ignore_index=True), percent)
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return rows.groupBy("token", "low", "high").applyInPandas(compare, "a long, b long")
+
+
+def _met_in_block(across: bool, rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Pairs of nodes of one list (``rows`` by node; of different chunks if ``across``) that meet
+    the prefix condition and whose first shared shingle is the list's."""
+    node, n = rows["node"].to_numpy(), rows["n"].to_numpy()
+    match, chunk = rows["match"].to_numpy(), rows["chunk"].to_numpy()
+    component = rows["component"].to_numpy()
+    ok = np.triu(np.ones((len(rows),) * 2, bool), 1) & (component[:, None] != component)
+    ok &= 100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n)
+    need = np.minimum.outer(match, match)
+    ok &= np.maximum.outer(rows["level"].to_numpy(), rows["level"].to_numpy()) <= need
+    if across:
+        ok &= chunk[:, None] != chunk
+    if not ok.any():
+        return []
+    sizes = [len(x) for x in rows["held_token"]]
+    who = np.repeat(np.arange(len(rows)), sizes)
+    token, pos, level = (np.concatenate(rows[f"held_{c}"].to_numpy()) for c in ("token", "pos", "level"))
+    _, place, times = np.unique(token, return_inverse=True, return_counts=True)
+    both = times[place] > 1                              # the others are shared by no pair
+    who, pos, level, place = who[both], pos[both], level[both], place[both]
+    kinds, place = np.unique(place, return_inverse=True)
+    early = pos < rows["pos"].to_numpy()[who]
+
+    def shared(some: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows),) * 2, np.float32)
+        for first in range(0, len(kinds), BLOCK_TOKENS):
+            here = some & (place >= first) & (place < first + BLOCK_TOKENS)
+            block = np.zeros((len(rows), min(BLOCK_TOKENS, len(kinds) - first)), np.float32)
+            block[who[here], place[here] - first] = 1
+            out += block @ block.T
+        return out
+
+    total = np.zeros((len(rows),) * 2, np.float32)
+    for m in np.unique(need[ok]):
+        of_m = ok & (need == m)
+        seen = shared(level <= m)
+        ok[of_m & ((seen < m) | (shared((level <= m) & early) > 0))] = False
+        total[of_m] = seen[of_m]
+    out = []
+    held = list(zip(rows["held_token"], rows["held_pos"], rows["held_level"]))
+    for i, j in zip(*np.nonzero(ok)):
+        m = need[i, j]
+        (ti, pi, li), (tj, pj, lj) = held[i], held[j]
+        _, x, y = np.intersect1d(ti[li <= m], tj[lj <= m], return_indices=True)
+        most = int(total[i, j]) + min(n[i] - pi[li <= m][x].max(), n[j] - pj[lj <= m][y].max())
+        if 100 * most >= percent * (n[i] + n[j] - most):
+            out.append((node[i], node[j]))
+    return out
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -327,8 +405,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     ``k``-word shingles link from a Jaccard similarity of ``percent`` / 100 on."""
     first = cut(set_digests(docs, k), "digests")
     sized = first.where("slice IS NULL").select("doc_id", "n", "digest")
-    classes = (sized.where("digest IS NOT NULL").groupBy("digest")
-               .agg(F.min("doc_id").alias("node")))
+    # Written, so that the joins with it can split the digest of a large group of copies.
+    classes = cut(sized.where("digest IS NOT NULL").groupBy("digest")
+                  .agg(F.min("doc_id").alias("node")), "classes")
     node_of = (sized.where("doc_id IS NOT NULL").join(classes, "digest")
                .select("doc_id", "n", "node").distinct())
     postings = prefix_postings(docs, k, percent, bucket_weights(first)).repartition("token")
@@ -354,7 +433,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         if turn < STAR_ROUNDS:
             pairs = _prefix_met(_star_pairs(open_lists, percent, turn), prefixes, percent)
         else:
-            pairs = _cross_pairs(open_lists, percent)
+            pairs = _cross_pairs(open_lists, prefixes, percent)
         pairs = cut(pairs, "pairs")
         more = cut(_verified(pairs, sets, percent), "links")
         links = more if links is None else links.unionByName(more)

@@ -78,6 +78,35 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert got == brute(texts, 3, 90)
 
 
+def below_threshold(rng, n, changed):
+    """Copies of one text that mostly lie just below the threshold to one another."""
+    base, texts = [f"w{rng.randint(0, 10**6)}" for _ in range(220)], []
+    for k in range(n):
+        words = list(base)
+        for _ in range(rng.randint(1, changed)):
+            words[rng.randrange(len(words))] = f"n{k}.{rng.randint(0, 9)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_large_groups_below_the_threshold(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = below_threshold(rng, 150, 12) + below_threshold(rng, 60, 5) + ["other text " * 30]
+    docs = docs_frame(spark, texts)
+    want = brute(texts, 5, 80)
+    assert 3 < len({r[2] for r in want}) < len(texts) - 50
+    calls = []
+    plain = N._block_pairs
+    monkeypatch.setattr(N, "_block_pairs", lambda *a: calls.append(1) or plain(*a))
+    columns = ("doc_id", "n_shingles", "component_id")
+    for star, short, chunk, tokens in ((2, 32, 256, 1 << 13), (0, 3, 16, 40), (0, 1 << 20, 16, 40)):
+        for name, value in (("STAR_ROUNDS", star), ("SHORT_LIST", short), ("CHUNK_NODES", chunk),
+                            ("BLOCK_TOKENS", tokens)):
+            monkeypatch.setattr(N, name, value)
+        assert rows_of(N.near_duplicates(docs, 5, 80), *columns) == want
+    assert calls
+
+
 def test_repeated_rows_empty_table_and_one_of_each(spark, tmp_path):
     assert N.op5_ngram_jaccard(spark, save(empty_docs(spark), tmp_path)).collect() == []
     a, b = " ".join(f"a{k}" for k in range(50)), " ".join(f"b{k}" for k in range(50))
