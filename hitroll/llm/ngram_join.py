@@ -337,7 +337,7 @@ def _block_pairs(long: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
     rows = (long.join(held, "node")
             .select("token", "node", F.col("n").cast("long").alias("n"), "pos", "level", "match",
-                    "component", *[F.transform("held", lambda x, c=c: x[c]).alias(f"held_{c}")
+                    "component", *[F.col(f"held.{c}").alias(f"held_{c}")
                                    for c in ("token", "pos", "level")],
                     mine.alias("chunk"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
             .withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
