@@ -48,7 +48,7 @@ MIN_MATCH, MAX_MATCH = 4, 16
 POSTING_COST = 8          # of a posting, in units of comparing one shingle
 CORE_ROUNDS = 1
 STAR_ROUNDS = 2
-SHORT_LIST = 32           # members of a posting list that is joined with itself
+SHORT_LIST = 8            # members of a posting list that is joined with itself
 CHUNK_NODES = 256         # of a longer list, compared at a time with as many
 BLOCK_TOKENS = 1 << 13
 
