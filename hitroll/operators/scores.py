@@ -150,7 +150,8 @@ def per_structure_from_grain(grain: DataFrame) -> DataFrame:
 
 def accepted(grain: DataFrame) -> DataFrame:
     """Grain rows of structures with no bad row (R7): the rejected structures, normally few, are
-    anti-joined. No structure's rows are gathered, and both sides read one exchange of the grain."""
+    anti-joined. No structure's rows are gathered. Both sides compute the grain unless it has been
+    written, as the job does; write one whose rows are dear to make."""
     if BAD not in grain.columns:
         return grain
     rejected = grain.where(F.col(BAD)).select(*keys_of(grain)).distinct()

@@ -27,6 +27,7 @@ from hitroll.plans import ledger as LG
 from hitroll.schema import BAD, CODE, DATASET, SCORE, STRUCTURE
 from hitroll.session import scratch_path
 from hitroll.sinks import files as SK
+from hitroll.sinks.named import write_named_artefacts
 from hitroll.sources import catalogue as CAT
 from hitroll.sources import files as FS
 from hitroll.sources import hits as HF
@@ -187,8 +188,12 @@ ok AS (SELECT dataset, user_id FROM h GROUP BY 1, 2 HAVING count(reason) = 0)
 SELECT dataset, code, count(*) AS count FROM h JOIN ok USING (dataset, user_id) GROUP BY 1, 2
 """)
 def json_code_summary(spark, sf_dir):
-    """Codes read from a JSON metadata cell (PRJ3, R9, R21), rejected structures excluded."""
-    return S.code_totals(S.code_grain(T.event_hits(spark, sf_dir)))
+    """Codes read from a JSON metadata cell (PRJ3, R9, R21), rejected structures excluded. The
+    grain is written first: both sides of the rejection read it, and every cell is parsed once."""
+    path = scratch_path(spark, "grain")
+    grain = S.code_grain(T.event_hits(spark, sf_dir))
+    grain.write.parquet(path)
+    return S.code_totals(spark.read.schema(grain.schema).parquet(path))
 
 
 @register("existing_artefacts", """
@@ -540,6 +545,24 @@ def partitioned_artefacts(spark, sf_dir):
         DATASET, "n_hit_rows", "n_bad_rows", F.coalesce("n_summaries", F.lit(0)).alias("n_summaries"))
 
 
+@register("named_artefacts", """
+SELECT lang AS dataset, doc_id || '.pdb_segment.tsv' AS file_name, strlen(text) AS n_bytes,
+       md5(text) AS md5
+FROM documents
+""")
+def named_artefacts(spark, sf_dir):
+    """SNK3: one artefact per structure under its own name, committed together, read back."""
+    docs = T.table(spark, sf_dir, "documents").select(
+        F.col("lang").alias(DATASET), F.col("text").alias("content"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".pdb_segment.tsv")).alias("file_name"))
+    path = scratch_path(spark, "named")
+    write_named_artefacts(docs, path)
+    found = FS.read_binary(spark, f"{path}/*/*.pdb_segment.tsv")
+    folder = F.regexp_extract("path", r"([^/]*)/[^/]*$", 1)
+    return found.select(folder.alias(DATASET), "file_name", F.col("length").alias("n_bytes"),
+                        F.md5("content").alias("md5"))
+
+
 # --------------------------------------------------------------------------- phase 4: maps
 
 # Fixed value for the stand-in: hits of a structure arrive in two runs, split at this ship date.
