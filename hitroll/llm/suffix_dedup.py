@@ -36,6 +36,7 @@ from hitroll.llm.common import cut
 from hitroll.llm.shingles import _powers, mix
 
 LENGTH = 400
+KEPT_BYTES = 16 << 20       # of remaining text that a task returns at a time
 GRAM = 128                                 # longer strings in common by chance are rare
 GRID = 8                                   # bytes per symbol
 SYMBOLS = (LENGTH - GRID) // GRID          # whole symbols in a window, wherever it starts
@@ -455,33 +456,37 @@ def repeated_runs(docs: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def _kept(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` from ``doc_id, text, copies, runs``."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, text`` from ``doc_id, text, copies,
+    runs``. The last two are what remains: its bytes, and the text, where U+FFFD stands for a
+    character cut apart."""
 
     def run(batches):
         for batch in batches:
-            out = ([], [], [], [], [])
+            out, held = [], 0
             ids, copies, runs = (batch.column(k).to_pylist() for k in (0, 2, 3))
             data, offsets = _bytes_of(batch.column(1))
             for k, doc in enumerate(ids):
                 raw = data[offsets[k]:offsets[k + 1]]
                 n = len(raw)
                 spans = [(0, n)] if copies[k] and copies[k] > 1 and n >= LENGTH else _merged(runs[k])
-                digest, at = hashlib.sha256(), 0
-                for lo, hi in spans:
-                    digest.update(raw[at:lo])
-                    at = hi
-                digest.update(raw[at:])
-                row = (doc, n, sum(hi - lo for lo, hi in spans), len(spans), digest.hexdigest())
-                for col, v in zip(out, row):
-                    col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()),
-                 pa.array(out[4], pa.string())], names=names)
-
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                edges = [0, *(x for span in spans for x in span), n]
+                kept = b"".join(bytes(raw[lo:hi]) for lo, hi in zip(edges[::2], edges[1::2]))
+                out.append((doc, n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
+                            len(kept), kept.decode("utf-8", "replace")))
+                held += len(kept)
+                if held > KEPT_BYTES:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    out, held = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "text"]
+    types = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.string()]
     return docs.select("doc_id", "text", "copies", "runs").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+             "n_kept long, text string")
 
 
 def _merged(runs) -> list[tuple[int, int]]:

@@ -7,7 +7,7 @@ import numpy as np
 from hitroll.llm import suffix_dedup as S
 from tests.llm.edge import docs_frame, empty_docs, rows_of, save
 
-COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "text")
 
 
 def brute(docs):
@@ -22,7 +22,8 @@ def brute(docs):
         gone = gone[:len(b)]
         spans = int((np.diff(np.r_[False, gone].astype(int)) == 1).sum())
         kept = bytes(np.frombuffer(b, np.uint8)[~gone])
-        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), len(kept),
+                    kept.decode("utf-8", "replace")))
     return sorted(out, key=repr)
 
 
