@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,21 @@ def cut(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`cut` wrote, once nothing that is still to run reads them; and let
+    Spark drop the shuffle files of finished steps, which it does when the driver's garbage
+    collection finds them unused."""
+    for df in tables:
+        spark, path = df.sparkSession, df._cut_path
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def lower_ascii(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitroll.llm.common import cut
+from hitroll.llm.common import cut, discard
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
                                              F.least("a", "b").alias("b")).distinct(), "edges")
     state = None
     for _ in range(max_rounds):
-        edges = cut(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, cut(_small_star(_large_star(edges)), "edges")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hitroll.llm.common import WHITE, cut, tuck, untuck
+from hitroll.llm.common import WHITE, cut, discard, tuck, untuck
 from hitroll.session import scratch_path
 from hitroll.llm.components import components
 from hitroll.llm.shingles import WordHasher, documents, shingle_set, weighted_shingles
@@ -404,26 +404,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """``doc_id, n_shingles, component_id`` per row of ``docs`` (doc_id, text): sets of distinct
     ``k``-word shingles link from a Jaccard similarity of ``percent`` / 100 on."""
     first = cut(set_digests(docs, k), "digests")
-    sized = first.where("slice IS NULL").select("doc_id", "n", "digest")
+    weights = bucket_weights(first)
+    sized = cut(first.where("slice IS NULL").select("doc_id", "n", "digest"), "sets-sized")
+    discard(first)
     # Written, so that the joins with it can split the digest of a large group of copies.
     classes = cut(sized.where("digest IS NOT NULL").groupBy("digest")
                   .agg(F.min("doc_id").alias("node")), "classes")
     node_of = (sized.where("doc_id IS NOT NULL").join(classes, "digest")
                .select("doc_id", "n", "node").distinct())
-    postings = prefix_postings(docs, k, percent, bucket_weights(first)).repartition("token")
+    postings = prefix_postings(docs, k, percent, weights).repartition("token")
     free = F.col("n") - F.ceil(percent * F.col("n") / 100)
     lists = _shared_only(postings).join(node_of, ["doc_id", "n"]).drop("doc_id")
     lists = _shared_only(lists.dropDuplicates(["token", "node"]))
     lists = cut(lists.withColumn("level", F.greatest(F.lit(1), F.col("pos") - free).cast("int")),
                 "postings")
     for _ in range(CORE_ROUNDS):
-        lists = cut(_core(lists, percent), "postings")
+        before, lists = lists, cut(_core(lists, percent), "postings")
+        discard(before)
     prefixes = cut(lists.groupBy("node").agg(
         F.max("n").alias("n"), F.max("match").alias("match"),
         F.array_sort(F.collect_list(F.struct("pos", "token", "level"))).alias("held")), "prefixes")
     own = (free + F.col("match") - F.size("held")).alias("own")
-    lists = cut(lists.join(prefixes.select("node", own), "node")
-                .withColumn("component", F.col("node")), "postings")
+    before, lists = lists, cut(lists.join(prefixes.select("node", own), "node")
+                               .withColumn("component", F.col("node")), "postings")
+    discard(before)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     sets = _by_node(class_sets(texts.join(prefixes.select("node"), "node", "left_semi"), k), "sets")
 
@@ -433,9 +437,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         if turn < STAR_ROUNDS:
             pairs = _prefix_met(_star_pairs(open_lists, percent, turn), prefixes, percent)
         else:
+            open_lists = cut(open_lists, "open-postings")
+            discard(lists)
             pairs = _cross_pairs(open_lists, prefixes, percent)
         pairs = cut(pairs, "pairs")
         more = cut(_verified(pairs, sets, percent), "links")
+        discard(pairs)
         links = more if links is None else links.unionByName(more)
         found = cut(components(links), "components")
 
