@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -52,5 +53,13 @@ def test_random_strings_are_found_among_structured_ones(spark):
             assert s["kind"] == "random" and s["end"] - s["start"] >= 20
 
 
+def test_normal_tails(spark):
+    zs = [k / 10 for k in range(-40, 250)]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    for r in df.select("z", S._tail(df["z"]).alias("p")).collect():
+        want = math.erfc(r.z / math.sqrt(2)) / 2
+        assert abs(r.p - want) < (0.003 * want if r.z > 3.5 else 2e-4)
+
+
 def test_empty_table(spark, tmp_path):
     assert S.op3_secret_scan(spark, save(empty_docs(spark), tmp_path)).collect() == []
