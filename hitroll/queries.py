@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hitroll.fixed import CODE_SUMMARY_SUFFIX, SAMPLE_FRACTION, STATISTICS_COLUMNS, STATISTICS_FILE
+from hitroll.operators import exact as EX
 from hitroll.operators import external as X
 from hitroll.operators import maps as M
 from hitroll.operators import scores as S
@@ -659,6 +660,43 @@ def summary_combine_pair(spark, sf_dir):
     return (p.select(STRUCTURE, F.explode(codes).alias(CODE, "count"), r4(mid).alias("mid_mean")))
 
 
+# ------------------------------------------------------------------------ exact means (R19)
+
+def exact_sql(keys: str) -> str:
+    """The exact mean in integers: charges lie in [512, 131072), so a charge times 2^44 is a whole
+    number, and the mean's 53 bits are a rounded quotient of the sum."""
+    return f"""
+WITH s AS (SELECT {keys}, count(*) AS n, sum(CAST(l_extendedprice * (1 - l_discount) * 17592186044416.0 AS BIGINT)) AS t
+           FROM lineitem GROUP BY ALL),
+e AS (SELECT *, (SELECT max(i) FROM range(9, 17) r(i)
+                 WHERE t >= n::HUGEINT * (17592186044416::HUGEINT * (1::HUGEINT << i::INTEGER))) AS e FROM s),
+d AS (SELECT *, n::HUGEINT * (1::HUGEINT << (e - 8)::INTEGER) AS d FROM e),
+q AS (SELECT *, t // d AS q, t % d AS r FROM d),
+m AS (SELECT *, CAST(q + CASE WHEN 2 * r > d OR (2 * r = d AND q % 2 = 1) THEN 1 ELSE 0 END AS BIGINT) AS m FROM q)
+SELECT {keys}, n AS n_hits, m AS mantissa, CAST(e - 52 AS INTEGER) AS exponent,
+       CAST(m AS DOUBLE) * power(2.0, e - 52) AS mean_score
+FROM m"""
+
+
+def exact_charges(spark, sf_dir, keys):
+    charge = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("charge")
+    hits = T.table(spark, sf_dir, "lineitem").select(*keys, charge)
+    return (EX.exact_mean(EX.exact_sums(hits, keys, "charge"), keys)
+            .select(*keys, F.col("n").alias("n_hits"), "mantissa", "exponent", F.col("mean").alias("mean_score")))
+
+
+@register("exact_structure_scores", exact_sql("l_orderkey"))
+def exact_structure_scores(spark, sf_dir):
+    """R19 / AG1: per structure, the mean as the nearest double to the exact rational mean."""
+    return exact_charges(spark, sf_dir, ["l_orderkey"])
+
+
+@register("exact_code_scores", exact_sql("l_returnflag, l_linestatus"))
+def exact_code_scores(spark, sf_dir):
+    """R19 over few keys that hold all rows: the same bits for any partitioning."""
+    return exact_charges(spark, sf_dir, ["l_returnflag", "l_linestatus"])
+
+
 # ------------------------------------------------------------ phase 6: external command stage
 
 @register("external_command_stage", """
