@@ -31,8 +31,6 @@ from hitroll.schema import SCORE
 BAND = 7                      # bits of a digit and of a band
 PART = 3 * BAND               # bits of a summed part
 DIGITS = 9                    # digits that hold more than 53 bits from the first one that counts
-GUARD = 16                    # digits computed below the lowest band
-CARRIES = 10                  # digits that a sum of longs can carry upwards
 SUMS = ("n", "d0", "d1", "d2", "n_nan", "n_up", "n_down")
 
 
@@ -101,10 +99,12 @@ def exact_mean(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(*keys, n, mean, mantissa, exponent)`` of the state; a finite mean is exactly
     ``mantissa * 2^exponent``, with a mantissa of 53 bits unless it is zero or subnormal."""
     s = F.struct("band", "d0", "d1", "d2")
+    bits = F.length(F.bin(F.sum("n")))       # digits that sums can carry upwards, and that a quotient needs below
     per = sums.groupBy(*keys).agg(
         *(F.sum(c).alias(c) for c in ("n", "n_nan", "n_up", "n_down")),
         F.collect_list(s).alias("_b"), F.min("band").alias("_lo"),
-        (F.max("band") + 2 * PART // BAND + CARRIES).alias("_hi"))
+        (F.max("band") + 2 * PART // BAND + F.floor((bits + PART - 2) / BAND) + 2).cast("int").alias("_hi"),
+        (F.floor(bits / BAND) + DIGITS + 1).cast("int").alias("_guard"))
 
     def at(p):
         def add(acc, b):
@@ -117,7 +117,7 @@ def exact_mean(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
     per = per.withColumn("_neg", _carried(F.col("_d"))["carry"] < 0)
     per = per.withColumn("_d", F.when(F.col("_neg"), F.transform("_d", lambda d: -d)).otherwise(F.col("_d")))
     per = per.withColumn("_d", F.reverse(_carried(F.col("_d"))["out"]))
-    guard = F.array_repeat(_long(0), GUARD)
+    guard = F.array_repeat(_long(0), F.col("_guard"))
     per = per.withColumn("_q", _divided(F.concat("_d", guard), F.greatest("n", _long(1))))
     q = F.col("_q")["out"]
     per = per.withColumn("_at", F.array_position(F.transform(q, lambda d: d > 0), F.lit(True)).cast("int"))
