@@ -20,9 +20,10 @@ import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitroll.operators.dealing import deal_by_cost
 from hitroll.sources.hits import HIT_DDL
 
 INPUT = "{input}"     # placeholder in the argument list for the path of the record's content
@@ -85,7 +86,8 @@ def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
                 content: str = "value", min_partitions: int | None = None,
                 timeout: float | None = None, workdir: str | None = None,
                 output_file: str | None = None, extra_files: Sequence[str] = (),
-                env: Mapping[str, str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+                env: Mapping[str, str] | None = None, keep: Sequence[str] = (),
+                cost: Column | str | None = None) -> DataFrame:
     """Run ``command`` once per row; returns ``(*keep, key, rc, out, err, files)``.
 
     ``command`` is an argument list; ``{input}`` is replaced by a path holding the row's
@@ -95,11 +97,16 @@ def run_command(df: DataFrame, command: Sequence[str], key: str = "structure",
     working folder, NULL when the child did not write it; ``files`` holds those of
     ``extra_files`` that it wrote, by name. Each child runs in a private folder under
     ``workdir``, by default under the executor's Spark-managed application folder, with ``env``
-    added to the environment. There is no timeout unless one is given.
+    added to the environment. There is no timeout unless one is given. With ``cost`` (say the length
+    of the record's file) the records are dealt to ``min_partitions`` tasks of about equal cost.
     """
     cmd, keep = list(command), list(keep)
+    if cost is not None:
+        if not min_partitions:
+            raise ValueError("dealing by cost needs min_partitions")
+        df = deal_by_cost(df, cost, min_partitions, [*keep, key])
     src = df.select(*keep, F.col(key).alias("_key"), F.col(content).alias("_content"))
-    if min_partitions and src.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and cost is None and src.rdd.getNumPartitions() < min_partitions:
         src = src.repartition(min_partitions, *keep, "_key")
 
     def stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,10 +10,11 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitroll.fixed import CODE_SUMMARY_SUFFIX, SAMPLE_FRACTION, STATISTICS_COLUMNS, STATISTICS_FILE
+from hitroll.operators import dealing as DL
 from hitroll.operators import exact as EX
 from hitroll.operators import external as X
 from hitroll.operators import maps as M
@@ -28,6 +29,7 @@ from hitroll.plans import ledger as LG
 from hitroll.schema import BAD, CODE, DATASET, SCORE, STRUCTURE
 from hitroll.session import scratch_path
 from hitroll.sinks import files as SK
+from hitroll.sinks.bundle import read_bundle, write_bundle
 from hitroll.sinks.named import write_named_artefacts
 from hitroll.sources import catalogue as CAT
 from hitroll.sources import files as FS
@@ -564,6 +566,22 @@ def named_artefacts(spark, sf_dir):
                         F.md5("content").alias("md5"))
 
 
+@register("bundled_artefacts", """
+SELECT lang AS dataset, doc_id || '.pdb_segment.tsv' AS file_name, strlen(text) AS n_bytes,
+       md5(text) AS md5
+FROM documents
+""")
+def bundled_artefacts(spark, sf_dir):
+    """SNK5: all artefacts in one ``.tar.gz``, compressed in parallel, read back through its index."""
+    docs = T.table(spark, sf_dir, "documents").select(
+        F.col("lang").alias(DATASET), F.col("text").alias("content"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".pdb_segment.tsv")).alias("file_name"))
+    path = f"{scratch_path(spark, 'bundle')}/artefacts.tar.gz"
+    write_bundle(docs, path)
+    return read_bundle(spark, path).select(
+        DATASET, "file_name", F.octet_length("content").cast("long").alias("n_bytes"), F.md5("content").alias("md5"))
+
+
 # --------------------------------------------------------------------------- phase 4: maps
 
 # Fixed value for the stand-in: hits of a structure arrive in two runs, split at this ship date.
@@ -711,6 +729,29 @@ def external_command_stage(spark, sf_dir):
     return out.select("doc_id", "rc", F.trim("out").cast("long").alias("n_bytes"))
 
 
+@register("dealt_by_cost", """
+SELECT lang, count(*) AS n_structures, CAST(sum(strlen(coalesce(text, ''))) AS BIGINT) AS n_bytes, 12 AS n_tasks, true AS within_bound
+FROM documents GROUP BY 1
+""")
+def dealt_by_cost(spark, sf_dir):
+    """PT1: the structures of each dataset dealt to 12 tasks by size. ``within_bound``, from where the
+    rows really are: no task holds more than 4/3 of the even share and one structure."""
+    docs = T.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.octet_length(F.coalesce("text", F.lit(""))).alias("cost"))
+    placed = DL.deal_by_cost(docs, "cost", 12, ["lang", "doc_id"]).withColumn("task", F.spark_partition_id())
+    per = placed.groupBy("task", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("cost").alias("cost"),
+                                             F.max("cost").alias("largest"))
+    # At most 12 rows per dataset from here on.
+    task, every = Window.partitionBy("task"), Window.partitionBy(F.lit(1))
+    per = per.withColumn("load", F.sum("cost").over(task))
+    per = (per.withColumn("n_tasks", F.size(F.collect_set("task").over(every)))
+           .withColumn("bound", F.sum("cost").over(every) / 12 * 4 / 3 + F.max("largest").over(every))
+           .withColumn("heaviest", F.max("load").over(every)))
+    return per.groupBy("lang").agg(
+        F.sum("n").alias("n_structures"), F.sum("cost").alias("n_bytes"), F.max("n_tasks").alias("n_tasks"),
+        F.bool_and(F.col("heaviest") <= F.col("bound")).alias("within_bound"))
+
+
 #: The job's stand-in command: by the last digit of the structure's name it copies its input to
 #: the hit file, writes the header alone, an empty file, or fails.
 COMMAND = ["sh", "-c", """case $1 in
