@@ -30,7 +30,9 @@ from hitroll.llm.common import cut, tuck, untuck, words_of
 
 MAX_EPOCHS = 2.0
 SECTIONS, PASSES = 32, 5
-BLOCK_ROWS, MAX_BLOCKS = 1000, 65536
+BLOCK_ROWS = 1000
+BLOCKS_PER_ROOT = 64  # from 4 billion documents on, blocks grow with 64 times their root, so that neither
+                      # the row of blocks nor a block outgrows a task
 SEED = 20_26
 
 
@@ -109,8 +111,8 @@ def mixing_plan(sized: DataFrame, target_entropy: float | None = None,
     plan = raw.select(
         "source", "total", F.coalesce(F.col("raw") / F.lit(z), F.lit(0.0)).alias("weight"),
         F.coalesce(F.round(F.col("raw") / q * F.lit(scale), 9), F.lit(1.0)).alias("epochs"),
-        F.pow(F.lit(2.0), F.ceil(F.log2(F.least(F.lit(float(MAX_BLOCKS)), F.greatest(
-            F.lit(16.0), F.col("n") / BLOCK_ROWS))))).cast("long").alias("n_blocks"))
+        F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(16.0), F.least(
+            F.col("n") / BLOCK_ROWS, BLOCKS_PER_ROOT * F.sqrt("n")))))).cast("long").alias("n_blocks"))
     plan = cut(plan.withColumn("whole", F.floor("epochs").cast("int"))
                .withColumn("want", (F.col("epochs") - F.col("whole")) * F.col("total")), "mix")
 
