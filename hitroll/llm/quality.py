@@ -3,8 +3,10 @@
 Base counts per document come first (words, symbols, repeated lines and 8-word windows). The
 verdict then compares a few ratios with fences learned from the corpus itself: for every language
 and source, each ratio is folded into a relative-error quantile sketch (counts of logarithmic
-bins). Sketches merge by adding counts, so a source with few documents borrows the merged sketch
-of its language, and a language with few documents that of the corpus. A fence is the upper
+bins). Sketches merge by adding counts. A group's quartiles are pooled with those of the merged
+sketch one level up, with the weight of ``POOL`` documents: a source of few documents mostly follows
+its language, a language of few the corpus, and the more documents a group has, the more it follows
+its own, without a size at which it switches. A fence is the upper
 quartile plus ``reach`` inter-quartile ranges plus a small margin. The fences are joined to the
 documents by language and source, and documents beyond any fence are rejected.
 
@@ -28,7 +30,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 GAMMA = 1.02          # width of a sketch bin: quantiles are right to 1 %
 TINY = 1e-6           # ratios up to here share the lowest bin
-MIN_GROUP = 200       # documents below which a group uses the merged sketch one level up
+POOL = 50             # documents that the merged sketch one level up counts for
 
 
 @dataclass(frozen=True)
@@ -113,9 +115,9 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
                                           at(0.75).alias("q3"))
 
 
-def fences(sketch: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataFrame:
-    """``lang, source`` and one upper fence per rule, from the finest sketch that holds at least
-    ``min_group`` documents."""
+def fences(sketch: DataFrame, rules=RULES, pool: int = POOL) -> DataFrame:
+    """``lang, source`` and one upper fence per rule, from the group's quartiles pooled with its
+    language's, and those with the corpus's."""
     every = _quartiles(sketch, []).select("rule", F.col("q1").alias("q1_all"),
                                           F.col("q3").alias("q3_all"))
     by_lang = _quartiles(sketch, ["lang"]).select(
@@ -125,10 +127,11 @@ def fences(sketch: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataFr
     joined = (own.join(by_lang, (own["rule"] == by_lang["rule"])
                        & own["lang"].eqNullSafe(by_lang["l"])).drop(by_lang["rule"])
               .join(every, "rule"))
-    pick = lambda q: (F.when(F.col("total") >= min_group, F.col(q))
-                      .when(F.col("n_lang") >= min_group, F.col(f"{q}_lang"))
-                      .otherwise(F.col(f"{q}_all")))
-    fence = pick("q3") + F.col("reach") * (pick("q3") - pick("q1")) + F.col("margin")
+
+    def pooled(q):
+        lang = (F.col("n_lang") * F.col(f"{q}_lang") + pool * F.col(f"{q}_all")) / (F.col("n_lang") + pool)
+        return (F.col("total") * F.col(q) + pool * lang) / (F.col("total") + pool)
+    fence = pooled("q3") + F.col("reach") * (pooled("q3") - pooled("q1")) + F.col("margin")
     knobs = F.map_from_entries(F.array(*[F.struct(
         F.lit(r.name), F.struct(F.lit(r.margin).alias("margin"), F.lit(r.reach).alias("reach")))
         for r in rules]))
@@ -139,7 +142,7 @@ def fences(sketch: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataFr
                 for r in rules]))
 
 
-def judge(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP,
+def judge(docs: DataFrame, rules=RULES, pool: int = POOL,
           keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) with the base columns and the verdict
     ``__kept``. The counted documents are written once: the sketches then read only their few
@@ -148,7 +151,7 @@ def judge(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP,
     counted = base_counts(docs)
     own = [c for c in counted.columns if c not in docs.columns]
     counted = cut(counted.select(*dict.fromkeys([*keep, "lang", "source", *own])), "quality")
-    limits = cut(fences(sketches(counted, rules), rules, min_group), "quality-fences")
+    limits = cut(fences(sketches(counted, rules), rules, pool), "quality-fences")
     limits = limits.withColumnsRenamed({"lang": "__l", "source": "__s"})
     inside = F.lit(True)
     for r in rules:
@@ -158,9 +161,9 @@ def judge(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP,
             .withColumn("__kept", ~F.col("__base_failed") & inside).drop("__l", "__s"))
 
 
-def filter_quality(docs: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataFrame:
+def filter_quality(docs: DataFrame, rules=RULES, pool: int = POOL) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return untuck(judge(tuck(docs, "text", "lang", "source"), rules, min_group).where("__kept"),
+    return untuck(judge(tuck(docs, "text", "lang", "source"), rules, pool).where("__kept"),
                   docs)
 
 
@@ -197,8 +200,9 @@ def _op8_sql() -> str:
            min(pow({GAMMA}, bin)) FILTER (WHERE upto >= 0.25 * total) AS q1,
            min(pow({GAMMA}, bin)) FILTER (WHERE upto >= 0.75 * total) AS q3
            FROM {name}_u GROUP BY rule{k})"""
-    pick = lambda q: (f"CASE WHEN o.total >= {MIN_GROUP} THEN o.{q} "
-                      f"WHEN l.total >= {MIN_GROUP} THEN l.{q} ELSE e.{q} END")
+    def pooled(q):
+        lang = f"((l.total * l.{q} + {POOL} * e.{q}) / (l.total + {POOL}))"
+        return f"((o.total * o.{q} + {POOL} * {lang}) / (o.total + {POOL}))"
     ok = " AND ".join(
         f"coalesce({r.name} <= (SELECT fence FROM fences f WHERE f.rule = '{r.name}' "
         "AND f.lang IS NOT DISTINCT FROM j.lang AND f.source IS NOT DISTINCT FROM j.source), true)"
@@ -231,7 +235,7 @@ long AS ({long}),{quartiles("own", ["lang", "source"])},{quartiles("bylang", ["l
         quartiles("every", [])},
 knobs AS (SELECT DISTINCT rule, margin, reach FROM long),
 fences AS (SELECT o.rule, o.lang, o.source,
-                  {pick("q3")} + reach * (({pick("q3")}) - ({pick("q1")})) + margin AS fence
+                  {pooled("q3")} + reach * ({pooled("q3")} - {pooled("q1")}) + margin AS fence
            FROM own o JOIN bylang l ON o.rule = l.rule AND o.lang IS NOT DISTINCT FROM l.lang
            JOIN every e ON o.rule = e.rule JOIN knobs k ON o.rule = k.rule)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

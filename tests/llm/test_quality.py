@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -61,3 +62,35 @@ def test_sketches_merge_and_empty_table(spark, tmp_path):
         for r in Q.sketches(judged.where(f"doc_id % 2 = {half}")).collect():
             parts[r["rule"], r["bin"]] = parts.get((r["rule"], r["bin"]), 0) + r["n"]
     assert whole == parts
+
+
+def test_fences_follow_size_without_a_switch(spark):
+    """A source of short texts with few symbols beside one of many: its fence moves a little with each
+    document, from its language's towards its own, and equals the formula at every size."""
+    rule = (Q.Rule("symbol_ratio", 0.05),)
+
+    def fence(n):
+        rows = [("symbol_ratio", "en", "big", 0, 3000), ("symbol_ratio", "en", "big", 50, 1000),
+                ("symbol_ratio", "en", "small", 10, n), ("symbol_ratio", None, "big", 20, 500)]
+        df = spark.createDataFrame(rows, "rule string, lang string, source string, bin int, n long")
+        return {(r[0], r[1]): r[2] for r in Q.fences(df, rule).collect()}
+
+    def quartile(share, *bins):
+        values = sorted(b for b, n in bins for _ in range(n))
+        return Q.GAMMA ** values[math.ceil(share * len(values)) - 1]
+
+    def formula(n):
+        big, small, other = [(0, 3000), (50, 1000)], [(10, n)], [(20, 500)]
+        q = []
+        for share in (0.25, 0.75):
+            lang, every = quartile(share, *big, *small), quartile(share, *big, *small, *other)
+            lang = ((4000 + n) * lang + Q.POOL * every) / (4000 + n + Q.POOL)
+            q.append((n * quartile(share, *small) + Q.POOL * lang) / (n + Q.POOL))
+        return q[1] + 6.0 * (q[1] - q[0]) + 0.05
+
+    sizes = [1, 49, 199, 200, 201]
+    got = [fence(n)["en", "small"] for n in sizes]
+    for n, g in zip(sizes, got):
+        assert abs(g - formula(n)) < 1e-9, (n, g, formula(n))
+    assert abs(got[3] - got[2]) < 0.01 and abs(got[4] - got[3]) < 0.01
+    assert (None, "big") in fence(5)
