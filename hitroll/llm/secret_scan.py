@@ -45,6 +45,29 @@ ENCODINGS = (
 )
 BINS_PER_DECADE = 4
 MAX_BIN = 300 * BINS_PER_DECADE
+SCAN_BLOCK = 128        # elements of an array that are scanned together
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a transform of one element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, combine) -> Column:
+    """Per element of an array of int, all elements before it combined, from 0 on. Arrays are copied
+    where they grow, so they grow in blocks: one scan inside each block, one over the totals."""
+    def scan(items, zero):
+        start = F.struct(zero.alias("so_far"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(items, start, lambda a, x: F.struct(
+            combine(a["so_far"], x).alias("so_far"),
+            F.concat(a["out"], F.array(a["so_far"])).alias("out")), lambda a: a["out"])
+
+    def blocks(values):
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(SCAN_BLOCK))
+        return F.transform(firsts, lambda k: F.slice(values, k, SCAN_BLOCK))
+
+    return _let(values, lambda v: _let(blocks(v), lambda parts: F.flatten(F.zip_with(
+        parts, scan(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), combine)), F.lit(0)), scan))))
 
 
 def _spans(text: Column, pattern: str, kind: str, keep, parts=(0,)) -> Column:
@@ -54,21 +77,40 @@ def _spans(text: Column, pattern: str, kind: str, keep, parts=(0,)) -> Column:
     tested = F.regexp_extract_all(text, F.lit(pattern), F.lit(parts[-1]))
     both = F.zip_with(match, tested, lambda m, t: F.struct(m.alias("m"), t.alias("t")))
     items = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(match)), both,
-                       lambda gap, b: F.struct(F.char_length(gap).alias("gap"), b["m"].alias("m"),
+                       lambda gap, b: F.struct(F.char_length(gap).alias("gap"),
+                                               F.char_length(b["m"]).alias("n"), b["m"].alias("m"),
                                                keep(b["t"]).alias("ok")))
     shape = "array<struct<kind:string,start:int,end:int,match:string>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(shape).alias("out"))
 
-    def step(a, x):
-        start = a["at"] + x["gap"]
-        end = start + F.char_length(x["m"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
-                        x["m"].alias("match"))
-        return F.struct(end.alias("at"),
-                        F.when(x["ok"], F.concat(a["out"], F.array(span).cast(shape)))
-                        .otherwise(a["out"]).alias("out"))
-    found = F.aggregate(items, zero, step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(shape))
+    def placed(items):
+        passed = _before(F.transform(items, lambda x: x["gap"] + x["n"]), lambda a, x: a + x)
+        every = F.zip_with(items, passed, lambda x, at: F.struct(
+            x["ok"].alias("ok"), F.struct(
+                F.lit(kind).alias("kind"), (at + x["gap"]).alias("start"),
+                (at + x["gap"] + x["n"]).alias("end"), x["m"].alias("match")).alias("span")))
+        return F.transform(F.filter(every, lambda x: x["ok"]), lambda x: x["span"]).cast(shape)
+
+    return F.when(text.rlike(pattern), _let(items, placed)).otherwise(F.array().cast(shape))
+
+
+def _free(found: Column, base: Column) -> Column:
+    """The candidates that overlap no base span: base spans by start and candidates by end in one
+    order, and before each candidate the furthest end of the base spans that start before its end."""
+    row = lambda at, rank, reach, start, match: F.struct(
+        at.alias("at"), F.lit(rank).alias("rank"), reach.alias("reach"), start.alias("start"),
+        match.alias("match"))
+    events = F.array_sort(F.concat(
+        F.transform(base, lambda b: row(b["start"], 1, b["end"], b["start"], F.lit(""))),
+        F.transform(found, lambda c: row(c["end"], 0, F.lit(0), c["start"], c["match"]))))
+
+    def swept(events):
+        reach = _before(F.transform(events, lambda e: e["reach"]),
+                        lambda a, x: F.greatest(a, x))
+        both = F.zip_with(events, reach, lambda e, r: F.struct(e.alias("e"), r.alias("r")))
+        free = F.filter(both, lambda x: (x["e"]["rank"] == 0) & (x["r"] <= x["e"]["start"]))
+        return F.transform(free, lambda x: F.struct(
+            x["e"]["start"].alias("start"), x["e"]["at"].alias("end"), x["e"]["match"].alias("match")))
+    return _let(events, swept)
 
 
 def _tail(z: Column) -> Column:
@@ -89,9 +131,6 @@ def _battery(match: Column) -> Column:
         name = F.when(is_it, F.lit(n)).otherwise(name)
         alphabet = F.when(is_it, F.lit(letters)).otherwise(alphabet)
 
-    def let(value: Column, body) -> Column:
-        return F.get(F.transform(F.array(value), body), F.lit(0))
-
     def tests(x: Column, k: Column, size: Column) -> Column:
         counts = F.transform(F.array_distinct(x), lambda v: F.size(
             F.filter(x, lambda y: y == v)).cast("double"))
@@ -106,10 +145,10 @@ def _battery(match: Column) -> Column:
             (a["turns"] + F.when((2 * v >= k) != (2 * a["last"] >= k), 1.0).otherwise(0.0))
             .alias("turns"),
             (a["cross"] + F.coalesce(a["last"] * v, F.lit(0.0))).alias("cross")))
-        return let(F.struct(squares.alias("squares"), mean.alias("mean"),
+        return _let(F.struct(squares.alias("squares"), mean.alias("mean"),
                             variance.alias("variance"), high.alias("high"), walk.alias("walk"),
                             F.get(x, F.lit(0)).alias("first"), F.get(x, size.cast("int") - 1).alias("end")),
-                   lambda s: let(_scores(s, k, size), lambda z: F.least(
+                   lambda s: _let(_scores(s, k, size), lambda z: F.least(
                        F.lit(1.0), 3 * F.least(_tail(z["chi"]), 2 * _tail(F.abs(z["runs"])),
                                                2 * _tail(F.abs(z["serial"]))))))
 
@@ -129,7 +168,7 @@ def _battery(match: Column) -> Column:
             F.lit(40.0))
         return F.struct(chi.alias("chi"), runs.alias("runs"), serial.alias("serial"))
 
-    return let(F.struct(name.alias("name"), alphabet.alias("alphabet")), lambda e: let(
+    return _let(F.struct(name.alias("name"), alphabet.alias("alphabet")), lambda e: _let(
         F.transform(F.split(match, ""), lambda c: (F.instr(e["alphabet"], c) - 1).cast("double")),
         lambda x: F.struct(e["name"].alias("encoding"),
                            tests(x, F.char_length(e["alphabet"]).cast("double"),
@@ -149,8 +188,7 @@ def spans(docs: DataFrame) -> DataFrame:
     order = F.array_sort(F.transform("base", lambda s: F.struct(
         s["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), s["kind"])
         .alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    free = F.filter("found", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"])
-                                                 & (c["start"] < b["end"])))
+    free = _free(F.col("found"), F.col("base"))
     tested = F.transform(free, lambda c: F.struct(c.alias("c"), _battery(c["match"]).alias("test")))
     return df.select("doc_id", order.alias("base"), F.transform(tested, lambda t: F.struct(
         t["c"]["start"].alias("start"), t["c"]["end"].alias("end"),

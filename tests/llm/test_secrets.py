@@ -63,3 +63,21 @@ def test_normal_tails(spark):
 
 def test_empty_table(spark, tmp_path):
     assert S.op3_secret_scan(spark, save(empty_docs(spark), tmp_path)).collect() == []
+
+
+def test_very_many_spans_in_one_text(spark):
+    """More spans than a block of the scan, of every kind, in one text."""
+    rng = random.Random(6)
+    b62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    bits = ["secret=" + "q" * 30, "AKIA" + "B" * 20, "0123456789abcdef" * 2, "word", "é🙂",
+            "".join(rng.choice(b62) for _ in range(40)), "token: abc.def.ghi-" + "k" * 25]
+    text = " ".join(rng.choice(bits) for _ in range(20_000))
+    row = S.spans(docs_frame(spark, [text, "plain"])).orderBy("doc_id").collect()
+    assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in row[0]["base"]] == base(text)
+    covered = bytearray(len(text))
+    for s in row[0]["base"]:
+        covered[s["start"]:s["end"]] = b"\1" * (s["end"] - s["start"])
+    want = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text)
+            if not any(covered[m.start():m.end()])]
+    assert want and [(c["start"], c["end"]) for c in row[0]["candidates"]] == want
+    assert row[1]["base"] == [] and row[1]["candidates"] == []
