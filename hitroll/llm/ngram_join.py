@@ -49,7 +49,8 @@ POSTING_COST = 8          # of a posting, in units of comparing one shingle
 CORE_ROUNDS = 1
 STAR_ROUNDS = 2
 SHORT_LIST = 8            # members of a posting list that is joined with itself
-CHUNK_NODES = 256         # of a longer list, compared at a time with as many
+CHUNK_NODES = 1024        # of a longer list, sent together to meet as many
+TILE_NODES = 256          # of those, compared at a time with as many
 BLOCK_TOKENS = 1 << 13
 
 
@@ -344,12 +345,29 @@ def _block_pairs(long: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
             .drop("other"))
 
     def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _met_in_block(key[1] != key[2], pdf.sort_values("node", ignore_index=True), percent)
+        found = [pair for across, rows in _tiles(pdf, key[1] != key[2])
+                 for pair in _met_in_block(across, rows, percent)]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return rows.groupBy("token", "low", "high").applyInPandas(compare, "a long, b long")
 
 
+def _tiles(rows: pd.DataFrame, across: bool):
+    """Every two parts of ``TILE_NODES`` members that have pairs to compare, as one frame by node;
+    and whether only pairs of different ``chunk`` count (numbered here by part)."""
+    sides = [side for _, side in rows.groupby("chunk")]
+    parts = [[side.iloc[k:k + TILE_NODES] for k in range(0, len(side), TILE_NODES)]
+             for side in sides]
+    if across and len(sides) < 2:                       # no member fell to the other chunk
+        return
+    for i, a in enumerate(parts[0]):
+        if not across:
+            yield False, a.sort_values("node", ignore_index=True)
+        for b in parts[1] if across else parts[0][i + 1:]:
+            both = pd.concat([a.assign(chunk=0), b.assign(chunk=1)])
+            yield True, both.sort_values("node", ignore_index=True)
+
+
 def _met_in_block(across: bool, rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     """Pairs of nodes of one list (``rows`` by node; of different chunks if ``across``) that meet
     the prefix condition and whose first shared shingle is the list's."""

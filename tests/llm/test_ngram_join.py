@@ -1,4 +1,6 @@
 import random
+
+import pandas as pd
 import re
 from itertools import combinations
 
@@ -101,7 +103,7 @@ def test_large_groups_below_the_threshold(spark, monkeypatch):
     columns = ("doc_id", "n_shingles", "component_id")
     for star, short, chunk, tokens in ((2, 32, 256, 1 << 13), (0, 3, 16, 40), (0, 1 << 20, 16, 40)):
         for name, value in (("STAR_ROUNDS", star), ("SHORT_LIST", short), ("CHUNK_NODES", chunk),
-                            ("BLOCK_TOKENS", tokens)):
+                            ("BLOCK_TOKENS", tokens), ("TILE_NODES", max(chunk // 3, 1))):
             monkeypatch.setattr(N, name, value)
         assert rows_of(N.near_duplicates(docs, 5, 80), *columns) == want
     assert calls
@@ -184,3 +186,21 @@ def test_one_of_each_keeps_different_texts_of_one_id(spark):
                               (6, None), (7, a)])
     kept = sorted((r.doc_id, (r.text or "").strip()[:1]) for r in N.one_of_each(docs).collect())
     assert kept == [(3, "a"), (3, "b"), (5, "c"), (6, "")]
+
+
+def test_tiles_hold_every_pair_once(monkeypatch):
+    monkeypatch.setattr(N, "TILE_NODES", 3)
+    for sizes in ((7,), (7, 5), (3, 3), (1, 8), (2,)):
+        rows = pd.DataFrame([(k * 10 + j, k) for k, n in enumerate(sizes) for j in range(n)],
+                            columns=["node", "chunk"]).sample(frac=1, random_state=1)
+        across, met = len(sizes) == 2, []
+        for apart, tile in N._tiles(rows, across):
+            assert len(tile) <= 6 and tile["node"].is_monotonic_increasing
+            named = list(zip(tile["node"], tile["chunk"]))
+            met += [(a, b) for i, (a, x) in enumerate(named) for b, y in named[i + 1:]
+                    if not apart or x != y]
+        chunk = dict(zip(rows["node"], rows["chunk"]))
+        want = [(a, b) for a in chunk for b in chunk if a < b
+                and (not across or chunk[a] != chunk[b])]
+        assert sorted(met) == sorted(want)
+    assert list(N._tiles(pd.DataFrame({"node": [1, 2], "chunk": [0, 0]}), True)) == []
