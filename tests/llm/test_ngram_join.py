@@ -1,10 +1,9 @@
 import random
-
-import pandas as pd
 import re
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from hitroll.llm import ngram_join as N
