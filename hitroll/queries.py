@@ -23,7 +23,7 @@ from hitroll.operators import iterate as IT
 from hitroll.operators import search as SE
 from hitroll.operators import vector_index as VI
 from hitroll.operators.sample import keyed_sample, threshold
-from hitroll.functions.columns import basename, percent_difference, structure_id
+from hitroll.functions.columns import basename, percent_difference, structure_id, with_json_check
 from hitroll.plans import job
 from hitroll.plans import ledger as LG
 from hitroll.schema import BAD, CODE, DATASET, SCORE, STRUCTURE
@@ -271,6 +271,81 @@ def rejected_summary(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_structures"), F.sum("n_bad").alias("n_bad_rows")))
 
 
+# Cells that the strict parser and json.loads read differently, by event_id modulo their number: the
+# cell (P stands for the props of the event), its reason and its code (P: the code in the props).
+JSON_CELLS = (
+    ("P x", "bad_json", None), ('{"k": "old", "k": "new"}', None, "new"),
+    ('{"k": NaN}', None, "nan"), ('{"k": -Infinity}', None, "-inf"), ("P] x", "bad_json", None),
+    ("P, P", "bad_json", None), ('{"x": NaN, "k": null}', None, "None"), ('{"k": INF}', "bad_json", None),
+    ('{"x": {"a": 1, "a": 2}, "k": true}', None, "True"),
+    ('{"k": 1, "k": {"q": 1, "q": 2}}', "nested_value", None), ('{"k": "NaN", "x": [1]}', None, "NaN"),
+    ('{"x": 1, "x": 2}', "missing_key", None), ("P} x", "bad_json", None), (" P ", None, "P"),
+)
+
+
+@register("json_cell_rules", f"""
+WITH c AS (SELECT event_id % {len(JSON_CELLS)} AS rule, json_extract_string(props, '$.k') AS k, props
+           FROM events WHERE json_valid(props) AND json_extract_string(props, '$.k') IS NOT NULL),
+r AS (SELECT rule, CASE rule {" ".join(f"WHEN {i} THEN '{r}'" for i, (_, r, _) in enumerate(JSON_CELLS) if r)} END AS reason,
+       CASE rule {" ".join(f"WHEN {i} THEN " + ("k" if code == "P" else f"'{code}'")
+                           for i, (_, _, code) in enumerate(JSON_CELLS) if code)} END AS code FROM c)
+SELECT rule, reason, code, count(*) AS n FROM r GROUP BY 1, 2, 3
+""")
+def json_cell_rules(spark, sf_dir):
+    """R21: text behind the object, repeated keys and numbers that are none, in cells made from the
+    props of the events that have a code. Counts per rule, reason and code."""
+    events = T.table(spark, sf_dir, "events").select("event_id", "props")
+    events = events.where(F.get_json_object("props", "$.k").isNotNull())
+    cells = F.array(*[F.lit(cell) for cell, _, _ in JSON_CELLS])
+    rule = F.col("event_id") % len(JSON_CELLS)
+    made = events.select(rule.alias("rule"), F.replace(
+        F.get(cells, rule.cast("int")), F.lit("P"), F.col("props")).alias("cell"))
+    checked = with_json_check(made, "cell", "k", code_col="code", reason_col="reason")
+    return checked.groupBy("rule", "reason", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+BLANK_EVERY = 401             # a blank line lies before the line of every such event
+
+
+@register("hit_records", f"""
+WITH {T.EVENT_HITS_SQL},
+p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place,
+             event_id % {BLANK_EVERY} = 13 AS blank FROM h)
+SELECT CAST(user_id AS VARCHAR) AS structure,
+       CAST(count(*) + count(*) FILTER (blank) AS BIGINT) AS n_records,
+       CAST(count(reason) + count(*) FILTER (blank) AS BIGINT) AS n_bad,
+       count(*) FILTER (blank) AS n_blank, min(place) FILTER (blank) AS first_blank,
+       CASE WHEN count(reason) + count(*) FILTER (blank) = 0 THEN round(sum(value), 2) END AS sum_score
+FROM p GROUP BY 1
+""")
+def hit_records(spark, sf_dir):
+    """SRC6 with R12: hit files of one structure each, some with blank records, scanned record by
+    record: each blank one is kept at its place and rejects its structure."""
+    path = scratch_path(spark, "records")
+    cells = T.event_hit_rows(spark, sf_dir)
+    line = F.to_csv(F.struct(*[F.col(c) for c in HF.HIT_SCHEMA.names]),
+                    {"sep": "\t", "quote": '"', "escape": '"'})
+    event = F.col("c1").cast("long")
+    rows = cells.select(F.col("c0").alias(STRUCTURE), event.alias("at"), F.explode(
+        F.when(event % BLANK_EVERY == 13, F.array(F.lit(""), line)).otherwise(F.array(line))).alias("line"))
+    header = rows.select(STRUCTURE).distinct().select(
+        STRUCTURE, F.lit(-1).cast("long").alias("at"), F.lit("\t".join(HF.HIT_SCHEMA.names)).alias("line"))
+    (header.unionByName(rows).repartition(STRUCTURE).sortWithinPartitions(STRUCTURE, "at", "line")
+     .select("line", STRUCTURE).write.partitionBy(STRUCTURE).text(path))
+    raw = HF.scan_records(spark, path, glob="part-*")
+    hits = HF.parse_hits(raw, structure=F.col(STRUCTURE).cast("string"), key="k")
+    blank = raw.select(F.col(STRUCTURE).cast("string").alias(STRUCTURE), "record", "c0")
+    counts = blank.groupBy(STRUCTURE).agg(
+        F.count_if(F.col("c0").isNull()).alias("n_blank"),
+        F.min(F.when(F.col("c0").isNull(), F.col("record"))).alias("first_blank"))
+    per = hits.groupBy(STRUCTURE).agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum(F.col(BAD).cast("long")).alias("n_bad"),
+        F.sum(SCORE).alias("total"))
+    return per.join(counts, STRUCTURE).select(
+        STRUCTURE, "n_records", "n_bad", "n_blank", "first_blank",
+        F.when(F.col("n_bad") == 0, F.round("total", 2)).alias("sum_score"))
+
+
 @register("structure_ids", """
 SELECT '/data/x/' || o_orderkey || CASE WHEN o_orderstatus = 'O' THEN '_search.pdb' ELSE '.pdb' END
        || '_search.tsv' AS path,

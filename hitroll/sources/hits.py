@@ -32,7 +32,7 @@ def hit_reader(spark: SparkSession, multiline: bool = True):
     """CSV reader of tab-separated hit files, one header line each.
 
     Quoting: double quote, doubled to escape (R11), hence ``escape='"'``. Blank lines are
-    skipped by Spark (R12, documented deviation). A quoted cell may span lines, at the price of
+    skipped by Spark (R12); ``scan_records`` keeps them. A quoted cell may span lines, at the price of
     reading each file in one task, which suits files of one structure; ``multiline=False`` lets
     a big table without such cells be split.
     """
@@ -54,6 +54,40 @@ def read_hit_files(spark: SparkSession, path: str, glob: str | None = f"*{HIT_FI
                      F.col("_metadata.file_name").alias("file_name"))
 
 
+def scan_records(spark: SparkSession, path: str, glob: str | None = f"*{HIT_FILE_SUFFIX}") -> DataFrame:
+    """Every record of the hit files at its place, blank ones too (R12): the columns of
+    ``read_hit_files`` and ``record``, from 1. A blank record has no fields, so ``parse_hits``
+    marks it bad and its structure is rejected. Line ends may be any of the three; the first line
+    is the header whatever it holds; a last line needs no end.
+
+    The text of a file is one value here, at most 2 GB, which suits files of one structure. Of the
+    pieces between quotes, every second one lies within a quoted cell, where line ends are set
+    aside until the records are cut. (So a lone quote inside an unquoted cell opens a quoted part
+    here; the reference takes it as a letter.)"""
+    r = spark.read
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    files = r.text(path, wholetext=True).select("*", F.col("_metadata.file_path").alias("file_path"),
+                                F.col("_metadata.file_name").alias("file_name"))
+    mark = "\u0001"                                # set aside: mark + n; the mark itself: mark + b
+    text = F.replace(F.regexp_replace("value", "\r\n?", "\n"), F.lit(mark), F.lit(mark + "b"))
+    head = F.instr(text, "\n")
+    body = F.when(head > 0, F.substr(text, head + 1)).otherwise("")
+    kept = F.transform(F.split(body, '"', -1), lambda piece, k: F.when(
+        k % 2 == 1, F.replace(piece, F.lit("\n"), F.lit(mark + "n"))).otherwise(piece))
+    extra = [c for c in files.columns if c != "value"]
+    cut_at = files.select(*extra, F.array_join(kept, '"').alias("_text")).where("_text <> ''")
+    rows = cut_at.select(*extra, F.posexplode(F.split(F.regexp_replace("_text", r"\n\z", ""), "\n", -1))
+                         .alias("_place", "_record"))
+    record = F.replace(F.replace("_record", F.lit(mark + "n"), F.lit("\n")),
+                       F.lit(mark + "b"), F.lit(mark))
+    fields = F.from_csv(record, HIT_DDL, {"sep": "\t", "quote": '"', "escape": '"',
+                                          "maxCharsPerColumn": "-1"})
+    return (rows.select(*extra, (F.col("_place") + 1).cast("long").alias("record"),
+                        fields.alias("_fields"))
+            .select("_fields.*", *extra, "record"))
+
+
 def parse_hits(raw: DataFrame, structure: Column | None = None, key: str = CODE_KEY) -> DataFrame:
     """Typed hit rows: (structure, score, code, bad, reason) plus any partition columns.
 

@@ -47,10 +47,10 @@ DAMAGE_EVERY = 211
 DAMAGE = {0: "bad_score", 1: "bad_json", 2: "missing_key", 3: "nested_value", 4: "missing_field",
           5: "null_code", 6: "comma_code", 7: "line_end_in_note"}
 
-#: The same rule in SQL: relation ``h`` (dataset, user_id, value, reason, code).
+#: The same rule in SQL: relation ``h`` (dataset, user_id, event_id, value, reason, code).
 EVENT_HITS_SQL = f"""
 h AS (
-  SELECT event_type AS dataset, user_id, value,
+  SELECT event_type AS dataset, user_id, event_id, value,
          CASE event_id % {DAMAGE_EVERY} WHEN 0 THEN 'bad_score' WHEN 1 THEN 'bad_json'
               WHEN 2 THEN 'missing_key' WHEN 3 THEN 'nested_value' WHEN 4 THEN 'missing_field'
               ELSE CASE WHEN value IS NULL OR props IS NULL THEN 'missing_field'

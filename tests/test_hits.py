@@ -1,9 +1,12 @@
 """Hit files written by hand, one per edge case of FIXTURES.md (rules R1, R7-R12, R16, R21)."""
 
+import csv
+import json
 import os
 
 from pyspark.sql import functions as F
 
+from hitroll.functions.columns import with_json_check
 from hitroll.operators import scores as S
 from hitroll.sources import hits as HF
 
@@ -97,3 +100,54 @@ def test_rejects_from_grain_match_row_rejects(spark, tmp_path):
     want = sorted(tuple(r) for r in HF.rejects(hits).collect())
     got = sorted(tuple(r) for r in S.rejects_from_grain(S.code_grain(hits)).collect())
     assert got == want and len(got) == 6
+
+
+def python_code(cell):
+    try:
+        code = json.loads(cell)["cath"]
+        {code: 0}
+        return str(code)
+    except (ValueError, KeyError, TypeError):
+        return None
+
+
+def test_json_cells_as_python_reads_them(spark):
+    cells = ['{"cath":"a"}', '{"cath":"a"} x', '{"cath":"a","cath":"b"}', '{"cath":NaN}', '{"cath":"NaN"}',
+             '{"cath":-Infinity}', '{"cath":Infinity,"x":1}', '{"cath":INF}', '{"cath":-INF}',
+             '{"cath":+INF}', '{"x":+Infinity,"cath":"q"}', '{"x":NaN,"cath":"q+INF"}', '{"cath":null}',
+             '{"cath":"a","cath":null}', '{}', '[1]', "1", "", "null", ' {"cath":1.5}\n', '{"cath":"a"}] x',
+             '{"cath":"a"}} x', '{"cath":"a"}, {"cath":"b"}', '{"cath":"a"},', "{'cath':'a'}", '{"cath":"a',
+             '{"cath":{"q":1,"q":2}}', '{"cath":true,"x":{"a":1,"a":2}}', '{"cath":"a","cath":"b"}] z',
+             '{"cath":"a","cath":"b"}} z', '{"x":NaN}', '{"x":[1],"cath":"]"}', '{"cath":[NaN]}',
+             '{"cath":"\\"NaN\\"","x":NaN}', '{"cath":"a\\\\","x":NaN,"y":1e+5}', '{"cath":01}',
+             '{"cath":"a\tb"}', '{"cath":"é\\u00e9"}', '{"cath":"NaN","cath":"NaN"}', '{"cath":false}']
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "i int, cell string")
+    got = with_json_check(df, "cell", "cath").orderBy("i").collect()
+    assert [(c, r["_code"]) for c, r in zip(cells, got)] == [(c, python_code(c)) for c in cells]
+    assert all((r["_code"] is None) == (r["_json_reason"] is not None) for r in got)
+
+
+def test_records_as_python_reads_them(spark, tmp_path):
+    plain = row("60").replace("t", '"two\n\nlines"', 1)
+    cases = {**CASES, "blank.pdb": HEADER + row("90") + "\n" + row("80"), "last.pdb": HEADER + row("1") + "\n",
+             "open.pdb": HEADER + row("90") + row("70").rstrip("\n"), "spaces.pdb": HEADER + row() + "  \n",
+             "returns.pdb": (HEADER + row("90") + "\n" + row("80")).replace("\n", "\r\n"),
+             "quoted.pdb": HEADER + plain + "\n" + plain, "mark.pdb": HEADER + row("1").replace("q", "\1n\1b")}
+    for name, text in cases.items():
+        with open(tmp_path / f"{name}_search.tsv", "w", newline="") as fh:
+            fh.write(text)
+    want = {}
+    for name in cases:
+        with open(tmp_path / f"{name}_search.tsv") as fh:
+            next(fh, None)
+            want[name] = [(k + 1, r[:4] if len(r) > 3 else None)
+                          for k, r in enumerate(csv.reader(fh, delimiter="\t"))]
+    raw = HF.scan_records(spark, str(tmp_path))
+    got = {name: [] for name in cases}
+    for r in raw.orderBy("file_name", "record").collect():
+        fields = [r[f"c{k}"] for k in range(4)]
+        got[r["file_name"][:-len("_search.tsv")]].append((r["record"], fields if fields[3] is not None else None))
+    assert got == want
+    bad = {r["structure"] for r in HF.rejects(HF.parse_hits(raw)).collect()}
+    assert {"blank.pdb", "last.pdb", "spaces.pdb", "returns.pdb", "quoted.pdb"} <= bad
+    assert not {"open.pdb", "mark.pdb", "normal.pdb", "line_end.pdb"} & bad
