@@ -120,6 +120,7 @@ def test_json_cells_as_python_reads_them(spark):
              '{"cath":{"q":1,"q":2}}', '{"cath":true,"x":{"a":1,"a":2}}', '{"cath":"a","cath":"b"}] z',
              '{"cath":"a","cath":"b"}} z', '{"x":NaN}', '{"x":[1],"cath":"]"}', '{"cath":[NaN]}',
              '{"cath":"\\"NaN\\"","x":NaN}', '{"cath":"a\\\\","x":NaN,"y":1e+5}', '{"cath":01}',
+             '{"cath":1,"cath":{"q":1,"q":2}}', '{"cath":"{b","x":NaN}', '{"cath":"a","cath":[NaN]}',
              '{"cath":"a\tb"}', '{"cath":"é\\u00e9"}', '{"cath":"NaN","cath":"NaN"}', '{"cath":false}']
     df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "i int, cell string")
     got = with_json_check(df, "cell", "cath").orderBy("i").collect()
