@@ -111,3 +111,44 @@ def test_equal_rows_are_spread(spark, tmp_path):
     assert len(files) > 5
     back = spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "h"))
     assert back.count() == 4000
+
+
+def test_one_text_each_moves_whole_folders(spark, tmp_path):
+    """No task shares a folder with another one or an earlier job, so the job commit renames folders;
+    no checksum file per text, which costs a process each."""
+    out = tmp_path / "s"
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc int, text string")
+    folders = []
+    for part, mode in ((docs.where("doc < 40"), "append"), (docs.where("doc >= 40"), "append")):
+        SK.write_structure_texts(part, str(out), "doc", "text", mode=mode)
+        folders.append({f for f in os.listdir(out) if f.startswith("folder=")} - set().union(*folders))
+    assert all(folders)
+    assert {r["value"] for r in FS.read_texts(spark, str(out)).collect()} == {f"{i}\ntext {i}\n" for i in range(60)}
+    files = [f for _, _, fs in os.walk(out) for f in fs]
+    assert len([f for f in files if f.endswith(".txt")]) == 60 and not [f for f in files if f.endswith(".crc")]
+    for f in folders[1]:                                 # what the second arrival wrote lies apart
+        assert all(int(open(out / f / x).readline()) >= 40 for x in os.listdir(out / f))
+    SK.write_structure_texts(docs.limit(1), str(out), "doc", "text", compression="gzip")
+    assert FS.read_texts(spark, str(out), glob="*.txt.gz").count() == FS.read_texts(spark, str(out)).count() == 1
+
+
+def test_partition_values_are_escaped_as_spark_does(spark, tmp_path):
+    names = ["a/b", "c:d %41", "x=y", None, "", "é [1]", "007"]
+    df = spark.createDataFrame([(n, str(i), f"v{i}") for i, n in enumerate(names)],
+                               "dataset string, structure string, value string")
+    SK.write_parsed_summaries(df, str(tmp_path / "p"))
+    df.select("value", "dataset").write.option("maxRecordsPerFile", 1).partitionBy("dataset").text(str(tmp_path / "q"))
+    got = {r["value"]: r["dataset"] for r in FS.read_texts(spark, str(tmp_path / "p")).collect()}
+    assert got == {r["value"]: r["dataset"] for r in FS.read_texts(spark, str(tmp_path / "q")).collect()}
+    assert len(got) == len(names)
+
+
+def test_listing_brings_no_path_to_python(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_text("x")
+    (tmp_path / "empty.txt").write_text("")
+
+    def no_paths(self):
+        raise AssertionError("one call per file")
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", no_paths)
+    got = {r["file_name"]: r["length"] for r in FS.list_files(spark, str(tmp_path), "*.txt").collect()}
+    assert got == {"a.txt": 1, "empty.txt": 0}
