@@ -152,3 +152,17 @@ def test_records_as_python_reads_them(spark, tmp_path):
     bad = {r["structure"] for r in HF.rejects(HF.parse_hits(raw)).collect()}
     assert {"blank.pdb", "last.pdb", "spaces.pdb", "returns.pdb", "quoted.pdb"} <= bad
     assert not {"open.pdb", "mark.pdb", "normal.pdb", "line_end.pdb"} & bad
+
+
+def test_hit_records_makes_no_folder_per_structure(spark, monkeypatch):
+    import os
+
+    from hitroll import queries as Q
+    paths, real = [], Q.scratch_path
+
+    def noted(session, name):
+        paths.append(real(session, name))
+        return paths[-1]
+    monkeypatch.setattr(Q, "scratch_path", noted)
+    n = Q.hit_records(spark, "/root/testdata/sf0.001").count()
+    assert n > 1 and os.listdir(paths[0].removeprefix("file:")) == ["records"]
