@@ -13,9 +13,10 @@ articles. Near copies that are more than two thirds of a host's different pages
 cannot be told from a template.
 
 Differencing alone cannot give the right text where a menu or an advert differs from page to page
-(nothing is shared). So the page's own markup has the last word, where there is any: lines in
+(nothing is shared). So the page's own markup has a say, where there is any: lines in
 navigation, headers, footers, sidebars, notices, adverts, forms and comment lists go whether shared
-or not, and lines inside ``article`` or ``main`` stay.
+or not, as do those outside ``article`` and ``main``; lines inside them go where they are shared and
+on three or more, and on more than two thirds, of the host's different pages.
 
 Only line hashes are sorted and paired. Each range partition finds its runs; two pages of each tell
 the driver what lies across its borders, so that results do not depend on the partitions.
@@ -241,13 +242,13 @@ def marked(lines: list[tuple[str, bool, bool]]) -> bool:
     return any(content and not aside for _, aside, content in lines)
 
 
-def main_text(lines: list[tuple[str, bool, bool]], other: list[int]) -> str:
-    """Text of a page from its lines and the line hashes of its neighbour."""
-    own = marked(lines)
-    shared = set() if own else set(shared_lines([h & ~1 for h in line_hashes(lines)],
-                                                [h & ~1 for h in other]))
-    return "\n\n".join(text for k, (text, aside, content) in enumerate(lines)
-                       if not aside and (content if own else k not in shared))
+def main_text(lines: list[tuple[str, bool, bool]], other: list[int], template: list[int] = ()) -> str:
+    """Text of a page from its lines, the line hashes of its neighbour and the host's template. A
+    shared line inside ``article`` or ``main`` goes only if it is also template."""
+    own, hashes, firm = marked(lines), [h & ~1 for h in line_hashes(lines)], set(template)
+    shared = set(shared_lines(hashes, [h & ~1 for h in other]))
+    return "\n\n".join(text for k, (text, aside, content) in enumerate(lines) if not aside and (
+        content and not (k in shared and hashes[k] in firm) if own else k not in shared))
 
 
 # ---------------------------------------------------------------------------------- neighbours
@@ -353,19 +354,20 @@ def _signatures(keyed: DataFrame) -> DataFrame:
 
 
 def _templates(signed: DataFrame) -> DataFrame:
-    """``part, host, template`` for every part that holds pages of a host: the lines on more than
-    two thirds of the host's different pages."""
+    """``part, host, template, firm`` for every part that holds pages of a host: the lines on more than
+    two thirds of the host's different pages, ``firm`` those of them on three or more."""
     different = cut(signed.groupBy("host", "seen").agg(F.first("lines").alias("lines")), "different")
     pages = different.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     line = F.explode(F.array_distinct(F.filter("lines", lambda h: h.bitwiseAND(F.lit(1)) == 0)))
     held = (different.select("host", line.alias("line")).groupBy("host", "line")
             .agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
     template = (held.join(pages, "host").where("3 * held > 2 * pages")
-                .groupBy("host").agg(F.collect_list("line").alias("template")))
+                .groupBy("host").agg(F.collect_list("line").alias("template"),
+                                     F.collect_list(F.when(F.col("held") > 2, F.col("line"))).alias("firm")))
     return cut(signed.select("part", "host").distinct().join(template, "host"), "templates")
 
 
-def _partners(signed: DataFrame) -> DataFrame:
+def _partners(signed: DataFrame, templates: DataFrame) -> DataFrame:
     """``key, partner``: the page each page is compared with. Runs are found part by part; what
     lies across the borders of a part is settled from two pages of each part on the driver."""
 
@@ -391,7 +393,7 @@ def _partners(signed: DataFrame) -> DataFrame:
 
     names = ["part", "key", "path", "before", "before_path", "after", "after_path", "opens",
              "closes", "edge"]
-    scanned = (signed.groupBy("part").cogroup(_templates(signed).groupBy("part")).applyInPandas(
+    scanned = (signed.groupBy("part").cogroup(templates.drop("firm").groupBy("part")).applyInPandas(
         scan, "part int, key binary, path string, before binary, before_path string, after binary,"
               " after_path string, opens boolean, closes boolean, edge binary"))
     scanned = cut(scanned, "runs")
@@ -426,27 +428,22 @@ def _partners(signed: DataFrame) -> DataFrame:
     return both.mapInArrow(choose, "key binary, partner binary")
 
 
-def _texts(keyed: DataFrame, by_markup: bool) -> DataFrame:
-    """Pages whose markup tells the main text, with it as their only line; or the others, with
-    their lines and key."""
+def _texts(keyed: DataFrame) -> DataFrame:
+    """Every page with its key and lines."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("key", pa.binary()),
-                        ("lines", pa.list_(pa.string())), ("aside", pa.list_(pa.bool_()))])
+                        ("lines", pa.list_(pa.string())), ("aside", pa.list_(pa.bool_())),
+                        ("content", pa.list_(pa.bool_()))])
 
     def run(batches):
         def rows():
             for page_id, url, _, _, page in _rows_of(batches):
                 lines = page_lines(page)
-                if marked(lines) != by_markup:
-                    continue
-                if by_markup:
-                    yield page_id, url, None, [main_text(lines, [])], [False]
-                else:
-                    yield (page_id, url, _key(page_id, url, line_hashes(lines)),
-                           [x[0] for x in lines], [x[1] for x in lines])
+                yield (page_id, url, _key(page_id, url, line_hashes(lines)),
+                       *([x[k] for x in lines] for k in range(3)))
         return _batches(rows(), schema, lambda r: sum(map(len, r[3])) + 200)
 
     return keyed.mapInArrow(run, "page_id long, url string, key binary, lines array<string>, "
-                                 "aside array<boolean>")
+                                 "aside array<boolean>, content array<boolean>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -461,23 +458,22 @@ def extract(pages: DataFrame) -> DataFrame:
     signed = cut(_signatures(keyed).repartitionByRange(n, "host", "path", "page_id", "key")
                  .withColumn("part", F.spark_partition_id()), "signatures")
     signed = signed.dropDuplicates(["part", "key"])          # equal rows lie in one part
-    others = _partners(signed).join(
-        signed.select(F.col("key").alias("partner"), F.col("lines").alias("other")), "partner")
+    templates = _templates(signed)
+    others = (_partners(signed, templates).join(
+        signed.select(F.col("key").alias("partner"), F.col("lines").alias("other"), "part", "host"), "partner")
+        .join(templates.select("part", "host", "firm"), ["part", "host"], "left"))
 
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
     def run(batches):
         def rows():
-            for page_id, url, lines, aside, other in _rows_of(batches):
-                lines = [(t, a, False) for t, a in zip(lines, aside)]
-                yield page_id, url, main_text(lines, other or [])
+            for page_id, url, lines, aside, content, other, firm in _rows_of(batches):
+                yield page_id, url, main_text(list(zip(lines, aside, content)), other or [], firm or [])
         return _batches(rows(), schema, lambda r: len(r[2]) + 200)
 
-    differenced = (_texts(keyed, False).join(others.select("key", "other"), "key", "left")
-                   .select("page_id", "url", "lines", "aside", "other")
-                   .mapInArrow(run, "page_id long, url string, text string"))
-    told = _texts(keyed, True).select("page_id", "url", F.get("lines", F.lit(0)).alias("text"))
-    return (told.unionByName(differenced)
+    return (_texts(keyed).join(others.select("key", "other", "firm"), "key", "left")
+            .select("page_id", "url", "lines", "aside", "content", "other", "firm")
+            .mapInArrow(run, "page_id long, url string, text string")
             .withColumn("n_chars", F.char_length("text").cast("long")))
 
 

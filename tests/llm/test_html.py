@@ -129,6 +129,20 @@ def test_copies_are_told_without_the_template(spark, tmp_path):
             assert got[k].split("\n\n") == story, (partitions, k)
 
 
+def test_differencing_acts_inside_articles(spark, tmp_path):
+    def page(k):
+        return f"<article><p>Read this offline</p><p>story {k}</p><p>series {k // 2}</p></article>"
+    rows = [(k, f"https://a.example/{k:02}", page(k), "t", 1) for k in range(8)]
+    rows += [(20 + k, f"https://two.example/{k}", page(k), "t", 1) for k in range(2)]
+    folder = save(spark.createDataFrame(rows, SCHEMA), tmp_path, "pages")
+    for partitions in (1, 5):
+        got = differenced(spark, folder, partitions)
+        for k in range(8):                                 # shared by two neighbours alone: stays
+            assert got[k].split("\n\n") == [f"story {k}", f"series {k // 2}"]
+        for k in range(2):                                 # two pages do not make a template
+            assert got[20 + k].split("\n\n") == ["Read this offline", f"story {k}", "series 0"]
+
+
 def test_unended_markup_is_read_once():
     """Texts of megabytes that took a time in the square of their length."""
     assert H.page_lines("<a " * 700_000)[0][0].startswith("<a <a ")
