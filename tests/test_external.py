@@ -63,6 +63,18 @@ def test_child_scratch_is_private_and_removed(spark):
         assert not os.path.exists(d)
 
 
+def test_tasks_do_not_share_the_parent_of_their_scratch(spark):
+    from pyspark import SparkFiles
+    df = spark.range(8).selectExpr("cast(id as string) structure", "'x' value").repartition(2)
+    script = "ls -A | wc -l; pwd; mkdir -p a/b; echo old > a/b/c; echo old > seg; chmod 500 a/b ."
+    got = [r["out"].split() for r in X.run_command(df, ["sh", "-c", script], extra_files=["seg"]).collect()]
+    assert {n for n, _ in got} == {"0"} and len({d for _, d in got}) == 8
+    parents = {os.path.realpath(os.path.dirname(d)) for _, d in got}
+    root = os.path.realpath(SparkFiles.getRootDirectory())
+    assert len(parents) == 2 and {os.path.dirname(p) for p in parents} == {root}
+    assert not any(os.path.exists(p) for p in parents)
+
+
 def test_whole_error_output_environment_and_further_files(spark):
     df = spark.createDataFrame([("a", "x")], "structure string, value string")
     script = ("i=0; while [ $i -lt 9000 ]; do echo 0123456789 >&2; i=$((i+1)); done; "
