@@ -156,3 +156,12 @@ def test_what_begins_behind_the_last_tag_end():
     assert H.page_lines("<p>a</p>b < c <!-- d") == [("a", False, False), ("b < c", False, False)]
     assert H.page_lines("<p>a<script>b < c") == [("a", False, False)]
     assert H.page_lines("<p>a<!-- b > c <i") == [("a", False, False)]
+
+
+def test_lines_are_packed_for_the_shuffle():
+    page = ("<nav>menu</nav><p>one &amp; \x1c \x85 two</p><article><p>ünï \U0001f600 0</p><aside>1x</aside>"
+            "</article>" + "<p>words in a long row of text</p>" * 50)
+    lines = H.page_lines(page)
+    assert {(a, c) for _, a, c in lines} == {(True, False), (False, False), (False, True), (True, True)}
+    assert H.unpacked(H.packed(lines)) == lines and H.unpacked(H.packed([])) == []
+    assert len(H.packed(lines)) < sum(len(t) for t, _, _ in lines) / 3
